@@ -26,6 +26,12 @@ def stop_words() -> tuple[str, ...]:
     return tuple(w for w in StopWordsRemover.loadDefaultStopWords("english") if "'" not in w)
 
 
+@cache
+def _stop_literals() -> tuple[Column, ...]:
+    """The words as literals, made once: each takes a call into the JVM."""
+    return tuple(F.lit(w) for w in stop_words())
+
+
 def clean(text: Column) -> Column:
     """Lower-case and delete (not blank out) all but a-z and whitespace."""
     return F.regexp_replace(F.lower(text), DELETED, "")
@@ -41,9 +47,13 @@ def words(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Words without stop words; the array index is the token position."""
-    stop = stop_words()
-    return F.filter(words(text), lambda w: ~w.isin(*stop))
+    """Words without stop words; the array index is the token position.
+
+    A NULL text has no tokens. The result is never NULL, which spares plans the
+    null checks that would analyse each text a second time below a join or explode.
+    """
+    kept = F.filter(words(text), lambda w: ~w.isin(*_stop_literals()))
+    return F.coalesce(kept, F.array().cast("array<string>"))
 
 
 def literal_tokens(spark: SparkSession, text: str, profile: str = "plain") -> list[str]:
@@ -54,8 +64,9 @@ def literal_tokens(spark: SparkSession, text: str, profile: str = "plain") -> li
     come back as Python values so that filters on them reach the Parquet scan.
     """
     from lexigrid.functions.stem import stem
+    from lexigrid.plans.session import local_table
 
-    one = spark.createDataFrame([(text,)], "text string").select(tokens(F.col("text")).alias("t"))
+    one = local_table(spark, {"text": [text]}, "text string").select(tokens(F.col("text")).alias("t"))
     if profile == "porter":
         one = stem(one.select(F.posexplode("t").alias("pos", "token")), "token", "term")
         return [r.term for r in sorted(one.collect(), key=lambda r: r.pos)]

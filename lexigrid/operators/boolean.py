@@ -8,10 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigrid.functions.text import literal_tokens
-from lexigrid.operators.lookup import join_postings, only_terms
-from lexigrid.operators.phrase import match_phrases, phrase_slots
-from lexigrid.plans.session import broadcast_if, is_small
+from lexigrid.functions.stem import stem
+from lexigrid.functions.text import literal_tokens, tokens
+from lexigrid.operators.lookup import join_postings, narrow, only_terms
+from lexigrid.operators.phrase import match_phrases
+from lexigrid.plans.session import broadcast_if, is_small, local_table, materialize
 from lexigrid.sources.index_store import Index
 
 
@@ -68,9 +69,13 @@ def match_phrase(index: Index, text: str, mode: str = "pairwise") -> Match:
     found = literal_tokens(spark, text, index.profile)
     if len(found) < 2:
         return match_term(index, text)
-    rows = [(0, slot, term, len(found)) for slot, term in enumerate(found)]
-    slots = spark.createDataFrame(rows, "phrase_id int, slot int, term string, n_slots int")
-    return Match(index, match_phrases(index, slots, mode=mode).select("doc_id"))
+    n = len(found)
+    slots = local_table(
+        spark,
+        {"phrase_id": [0] * n, "slot": list(range(n)), "term": found, "n_slots": [n] * n},
+        "phrase_id int, slot int, term string, n_slots int",
+    )
+    return Match(index, match_phrases(narrow(index, found), slots, mode=mode, small=True).select("doc_id"))
 
 
 def match_all(index: Index, texts: Sequence[str]) -> Match:
@@ -105,73 +110,112 @@ def query_clauses(literals: DataFrame, profile: str = "plain") -> DataFrame:
     One row per slot; a literal without tokens keeps one row with a NULL term.
     """
     ids = ["query_id", "clause_id", "literal_id", "negated"]
-    slots = phrase_slots(
-        literals.select(F.struct(*ids).alias("literal"), "text"), "literal", "text", profile
+    is_phrase = F.trim("text").contains(" ")
+    found = literals.select(*ids, is_phrase.alias("phrase"), tokens(F.col("text")).alias("found"))
+    words = F.when(F.col("phrase"), F.col("found")).otherwise(F.slice("found", 1, 1))
+    rows = found.select(*ids, F.posexplode_outer(words).alias("slot", "term"))
+    if profile == "porter":
+        rows = stem(rows.withColumnRenamed("term", "token"), "token", "term").drop("token")
+    return rows
+
+
+def _weighted_literals(index: Index, clauses: DataFrame, small: bool) -> DataFrame:
+    """Distinct ``(query_id, clause_id, negated, literal, words, df)``.
+
+    ``literal`` is the words joined by a space; ``df`` bounds its number of documents:
+    the smallest document frequency of its words, 0 when one is unknown.
+    """
+    known = index.terms.select("term", "df").join(broadcast_if(small, clauses.select("term")), "term", "left_semi")
+    sized = clauses.join(broadcast_if(small, known), "term", "left")
+    slot = F.when(F.col("term").isNotNull(), F.struct("slot", "term"))
+    # Partitioned by clause once; both aggregations keep that partitioning.
+    literals = (
+        sized.repartition("query_id", "clause_id")
+        .groupBy("query_id", "clause_id", "literal_id", "negated")
+        .agg(
+            F.sort_array(F.collect_list(slot))["term"].alias("words"),
+            F.min(F.coalesce("df", F.lit(0))).alias("df"),
+        )
+        .withColumn("literal", F.array_join("words", " "))
+    )
+    return (
+        literals.groupBy("query_id", "clause_id")
+        .agg(F.collect_set(F.struct("negated", "literal", "words", "df")).alias("literals"))
+        .select("query_id", "clause_id", F.inline("literals"))
+    )
+
+
+def match_literals(index: Index, literals: DataFrame, mode: str, small: bool) -> DataFrame:
+    """``(literal, doc_id)`` for distinct ``(literal, words)``."""
+    one = literals.filter(F.size("words") == 1).select("literal", F.get("words", F.lit(0)).alias("term"))
+    more = literals.filter(F.size("words") > 1).select(
+        "literal", F.size("words").alias("n_slots"), F.posexplode("words").alias("slot", "term")
     )
-    is_phrase = literals.select(F.struct(*ids).alias("literal"), F.trim("text").contains(" ").alias("phrase"))
     return (
-        is_phrase.join(slots, "literal", "left")
-        .filter(F.col("phrase") | F.col("slot").isNull() | (F.col("slot") == 0))
-        .select("literal.*", "slot", "term")
+        join_postings(index, one, ["doc_id"], small)
+        .select("literal", "doc_id")
+        .unionByName(match_phrases(index, more, "literal", mode, small))
     )
 
 
 def match_batch(index: Index, clauses: DataFrame, mode: str = "pairwise") -> DataFrame:
     """``(query_id, doc_id)`` for a whole table of queries in disjunctive normal form.
 
-    Equal literals are looked up once. Per (query, clause, document) one aggregate
-    counts the positive literals that hold and the negative ones that do; a clause
-    without positive literals starts from all documents.
+    Equal literals are looked up once, however many queries use them. A clause starts
+    from the documents of its rarest positive literal and checks its other literals on
+    these candidates only, by an equi-join on (literal, document): no literal's
+    documents are multiplied by the clauses that mention it.
     """
     spark = index.docs.sparkSession
     clause = ["query_id", "clause_id"]
     # All query-side tables below have at most as many rows and characters as this one.
     small = is_small(clauses)
-    literals = (
-        clauses.groupBy(*clause, "literal_id", "negated")
-        .agg(
-            F.transform(
-                F.sort_array(F.collect_list(F.when(F.col("term").isNotNull(), F.struct("slot", "term")))),
-                lambda s: s["term"],
-            ).alias("words")
-        )
-        .withColumn("literal", F.array_join("words", " "))
+    # Both tables are read several times below; written once, they are not recomputed.
+    literals = materialize(_weighted_literals(index, clauses, small), "literals")
+    positive = ~F.col("negated")
+    plan = literals.groupBy(*clause).agg(
+        F.count_if(positive).alias("required"),
+        F.count_if(positive & (F.col("df") == 0)).alias("impossible"),
+        F.min_by("literal", F.when(positive, F.struct("df", "literal"))).alias("rarest"),
     )
-    required = literals.groupBy(*clause).agg(F.count_if(~F.col("negated")).alias("required"))
-    literals = literals.filter("literal != ''")
-
-    # Distinct literals -> matching documents.
-    distinct = literals.groupBy("literal").agg(F.first("words").alias("words"))
-    single = distinct.filter(F.size("words") == 1).select("literal", F.get("words", F.lit(0)).alias("term"))
-    multi = (
-        distinct.filter(F.size("words") > 1)
-        .select("literal", F.size("words").alias("n_slots"), F.posexplode("words").alias("slot", "term"))
+    anchored = plan.filter("required > 0 and impossible = 0").drop("impossible")
+    free = plan.filter("required = 0").select(*clause)
+
+    usable = literals.filter("df > 0")
+    wanted = usable.select("literal", "words").distinct()
+    hits = materialize(match_literals(index, wanted, mode, small), "hits")
+
+    candidates = hits.join(
+        broadcast_if(small, anchored.withColumnRenamed("rarest", "literal")), "literal"
+    ).select(*clause, "required", "doc_id")
+    others = (
+        usable.join(broadcast_if(small, anchored), clause)
+        .filter(F.col("negated") | (F.col("literal") != F.col("rarest")))
+        .select(*clause, "literal", "negated")
     )
-    hits = join_postings(index, single, ["doc_id"], small).select("literal", "doc_id").unionByName(
-        match_phrases(index, multi, "literal", mode, small)
+    checked = (
+        candidates.join(broadcast_if(small, others), clause)
+        .join(hits, ["literal", "doc_id"])
+        .select(*clause, "required", "doc_id", (~F.col("negated")).cast("int").alias("held"), F.col("negated").cast("int").alias("broken"))
     )
-
-    uses = literals.join(required, clause).select(*clause, "literal", "negated", "required")
-    state = (
-        hits.join(broadcast_if(small, uses), "literal")
+    start = candidates.select("*", F.lit(1).alias("held"), F.lit(0).alias("broken"))
+    met = (
+        start.unionByName(checked)
         .groupBy(*clause, "required", "doc_id")
-        .agg(
-            F.count_if(~F.col("negated")).alias("positive"),
-            F.count_if("negated").alias("negative"),
-        )
+        .agg(F.sum("held").alias("held"), F.sum("broken").alias("broken"))
+        .filter("held = required and broken = 0")
+        .select("query_id", "doc_id")
     )
-    met = state.filter("required > 0 and positive = required and negative = 0").select("query_id", "doc_id")
 
     # Clauses of negations only: every document except those hit. Clauses and documents
     # meet on a shard number, so no task sees more than its share of the documents.
     shards = spark.sparkContext.defaultParallelism * 4
-    free = required.filter("required = 0").select(
-        *clause, F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    )
+    spread = free.select(*clause, F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     sharded = index.docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"))
+    hit = hits.join(
+        broadcast_if(small, usable.join(free, clause, "left_semi").select(*clause, "literal")), "literal"
+    ).select(*clause, "doc_id")
     rest = (
-        sharded.join(free, "shard")
-        .join(state.filter("required = 0"), [*clause, "doc_id"], "left_anti")
-        .select("query_id", "doc_id")
+        sharded.join(spread, "shard").join(hit, [*clause, "doc_id"], "left_anti").select("query_id", "doc_id")
     )
     return met.unionByName(rest).distinct()

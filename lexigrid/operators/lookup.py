@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,13 @@ def only_terms(index: Index, terms: Sequence[str]) -> DataFrame:
     return index.postings.filter(F.col("term_bucket").isin(*buckets) & F.col("term").isin(*terms))
 
 
+def narrow(index: Index, terms: Sequence[str]) -> Index:
+    """The index reduced to a few given terms, by filters that reach the scans."""
+    return replace(
+        index, postings=only_terms(index, terms), terms=index.terms.filter(F.col("term").isin(*terms))
+    )
+
+
 def term_id(index: Index, term: str) -> DataFrame:
     """``(term, term_id)`` of one term; empty when unknown."""
     return index.terms.filter(F.col("term") == term).select("term", "term_id")
@@ -45,8 +53,12 @@ def postings_of_terms(index: Index, wanted: DataFrame) -> DataFrame:
 
 
 def join_postings(index: Index, wanted: DataFrame, columns: Sequence[str], small: bool | None = None) -> DataFrame:
-    """Rows of ``wanted`` (with ``term``) joined to the postings columns asked for."""
-    wanted = wanted.withColumn("term_bucket", bucket_of(F.col("term"), index.buckets))
+    """Rows of ``wanted`` (with ``term``) joined to the postings columns asked for.
+
+    No term is empty; the comparison marks the wanted side as a filter, upon which a
+    broadcast join prunes the scanned buckets at run time.
+    """
+    wanted = wanted.filter(F.col("term") > "").withColumn("term_bucket", bucket_of(F.col("term"), index.buckets))
     side = broadcast_checked(wanted) if small is None else broadcast_if(small, wanted)
     return (
         index.postings.select("term_bucket", "term", *columns)

@@ -158,7 +158,8 @@ def term_dictionary(terms: DataFrame, known: DataFrame | None = None) -> DataFra
     files = rows.groupBy("file").agg(F.min("term").alias("low"), F.count("*").alias("n"))
     before = Window.orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
     offsets = files.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return rows.join(broadcast_checked(offsets), "file").select(
+    # One row per file, and files are as many as shuffle partitions: a configured bound.
+    return rows.join(F.broadcast(offsets), "file").select(
         (F.col("offset") + F.col("row") + first_id).alias("term_id"), *terms.columns
     )
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexigrid.plans.session import local_table
+
 # The benchmark's query set. A query lists its clauses (OR), a clause its
 # literals (AND), a leading "-" negates, and a literal with a space is a phrase.
 BENCHMARK = {
@@ -54,9 +56,8 @@ WORKLOAD = {**BENCHMARK, **SHAPES}
 
 def ranked_queries(spark: SparkSession, workload=WORKLOAD) -> DataFrame:
     """``(query_id, text)``."""
-    return spark.createDataFrame(
-        [(q, text) for q, (_, text) in workload.items()], "query_id string, text string"
-    )
+    columns = {"query_id": list(workload), "text": [text for _, text in workload.values()]}
+    return local_table(spark, columns, "query_id string, text string")
 
 
 def boolean_literals(spark: SparkSession, workload=WORKLOAD) -> DataFrame:
@@ -67,6 +68,9 @@ def boolean_literals(spark: SparkSession, workload=WORKLOAD) -> DataFrame:
         for c, clause in enumerate(clauses)
         for i, literal in enumerate(clause)
     ]
-    return spark.createDataFrame(
-        rows, "query_id string, clause_id int, literal_id int, text string, negated boolean"
+    names = ("query_id", "clause_id", "literal_id", "text", "negated")
+    return local_table(
+        spark,
+        dict(zip(names, map(list, zip(*rows)))),
+        "query_id string, clause_id int, literal_id int, text string, negated boolean",
     )

@@ -285,9 +285,7 @@ FROM (SELECT DISTINCT doc_id FROM post WHERE term IN ('thth', 'erin')) ORDER BY
         "rank_tfidf_batch": base + _ranked("SELECT * FROM qterm", _TFIDF),
         "stem_words": f"{base}, {_porter(_VOCAB)} SELECT token, term FROM stems",
         "stem_postings": f"{porter} {tf_rows} spost",
-        "bool_porter": f"""{porter} SELECT doc_id FROM spost
-  WHERE term = (SELECT term FROM (SELECT s.term FROM stems s WHERE s.token = 'ations'
-                UNION ALL SELECT 'ation') LIMIT 1)
+        "bool_porter": f"""{porter} SELECT doc_id FROM spost WHERE term = 'ation'
 EXCEPT SELECT a.doc_id FROM (SELECT doc_id, unnest(positions) AS pos FROM spost
   WHERE term IN (SELECT term FROM stems WHERE token = 'anea')) a
 JOIN (SELECT doc_id, unnest(positions) AS pos FROM spost

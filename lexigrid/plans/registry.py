@@ -30,7 +30,7 @@ from lexigrid.streaming.ingest import ingest
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
-_INDEXES: dict[tuple, S.Index] = {}
+_INDEXES: dict[tuple, tuple[str, S.Index]] = {}
 
 
 def registered() -> dict[str, Query]:
@@ -63,15 +63,25 @@ def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def index_of(spark: SparkSession, sf_dir: str, profile: str = "plain") -> S.Index:
     """The stored index of a data folder, built at first use in an application."""
-    app = spark.sparkContext.applicationId
-    key = (app, sf_dir.rstrip("/"), profile)
+    return _stored(spark, sf_dir, profile)[1]
+
+
+def index_path(spark: SparkSession, sf_dir: str, profile: str = "plain") -> str:
+    """Where that index lies."""
+    return _stored(spark, sf_dir, profile)[0]
+
+
+def forget_indexes() -> None:
+    """Make the next use build anew."""
+    _INDEXES.clear()
+
+
+def _stored(spark: SparkSession, sf_dir: str, profile: str) -> tuple[str, S.Index]:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), profile)
     if key not in _INDEXES:
-        _INDEXES[key] = build_index(
-            read_documents(spark, _path(sf_dir, "documents")),
-            scratch_path(spark, f"index-{profile}"),
-            profile,
-            input_bytes=_bytes(spark, sf_dir),
-        )
+        path = scratch_path(spark, f"index-{profile}")
+        docs = read_documents(spark, _path(sf_dir, "documents"))
+        _INDEXES[key] = path, build_index(docs, path, profile, input_bytes=_bytes(spark, sf_dir))
     return _INDEXES[key]
 
 

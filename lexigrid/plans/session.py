@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,11 @@ def materialize(df: DataFrame, name: str, **write_options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark: SparkSession, columns: dict, schema: str) -> DataFrame:
+    """A small table given as Python lists. It becomes a local relation: no job, known size."""
+    return spark.createDataFrame(pa.table(columns), schema)
+
+
 def is_small(df: DataFrame) -> bool:
     """Count rows and characters, stopping just past the bound."""
     strings = [c for c, t in df.dtypes if t == "string"]

@@ -69,19 +69,26 @@ def _codec(codec: str) -> str:
 
 
 def write_postings(postings: DataFrame, path: str, buckets: int, codec: str = "zstd") -> None:
-    """Cluster postings by term bucket and write them.
+    """Cluster postings by term bucket and write them, shuffling once.
 
-    The rebalance hint shuffles once by bucket; AQE then splits a bucket that is too
-    large for one task (a term in a third of all documents) and joins small ones.
+    With many buckets the rebalance hint shuffles by bucket, and AQE splits a bucket too
+    large for one task (a term in a third of all documents) and joins small ones. A
+    small index would end up in a single task that way; it is spread by bucket and
+    document instead.
     """
+    rows = postings.select(*P.POSTINGS_SCHEMA.names).withColumn(
+        "term_bucket", bucket_of(F.col("term"), buckets)
+    )
+    if buckets > MIN_BUCKETS:
+        rows = rows.hint("rebalance", "term_bucket")
+    else:
+        rows = rows.repartition(4 * MIN_BUCKETS, "term_bucket", F.pmod("doc_id", F.lit(4)))
     (
-        postings.select(*P.POSTINGS_SCHEMA.names)
-        .withColumn("term_bucket", bucket_of(F.col("term"), buckets))
-        .hint("rebalance", "term_bucket")
-        .sortWithinPartitions("term_bucket", "term", "doc_id")
+        rows.sortWithinPartitions("term_bucket", "term", "doc_id")
         .write.mode("overwrite")
         .option("compression", _codec(codec))
         .option("parquet.bloom.filter.enabled#term", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
         .partitionBy("term_bucket")
         .parquet(path)
     )
