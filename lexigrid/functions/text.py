@@ -5,7 +5,7 @@ Everything here is a plain Column; nothing runs in Python workers.
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, lru_cache
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, SparkSession
@@ -56,7 +56,8 @@ def tokens(text: Column) -> Column:
     return F.coalesce(kept, F.array().cast("array<string>"))
 
 
-def literal_tokens(spark: SparkSession, text: str, profile: str = "plain") -> list[str]:
+@lru_cache(maxsize=4096)
+def literal_tokens(spark: SparkSession, text: str, profile: str = "plain") -> tuple[str, ...]:
     """Analyse one query text given as a Python string.
 
     The expression is the one used for documents. The input is a local one-row
@@ -69,8 +70,8 @@ def literal_tokens(spark: SparkSession, text: str, profile: str = "plain") -> li
     one = local_table(spark, {"text": [text]}, "text string").select(tokens(F.col("text")).alias("t"))
     if profile == "porter":
         one = stem(one.select(F.posexplode("t").alias("pos", "token")), "token", "term")
-        return [r.term for r in sorted(one.collect(), key=lambda r: r.pos)]
-    return list(one.first().t)
+        return tuple(r.term for r in sorted(one.collect(), key=lambda r: r.pos))
+    return tuple(one.first().t)
 
 
 def size_label(size: Column) -> Column:

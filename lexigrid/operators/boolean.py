@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from lexigrid.functions.stem import stem
 from lexigrid.functions.text import literal_tokens, tokens
-from lexigrid.operators.lookup import join_postings, narrow, only_terms
-from lexigrid.operators.phrase import match_phrases
-from lexigrid.plans.session import broadcast_if, is_small, local_table, materialize
+from lexigrid.operators.lookup import join_postings, only_terms
+from lexigrid.operators.phrase import match_phrases, match_words
+from lexigrid.plans.session import broadcast_if, is_small, materialize
 from lexigrid.sources.index_store import Index
 
 
@@ -65,17 +65,10 @@ def match_term(index: Index, text: str) -> Match:
 
 def match_phrase(index: Index, text: str, mode: str = "pairwise") -> Match:
     """Documents with the phrase; an empty phrase matches nothing."""
-    spark = index.docs.sparkSession
-    found = literal_tokens(spark, text, index.profile)
+    found = literal_tokens(index.docs.sparkSession, text, index.profile)
     if len(found) < 2:
         return match_term(index, text)
-    n = len(found)
-    slots = local_table(
-        spark,
-        {"phrase_id": [0] * n, "slot": list(range(n)), "term": found, "n_slots": [n] * n},
-        "phrase_id int, slot int, term string, n_slots int",
-    )
-    return Match(index, match_phrases(narrow(index, found), slots, mode=mode, small=True).select("doc_id"))
+    return Match(index, match_words(only_terms(index, sorted(set(found))), found, mode))
 
 
 def match_all(index: Index, texts: Sequence[str]) -> Match:

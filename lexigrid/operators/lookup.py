@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,13 +23,6 @@ def only_terms(index: Index, terms: Sequence[str]) -> DataFrame:
     return index.postings.filter(F.col("term_bucket").isin(*buckets) & F.col("term").isin(*terms))
 
 
-def narrow(index: Index, terms: Sequence[str]) -> Index:
-    """The index reduced to a few given terms, by filters that reach the scans."""
-    return replace(
-        index, postings=only_terms(index, terms), terms=index.terms.filter(F.col("term").isin(*terms))
-    )
-
-
 def term_id(index: Index, term: str) -> DataFrame:
     """``(term, term_id)`` of one term; empty when unknown."""
     return index.terms.filter(F.col("term") == term).select("term", "term_id")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexigrid.functions.stem import stem
 from lexigrid.functions.text import literal_tokens, tokens
 from lexigrid.operators.lookup import join_postings, only_terms
-from lexigrid.plans.session import broadcast_if, is_small
+from lexigrid.plans.session import broadcast_if, is_small, materialize
 from lexigrid.sources.index_store import Index
 
 SCHEMES = ("tf", "tfidf")
@@ -102,7 +102,7 @@ def rank_batch(
     per-query limit runs before the shuffle by query as well as after it.
     """
     weight = _weights(index, scheme)
-    bags = query_bags(queries, key, text, index.profile)
+    bags = materialize(query_bags(queries, key, text, index.profile), "bags")
     leaders = bags.groupBy("bag").agg(F.min(key).alias("leader"))
     wanted = _bag_terms(leaders, "leader")
     small = is_small(wanted)
@@ -130,15 +130,25 @@ def rank_batch(
 def rank_presence_batch(
     index: Index, queries: DataFrame, k: int = 10, key: str = "query_id", text: str = "text"
 ) -> DataFrame:
-    """Presence ranking for a table of queries: the k lowest ids with any query term."""
-    bags = query_bags(queries, key, text, index.profile)
-    wanted = _bag_terms(bags, key)
-    lowest = Window.partitionBy(key).orderBy("doc_id")
+    """Presence ranking for a table of queries: the k lowest ids with any query term.
+
+    A query's k lowest documents are among the k lowest of each of its terms, so every
+    term is cut to k rows, before its shuffle, ahead of the join with the queries.
+    """
+    wanted = materialize(_bag_terms(query_bags(queries, key, text, index.profile), key), "wanted")
+    small = is_small(wanted)
+    by_term = Window.partitionBy("term").orderBy("doc_id")
+    lowest = (
+        join_postings(index, wanted.select("term").distinct(), ["doc_id"], small)
+        .withColumn("n", F.row_number().over(by_term))
+        .filter(F.col("n") <= k)
+    )
+    by_query = Window.partitionBy(key).orderBy("doc_id")
     return (
-        join_postings(index, wanted, ["doc_id"])
+        lowest.join(broadcast_if(small, wanted), "term")
         .select(key, "doc_id")
         .distinct()
-        .withColumn("rank", F.row_number().over(lowest))
+        .withColumn("rank", F.row_number().over(by_query))
         .filter(F.col("rank") <= k)
         .select(key, "doc_id", F.lit(1.0).alias("score"), "rank")
     )

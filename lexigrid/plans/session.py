@@ -66,7 +66,13 @@ def broadcast_if(small: bool, df: DataFrame) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def broadcast_checked(df: DataFrame) -> DataFrame:
+def broadcast_checked(df: DataFrame, name: str = "side") -> DataFrame:
+    """Write a side of unknown size, look at its size, and hint a broadcast if it is small.
+
+    Writing first means that the side is computed once, not once to be counted and
+    once to be joined.
+    """
+    df = materialize(df, name)
     return broadcast_if(is_small(df), df)
 
 
