@@ -128,15 +128,21 @@ def corpus_stats_from_documents(docs: DataFrame, key: str = "doc_id", text: str
 def merge_blocks(blocks: DataFrame) -> DataFrame:
     """One posting per (term, document) out of partial indexes; the later block wins.
 
-    ``blocks`` has the postings columns and ``block_id``. The key is fine-grained,
-    so a frequent term is spread over all partitions.
+    ``blocks`` has the postings columns and ``block_id``; a block holds a document once.
+    Only documents found in several blocks are aggregated. All others pass through, so
+    merging blocks of different documents shuffles no postings.
     """
-    posting = F.struct("tf", "positions")
-    return (
-        blocks.groupBy("term", "doc_id")
-        .agg(F.max_by(posting, "block_id").alias("p"))
+    seen = blocks.select("doc_id", "block_id").distinct().groupBy("doc_id").agg(F.count("*").alias("n"))
+    repeated = broadcast_checked(seen.filter("n > 1").select("doc_id"), "repeated")
+    columns = POSTINGS_SCHEMA.names
+    single = blocks.join(repeated, "doc_id", "left_anti").select(*columns)
+    latest = (
+        blocks.join(repeated, "doc_id", "left_semi")
+        .groupBy("term", "doc_id")
+        .agg(F.max_by(F.struct("tf", "positions"), "block_id").alias("p"))
         .select("term", "doc_id", "p.tf", "p.positions")
     )
+    return single.unionByName(latest)
 
 
 def term_dictionary(terms: DataFrame, known: DataFrame | None = None) -> DataFrame:

@@ -130,8 +130,9 @@ def configurations(df: DataFrame) -> DataFrame:
 
 def grid_gaps(runs: DataFrame, batch: Sequence[str]) -> DataFrame:
     """Configurations without a result, per batch of runs."""
-    expected = configurations(runs.select(*batch).distinct())
-    return expected.join(runs, [*batch, *CONFIG], "left_anti")
+    done = runs.select(*batch, *CONFIG).distinct()
+    expected = configurations(done.select(*batch).distinct())
+    return expected.join(done, [*batch, *CONFIG], "left_anti")
 
 
 def append_runs(*logs: DataFrame) -> DataFrame:
@@ -176,27 +177,35 @@ def latency_vs_footprint(runs: DataFrame) -> DataFrame:
     return runs.select("query_processing", "indexing_stage", "datastore", "avg", "size")
 
 
-def runs_from_log(log: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
-    """Run results out of a query log: one run per batch and configuration.
+def tag_runs(log: DataFrame) -> DataFrame:
+    """Add to each row of an ``events`` log the configuration it ran under.
 
-    ``log`` is an ``events`` table. The user number, read in mixed radix, names the
-    configuration a query ran under; ``value`` is its latency, the length of ``props``
-    its share of the footprint.
+    The user number, read in mixed radix, names the configuration.
     """
     digit = F.col("user_id")
     config = {}
     for name, values in GRID.items():
         config[name] = F.element_at(F.array(*(F.lit(v) for v in values)), (digit % len(values) + 1).cast("int"))
         digit = F.floor(digit / len(values))
+    return log.withColumns(config)
+
+
+def runs_from_log(log: DataFrame, batch: Sequence[str] = (), tails: bool = True) -> DataFrame:
+    """Run results out of a query log: one run per batch and configuration.
+
+    ``value`` is the latency of a row, the length of ``props`` its share of the
+    footprint. ``tails=False`` leaves out the percentiles and the passes they need.
+    """
     keys = [*batch, *CONFIG]
-    tagged = log.withColumns(config)
+    tagged = tag_runs(log)
     runs = tagged.groupBy(*keys).agg(
         F.count("*").alias("queries"),
         F.avg("value").alias("avg"),
         F.sum(F.length("props")).cast("double").alias("size"),
         elapsed_seconds("ts").alias("elapsed"),
     )
-    tails = percentiles(tagged, keys, "value", {"p95": 0.95, "p99": 0.99})
-    return runs.join(tails, keys, "left").select(
-        *keys, "avg", "p95", "p99", per_second(F.col("queries"), F.col("elapsed")).alias("throughput"), "size"
-    )
+    rate = per_second(F.col("queries"), F.col("elapsed")).alias("throughput")
+    if not tails:
+        return runs.select(*keys, "avg", rate, "size")
+    points = percentiles(tagged, keys, "value", {"p95": 0.95, "p99": 0.99})
+    return runs.join(points, keys, "left").select(*keys, "avg", "p95", "p99", rate, "size")

@@ -140,10 +140,15 @@ def tfidf_index(spark, sf_dir):
 
 
 def _reingested(spark, sf_dir) -> DataFrame:
-    """Blocks of documents, then one later block that re-ingests ids with other texts."""
+    """Blocks of documents, then one later block that re-ingests ids with other texts.
+
+    Stored, as blocks are: the merge looks at them more than once.
+    """
     first = P.tf_postings(documents(spark, sf_dir)).withColumn("block_id", F.floor(F.col("doc_id") / 500))
     later = P.tf_postings(passages(spark, sf_dir), "query_id").withColumnRenamed("query_id", "doc_id")
-    return first.unionByName(later.withColumn("block_id", F.lit(1_000_000_000).cast("long")))
+    path = scratch_path(spark, "blocks")
+    S.write_blocks(first.unionByName(later.withColumn("block_id", F.lit(1_000_000_000).cast("long"))), path)
+    return S.read_blocks(spark, path)
 
 
 @query
@@ -154,9 +159,7 @@ def merge_blocks(spark, sf_dir):
 @query
 def merge_blocks_to_tables(spark, sf_dir):
     """Blocks written and read back, merged, and stored as dictionary and postings."""
-    path = scratch_path(spark, "blocks")
-    S.write_blocks(_reingested(spark, sf_dir), path)
-    merged = P.merge_blocks(S.read_blocks(spark, path))
+    merged = P.merge_blocks(_reingested(spark, sf_dir))
     target = scratch_path(spark, "merged")
     buckets = S.buckets_for(_bytes(spark, sf_dir))
     index = S.write_index(merged, read_documents(spark, _path(sf_dir, "documents")), target, buckets)
@@ -444,8 +447,8 @@ def _log(spark, sf_dir):
     return read_table(spark, sf_dir, "events")
 
 
-def _runs(spark, sf_dir):
-    return W.runs_from_log(_log(spark, sf_dir))
+def _runs(spark, sf_dir, tails=False):
+    return W.runs_from_log(_log(spark, sf_dir), tails=tails)
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -473,14 +476,14 @@ def size_label(spark, sf_dir):
 
 @query
 def run_results(spark, sf_dir):
-    return _rounded(_runs(spark, sf_dir), "avg", "p95", "p99", "throughput")
+    return _rounded(_runs(spark, sf_dir, tails=True), "avg", "p95", "p99", "throughput")
 
 
 @query
 def results_csv(spark, sf_dir):
     """Run results written as CSV and read back through coercion."""
     path = scratch_path(spark, "results")
-    RS.write_results(_rounded(_runs(spark, sf_dir), "avg", "p95", "p99", "throughput"), path)
+    RS.write_results(_rounded(_runs(spark, sf_dir, tails=True), "avg", "p95", "p99", "throughput"), path)
     return RS.read_results(spark, path)
 
 
@@ -507,8 +510,7 @@ def coerce_numeric(spark, sf_dir):
 def grid_gaps(spark, sf_dir):
     """Configurations without a run, per day and event type."""
     log = _log(spark, sf_dir).withColumn("day", F.to_date("ts").cast("string"))
-    runs = W.runs_from_log(log, ["day", "event_type"])
-    return W.grid_gaps(runs.select("day", "event_type", *RS.CONFIG), ["day", "event_type"])
+    return W.grid_gaps(W.tag_runs(log), ["day", "event_type"])
 
 
 @query

@@ -103,3 +103,39 @@ def test_large_side_path(spark, index, monkeypatch):
     expected = sorted(map(tuple, R.rank_batch(index, queries_of(spark, texts)).collect()))
     monkeypatch.setattr("lexigrid.operators.ranking.is_small", lambda df: False)
     assert sorted(map(tuple, R.rank_batch(index, queries_of(spark, texts)).collect())) == expected
+
+
+@pytest.mark.parametrize("scheme", R.SCHEMES)
+@pytest.mark.parametrize("k", [1, 3, 25])
+def test_pruned_batch_equals_the_direct_one(spark, index, monkeypatch, scheme, k):
+    """Passages of many words, short queries, ties, and a k beyond many result lists."""
+    from conftest import MEDIUM
+    from lexigrid.plans.registry import passages
+
+    long = passages(spark, MEDIUM).selectExpr("cast(query_id as string) as query_id", "text")
+    short = queries_of(spark, [*TF, "de la", "thth erin anea", "nothing known", "de"])
+    both = long.unionByName(short)
+    expected = sorted(map(tuple, R.rank_batch(index, both, k, scheme).collect()))
+    monkeypatch.setattr(R, "DIRECT_PAIRS", 0)
+    assert sorted(map(tuple, R.rank_batch(index, both, k, scheme).collect())) == expected
+
+
+def test_pruning_spares_pairs(spark, corpus, monkeypatch):
+    """A word of nearly every document meets the rare word's candidates only."""
+    texts = {d: "hot " * (1 + d % 2) + ("rare " * (3 + d % 5) if d % 40 == 0 else "") for d in range(2000)}
+    texts[2000] = "cold"
+    i = corpus(texts)
+    queries = queries_of(spark, ["hot rare"])
+    expected = sorted(map(tuple, R.rank_batch(i, queries, 5).collect()))
+    rows = []
+    inner = R._pruned_parts
+
+    def counted(*args):
+        parts = inner(*args)
+        rows.append(parts.count())
+        return parts
+
+    monkeypatch.setattr(R, "DIRECT_PAIRS", 0)
+    monkeypatch.setattr(R, "_pruned_parts", counted)
+    assert sorted(map(tuple, R.rank_batch(i, queries, 5).collect())) == expected
+    assert rows == [100]
