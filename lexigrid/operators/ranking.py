@@ -15,8 +15,9 @@ SCHEMES = ("tf", "tfidf")
 # Sums of doubles depend on their order in the last bits. Scores are rounded before
 # they are compared, so that ties are ties on every run.
 DIGITS = 6
-# Up to this many (query, posting) pairs a batch is scored without pruning.
-DIRECT_PAIRS = 1_000_000_000
+# Up to this many (query, posting) pairs a batch is scored without pruning, which costs
+# several passes of its own. The pairs are summed where they arise and never shuffled.
+DIRECT_PAIRS = 100_000_000_000
 # Pruning: tf values per term that a cut may reach, and the distance kept from the
 # bound, far above the error of a sum of doubles and of rounding to DIGITS.
 CUT_STEPS = 8
@@ -93,6 +94,20 @@ def _bag_terms(bags: DataFrame, key: str) -> DataFrame:
     return bags.select(key, F.explode_outer("bag").alias("term")).filter(F.col("term").isNotNull())
 
 
+def _direct_parts(index: Index, weighted: DataFrame, small: bool) -> DataFrame:
+    """``(leader, doc_id, tf, weight)`` for every posting of every query.
+
+    The postings of the wanted terms are shuffled by document, once, before they meet
+    the queries. The sum per (query, document) then needs no shuffle of its own, so
+    postings times queries never cross the network.
+    """
+    if not small:
+        return join_postings(index, weighted, ["doc_id", "tf"], small)
+    terms = weighted.select("term").distinct()
+    by_document = join_postings(index, terms, ["doc_id", "tf"], small).repartition("doc_id")
+    return by_document.join(F.broadcast(weighted), "term")
+
+
 def _pruned_parts(index: Index, weighted: DataFrame, k: int, small: bool) -> DataFrame:
     """``(leader, doc_id, tf, weight)`` rows that suffice for exact top-k answers.
 
@@ -179,7 +194,7 @@ def rank_batch(
     )
     pairs = weighted.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first().n
     if pairs <= DIRECT_PAIRS:
-        parts = join_postings(index, weighted, ["doc_id", "tf"], small)
+        parts = _direct_parts(index, weighted, small)
     else:
         parts = _pruned_parts(index, weighted, k, small)
     best = Window.partitionBy("leader").orderBy(F.desc("score"), "doc_id")
