@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from functools import cache, lru_cache
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,19 +16,25 @@ DELETED = r"(?U)[^a-z\s\x1c-\x1f]+"
 WORD = "[a-z]+"
 
 
-@cache
-def stop_words() -> tuple[str, ...]:
-    """Spark's English list without entries that cleaning makes unreachable.
-
-    Needs an active SparkSession (the list ships inside Spark ML).
+# Spark's default English stop words without the entries that hold an
+# apostrophe, which cleaning makes unreachable.
+STOP_WORDS = tuple(
     """
-    return tuple(w for w in StopWordsRemover.loadDefaultStopWords("english") if "'" not in w)
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
+    hers herself it its itself they them their theirs themselves what which who whom this that these
+    those am is are was were be been being have has had having do does did doing a an the and but if or
+    because as until while of at by for with about against between into through during before after
+    above below to from up down in out on off over under again further then once here there when where
+    why how all any both each few more most other some such no nor not only own same so than too very s
+    t can will just don should now cannot could ought would
+    """.split()
+)
 
 
 @cache
 def _stop_literals() -> tuple[Column, ...]:
     """The words as literals, made once: each takes a call into the JVM."""
-    return tuple(F.lit(w) for w in stop_words())
+    return tuple(F.lit(w) for w in STOP_WORDS)
 
 
 def clean(text: Column) -> Column:

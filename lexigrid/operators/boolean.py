@@ -138,17 +138,16 @@ def _weighted_literals(index: Index, clauses: DataFrame, small: bool) -> DataFra
     )
 
 
-def match_literals(index: Index, literals: DataFrame, mode: str, small: bool) -> DataFrame:
+def match_literals(index: Index, literals: DataFrame, mode: str, small: bool, phrases: bool = True) -> DataFrame:
     """``(literal, doc_id)`` for distinct ``(literal, words)``."""
     one = literals.filter(F.size("words") == 1).select("literal", F.get("words", F.lit(0)).alias("term"))
+    words = join_postings(index, one, ["doc_id"], small).select("literal", "doc_id")
+    if not phrases:
+        return words
     more = literals.filter(F.size("words") > 1).select(
         "literal", F.size("words").alias("n_slots"), F.posexplode("words").alias("slot", "term")
     )
-    return (
-        join_postings(index, one, ["doc_id"], small)
-        .select("literal", "doc_id")
-        .unionByName(match_phrases(index, more, "literal", mode, small))
-    )
+    return words.unionByName(match_phrases(index, more, "literal", mode, small))
 
 
 def match_batch(index: Index, clauses: DataFrame, mode: str = "pairwise") -> DataFrame:
@@ -176,7 +175,14 @@ def match_batch(index: Index, clauses: DataFrame, mode: str = "pairwise") -> Dat
 
     usable = literals.filter("df > 0")
     wanted = usable.select("literal", "words").distinct()
-    hits = materialize(match_literals(index, wanted, mode, small), "hits")
+    # What the workload does not use is left out of the plans: phrases, lone negations.
+    used = (
+        literals.groupBy(*clause)
+        .agg(F.max(F.size("words")).alias("longest"), F.count_if(positive).alias("positives"))
+        .agg(F.max(F.col("longest") > 1).alias("phrases"), F.max(F.col("positives") == 0).alias("free"))
+        .first()
+    )
+    hits = materialize(match_literals(index, wanted, mode, small, bool(used.phrases)), "hits")
 
     candidates = hits.join(
         broadcast_if(small, anchored.withColumnRenamed("rarest", "literal")), "literal"
@@ -200,6 +206,9 @@ def match_batch(index: Index, clauses: DataFrame, mode: str = "pairwise") -> Dat
         .select("query_id", "doc_id")
     )
 
+    if not used.free:
+        return met.distinct()
+
     # Clauses of negations only: every document except those hit. Clauses and documents
     # meet on a shard number, so no task sees more than its share of the documents.
     shards = spark.sparkContext.defaultParallelism * 4

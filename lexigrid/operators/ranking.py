@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexigrid.functions.stem import stem
 from lexigrid.functions.text import literal_tokens, tokens
 from lexigrid.operators.lookup import join_postings, only_terms
-from lexigrid.plans.session import broadcast_checked, broadcast_if, is_small, materialize
+from lexigrid.plans.session import broadcast_checked, broadcast_if, is_small, materialize, small_rows
 from lexigrid.sources.index_store import Index
 
 SCHEMES = ("tf", "tfidf")
@@ -94,7 +94,7 @@ def _bag_terms(bags: DataFrame, key: str) -> DataFrame:
     return bags.select(key, F.explode_outer("bag").alias("term")).filter(F.col("term").isNotNull())
 
 
-def _direct_parts(index: Index, weighted: DataFrame, small: bool) -> DataFrame:
+def _direct_parts(index: Index, wanted: DataFrame, weighted: DataFrame, small: bool) -> DataFrame:
     """``(leader, doc_id, tf, weight)`` for every posting of every query.
 
     The postings of the wanted terms are shuffled by document, once, before they meet
@@ -103,7 +103,7 @@ def _direct_parts(index: Index, weighted: DataFrame, small: bool) -> DataFrame:
     """
     if not small:
         return join_postings(index, weighted, ["doc_id", "tf"], small)
-    terms = weighted.select("term").distinct()
+    terms = wanted.select("term").distinct()
     by_document = join_postings(index, terms, ["doc_id", "tf"], small).repartition("doc_id")
     return by_document.join(F.broadcast(weighted), "term")
 
@@ -184,17 +184,21 @@ def rank_batch(
     bags = materialize(query_bags(queries, key, text, index.profile), "bags")
     leaders = bags.groupBy("bag").agg(F.min(key).alias("leader"))
     wanted = _bag_terms(leaders, "leader")
-    small = is_small(wanted)
-    weighted = materialize(
+    rows = small_rows(wanted)
+    small = rows is not None
+    weighted = (
         index.terms.select("term", "df")
         .join(broadcast_if(small, wanted), "term")
         .select("leader", "term", "df", weight.alias("weight"))
-        .filter("weight > 0"),
-        "weighted",
+        .filter("weight > 0")
     )
-    pairs = weighted.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first().n
-    if pairs <= DIRECT_PAIRS:
-        parts = _direct_parts(index, weighted, small)
+    direct = small and rows * index.total_docs <= DIRECT_PAIRS
+    if not direct:
+        # No term has more postings than there are documents; only now count them.
+        weighted = materialize(weighted, "weighted")
+        direct = weighted.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first().n <= DIRECT_PAIRS
+    if direct:
+        parts = _direct_parts(index, wanted, weighted, small)
     else:
         parts = _pruned_parts(index, weighted, k, small)
     best = Window.partitionBy("leader").orderBy(F.desc("score"), "doc_id")

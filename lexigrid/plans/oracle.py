@@ -6,7 +6,7 @@ except for the stop-word list and the query workload, which are data.
 
 from __future__ import annotations
 
-from lexigrid.functions.text import stop_words
+from lexigrid.functions.text import STOP_WORDS
 from lexigrid.plans.fixtures import WORKLOAD
 
 
@@ -17,7 +17,7 @@ def _quoted(words) -> str:
 def _toks(text: str) -> str:
     return (
         f"list_filter(regexp_split_to_array(regexp_replace(lower({text}), '[^a-z\\s]', '', 'g'), '\\s+'), "
-        f"lambda w: w <> '' AND w NOT IN ({_quoted(stop_words())}))"
+        f"lambda w: w <> '' AND w NOT IN ({_quoted(STOP_WORDS)}))"
     )
 
 
@@ -116,7 +116,7 @@ def _phrase_test(words: list[str], mode: str, toks: str = "toks") -> str:
 
 def _literal(text: str) -> str:
     """Documents for one literal of a Boolean query."""
-    words = [w for w in text.split() if w not in stop_words()]
+    words = [w for w in text.split() if w not in STOP_WORDS]
     if not words:
         return "SELECT doc_id FROM tok WHERE false"
     if len(words) == 1 or " " not in text.strip():
@@ -155,7 +155,7 @@ def _workload_terms() -> str:
     rows = [
         f"('{q}', '{w}')"
         for q, (_, text) in WORKLOAD.items()
-        for w in sorted({w for w in text.split() if w not in stop_words()})
+        for w in sorted({w for w in text.split() if w not in STOP_WORDS})
     ]
     return f"SELECT * FROM (VALUES {', '.join(rows)}) AS v(query_id, term)"
 

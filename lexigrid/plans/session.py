@@ -46,8 +46,11 @@ def local_table(spark: SparkSession, columns: dict, schema: str) -> DataFrame:
     return spark.createDataFrame(pa.table(columns), schema)
 
 
-def is_small(df: DataFrame) -> bool:
-    """Count rows and characters, stopping just past the bound."""
+def small_rows(df: DataFrame) -> int | None:
+    """The number of rows if rows and characters are within the bounds, else None.
+
+    Counting stops just past the bound.
+    """
     strings = [c for c, t in df.dtypes if t == "string"]
     chars = F.lit(0)
     for c in strings:
@@ -58,7 +61,11 @@ def is_small(df: DataFrame) -> bool:
         .agg(F.count("*").alias("n"), F.coalesce(F.sum("chars"), F.lit(0)).alias("chars"))
         .first()
     )
-    return size.n <= BROADCAST_MAX_ROWS and size.chars <= BROADCAST_MAX_CHARS
+    return size.n if size.n <= BROADCAST_MAX_ROWS and size.chars <= BROADCAST_MAX_CHARS else None
+
+
+def is_small(df: DataFrame) -> bool:
+    return small_rows(df) is not None
 
 
 def broadcast_if(small: bool, df: DataFrame) -> DataFrame:

@@ -50,6 +50,7 @@ class Index:
     terms: DataFrame
     stats: DataFrame
     buckets: int
+    total_docs: int
     profile: str = "plain"
 
 
@@ -129,12 +130,14 @@ def write_index(
 def read_index(spark: SparkSession, path: str, profile: str = "plain") -> Index:
     """Open a stored index; schemas are fixed, so nothing is inferred."""
     stats = spark.read.schema(STATS_SCHEMA).parquet(f"{path}/stats")
+    one = stats.first()
     return Index(
         docs=spark.read.schema("doc_id long").parquet(f"{path}/docs"),
         postings=spark.read.schema(STORED_POSTINGS).parquet(f"{path}/postings"),
         terms=spark.read.schema(TERMS_SCHEMA).parquet(f"{path}/terms"),
         stats=stats,
-        buckets=stats.first().buckets,
+        buckets=one.buckets,
+        total_docs=one.total_docs,
         profile=profile,
     )
 

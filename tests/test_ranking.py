@@ -101,7 +101,7 @@ def test_scores_against_brute_force(spark, corpus):
 def test_large_side_path(spark, index, monkeypatch):
     texts = list(TF)
     expected = sorted(map(tuple, R.rank_batch(index, queries_of(spark, texts)).collect()))
-    monkeypatch.setattr("lexigrid.operators.ranking.is_small", lambda df: False)
+    monkeypatch.setattr("lexigrid.operators.ranking.small_rows", lambda df: None)
     assert sorted(map(tuple, R.rank_batch(index, queries_of(spark, texts)).collect())) == expected
 
 

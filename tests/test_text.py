@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexigrid.functions.stem import stem
-from lexigrid.functions.text import literal_tokens, size_label, size_unit, size_value, stop_words
+from lexigrid.functions.text import STOP_WORDS, literal_tokens, size_label, size_unit, size_value
 from lexigrid.operators.analysis import analyze
 from lexigrid.plans.session import local_table
 
@@ -26,8 +26,22 @@ def test_tokens(spark, text, expected):
 
 
 def test_stop_words(spark):
-    assert len(stop_words()) == 131
-    assert not [w for w in stop_words() if "'" in w]
+    from pyspark.ml.feature import StopWordsRemover
+
+    words = StopWordsRemover.loadDefaultStopWords("english")
+    assert list(STOP_WORDS) == [w for w in words if "'" not in w]
+    assert len(STOP_WORDS) == 131
+
+
+def test_sql_needs_no_session():
+    import subprocess
+    import sys
+
+    code = "import __spark_entry__ as e; print(len(e.oracle_sql()), len(e.queries()))"
+    from conftest import ROOT
+
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=60)
+    assert out.stdout.split() == ["63", "64"], out.stderr
 
 
 def test_positions_follow_stop_word_removal(spark):
