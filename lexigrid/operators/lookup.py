@@ -72,14 +72,16 @@ def doc_freqs(index: Index, wanted: DataFrame) -> DataFrame:
     return wanted.join(found, "term", "left").select("term", F.coalesce("df", F.lit(0)).alias("df"))
 
 
-def nested_postings(postings: DataFrame) -> DataFrame:
-    """``(term, docs)`` with ``docs`` a map of doc_id to ``(tf, positions)``.
+def nested_postings(postings: DataFrame, docs_per_row: int = 100_000) -> DataFrame:
+    """``(term, part, docs)`` with ``docs`` a map of doc_id to ``(tf, positions)``.
 
-    An output view for chosen terms: one row holds a term's whole list, so it must
-    not be applied to the postings of a corpus.
+    A part covers ``docs_per_row`` consecutive document ids, so no row and no task
+    holds the whole list of a frequent term.
     """
     entry: Column = F.struct("doc_id", F.struct("tf", "positions").alias("posting"))
-    return postings.groupBy("term").agg(F.map_from_entries(F.collect_list(entry)).alias("docs"))
+    return postings.groupBy("term", F.floor(F.col("doc_id") / docs_per_row).alias("part")).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("docs")
+    )
 
 
 def flatten_postings(nested: DataFrame) -> DataFrame:

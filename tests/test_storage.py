@@ -63,6 +63,9 @@ def test_lookup(spark, corpus):
     nested = L.nested_postings(L.only_terms(i, ["red"]))
     assert nested.first().docs[0].positions == [0, 2]
     assert as_dict(L.flatten_postings(nested)) == as_dict(L.postings_of_term(i, "red"))
+    parts = L.nested_postings(L.only_terms(i, ["red"]), docs_per_row=1)
+    assert parts.count() == 2
+    assert as_dict(L.flatten_postings(parts)) == as_dict(L.postings_of_term(i, "red"))
 
 
 def test_blocks_round_trip(spark):
