@@ -2,17 +2,50 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.llm import quality_rules
+from lexigrid.llm import language, packing, quality_rules, secret_scan
 from lexigrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Folder of the tokenizer files: a parameter of the deployment.
+TOKENIZERS = os.environ.get("LEXIGRID_TOKENIZERS") or "/opt/tokenizers"
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All secret spans of every document: fixed patterns and zstandard novelty."""
+    rows = secret_scan.secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+    return rows.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+        count("novel").alias("n_novel"),
+    )
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(F.col("text"), spark, language.fit_documents(docs))
+    return docs.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), found.alias("p")).select(
+        "doc_id", "held_out", "p.lang_pred", "p.score", "p.ambiguous", "p.second"
+    )
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut and packed into sequences of 1,024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of every document, the base verdict and that of the production policy."""
     rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
@@ -25,7 +58,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_quality_rules,)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_language_id, op3_packing, op6_quality_rules)}
 
 
 QUALITY_SQL = r"""
