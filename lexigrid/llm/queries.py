@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.llm import language, packing, quality_rules, secret_scan
+from lexigrid.llm import jaccard_join, language, packing, quality_rules, secret_scan
 from lexigrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-#: Folder of the tokenizer files: a parameter of the deployment.
-TOKENIZERS = os.environ.get("LEXIGRID_TOKENIZERS") or "/opt/tokenizers"
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer's file lies; a parameter of the operators that read one."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +45,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents cut and packed into sequences of 1,024 tokens."""
-    return packing.pack(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,8 +59,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document and the number of its links."""
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_language_id, op3_packing, op6_quality_rules)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_language_id, op3_packing, op6_quality_rules, op9_jaccard_join)}
 
 
 QUALITY_SQL = r"""
