@@ -1,11 +1,17 @@
-"""The corpus pipeline: its stages over the documents, each written and read again."""
+"""The corpus pipeline: its stages over the documents, each written and read again.
+
+Every stage but the last returns the columns of its input. Null keys, null and empty texts, repeated rows and empty
+tables pass through as the operators define; a null, empty or letterless text ends at the quality rules.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexigrid.llm import quality_rules
+from lexigrid.llm import jaccard_join, language, packing, quality_rules, secret_scan
 from lexigrid.llm.common import table
+from lexigrid.llm.queries import tokenizer_file
 from lexigrid.plans.session import materialize
 
 
@@ -14,8 +20,37 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.drop_rejected(docs)
 
 
-STAGES = [("quality rules", quality)]
-#: Language decisions come from a trained model, which SQL can't express.
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is found and not ambiguous, by a model learned from the stage's own input."""
+    found = language.predict(F.col("text"), spark, language.fit_documents(docs))
+    judged = docs.select(F.struct("*").alias("row"), found.alias("found"))
+    kept = judged.filter((F.col("found.lang_pred") != language.UND) & ~F.col("found.ambiguous"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    return jaccard_join.keep_one(docs)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their secrets replaced by a mark."""
+    return secret_scan.redact(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents in sequences of 1,024 tokens."""
+    return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("language id", languages),
+    ("near duplicates", near_duplicates),
+    ("secret scan", secrets),
+    ("packing", packed),
+]
+#: Language decisions come from a trained model, near duplicates from iterated joins: SQL can't express them.
 ORACLE_SQL = None
 
 
