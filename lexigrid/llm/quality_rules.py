@@ -88,7 +88,10 @@ def measure(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     covered = F.transform("at", lambda p, i: F.least(F.coalesce(F.get("at", i + 1) - p, F.lit(WINDOW)), F.lit(WINDOW)))
     repeat = F.aggregate(covered, F.lit(0), lambda a, x: a + x)
     long = [F.col(c).cast("long").alias(c) for c in kept[1:]]
-    return df.select(F.col("__key").alias(key), *long, repeat.cast("long").alias("n_repeat_words"))
+    # Always true, but not deterministic to the optimizer: a filter on the ledger must not be moved below these
+    # projections, where it would measure the text anew for each step.
+    fixed = F.when(F.spark_partition_id() >= 0, repeat.cast("long"))
+    return df.select(F.col("__key").alias(key), *long, fixed.alias("n_repeat_words"))
 
 
 def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
