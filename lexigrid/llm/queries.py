@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.llm import jaccard_join, language, packing, quality_rules, secret_scan
+from lexigrid.llm import imatch, jaccard_join, language, packing, quality_rules, secret_scan
 from lexigrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,13 +59,26 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document, of its edited text, and their likeness."""
+    return imatch.edited(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        imatch.fingerprint(F.col("slots")).alias("fingerprint"),
+        imatch.fingerprint(F.col("edited_slots")).alias("edited_fingerprint"),
+        imatch.likeness(F.col("slots"), F.col("edited_slots")).alias("near_edited"),
+        imatch.likeness(F.col("slots"), F.col("next_slots")).alias("near_next"),
+    )
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document and the number of its links."""
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_language_id, op3_packing, op6_quality_rules, op9_jaccard_join)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_language_id, op3_packing, op6_quality_rules, op7_imatch, op9_jaccard_join)}
 
 
 QUALITY_SQL = r"""
