@@ -25,3 +25,12 @@ def driver_file(path: str) -> bytes:
 def broadcast_bytes(spark: SparkSession, data: object):
     """Send a bounded object to every worker once."""
     return spark.sparkContext.broadcast(data)
+
+
+def shared_fs(path: str):
+    """The file system and inner path of a folder that all executors reach."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = "/" + path[len("file:") :].lstrip("/")
+    return (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)

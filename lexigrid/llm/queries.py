@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.llm import imatch, jaccard_join, language, packing, quality_rules, secret_scan
+from lexigrid.llm import imatch, jaccard_join, language, packing, quality_rules, secret_scan, unigram, url_filter, warc
 from lexigrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,25 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+#: The rules of the URL query, and domains of the filter's own list.
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+LISTED = [
+    f"{name}.example.{top}/"
+    for name in ("spam-farm", "casino-win", "free-bets", "ads-track", "cheap-pills", "adult-x")
+    for top in ("com", "net", "org")
+]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES, LISTED)
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces and the score of the best segmentation of every document."""
+    return unigram.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of every document, the base verdict and that of the production policy."""
     rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
@@ -72,13 +91,32 @@ def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back."""
+    manifest = warc.write(warc.typed(table(spark, sf_dir, "pages")))
+    return warc.records(warc.read(manifest)).withColumnRenamed("key", "page_id")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document and the number of its links."""
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every document, and the digest of the text that they decode to."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    ids = unigram.encode(table(spark, sf_dir, "documents"), model)
+    return unigram.decode(ids, model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", F.sha2("text", 256).alias("decoded_sha256")
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_language_id, op3_packing, op6_quality_rules, op7_imatch, op9_jaccard_join)}
+    own = (
+        op1_secret_scan, op2_language_id, op3_packing, op4_url_filter, op5_token_counts, op6_quality_rules, op7_imatch,
+        op8_warc, op9_jaccard_join, op10_sentencepiece,
+    )
+    return {f.__name__: f for f in own}
 
 
 QUALITY_SQL = r"""
@@ -120,5 +158,46 @@ FROM l
 """
 
 
+_RULES = ", ".join(f"('{r}', '{v}')" for r, v in URL_RULES)
+_LISTED = ", ".join(f"('{r}')" for r in LISTED)
+_FITS = "(host = r_host OR suffix(host, '.' || r_host)) AND starts_with(path, r_path)"
+URL_SQL = f"""
+WITH rest AS (
+  SELECT row_number() OVER () AS rid, page_id,
+    CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), p AS (
+  SELECT rid, page_id,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM rest
+), rules AS (
+  SELECT rule, verdict, split_part(rule, '/', 1) AS r_host, substr(rule, strpos(rule, '/')) AS r_path
+  FROM (VALUES {_RULES}) AS v(rule, verdict)
+), listed AS (
+  SELECT split_part(rule, '/', 1) AS r_host, substr(rule, strpos(rule, '/')) AS r_path FROM (VALUES {_LISTED}) AS v(rule)
+), won AS (
+  SELECT rid, rule, verdict FROM p, rules WHERE {_FITS}
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length(rule) DESC, length(r_host) DESC) = 1
+), bad AS (
+  SELECT DISTINCT rid FROM p, listed WHERE {_FITS}
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN bad.rid IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM p LEFT JOIN won USING (rid) LEFT JOIN bad ON bad.rid = p.rid
+"""
+
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages
+), f AS (
+  SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+  CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to, true AS intact
+FROM p LEFT JOIN f USING (d)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_quality_rules": QUALITY_SQL}
+    return {"op4_url_filter": URL_SQL, "op6_quality_rules": QUALITY_SQL, "op8_warc": WARC_SQL}
