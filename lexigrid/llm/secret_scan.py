@@ -3,8 +3,8 @@
 Patterns find assignments, access keys and hexadecimal runs. The novelty test looks at strings in a sensitive
 context, a keyword within ``REACH`` characters before them: a compressor is primed with the identifier
 dictionary and with the text around the string, other occurrences of the string taken out, and the bytes that
-the string adds are its marginal cost. Natural words and known identifiers cost little; a string that costs
-``NOVEL`` of its own length or more, mixes letters with digits and overlaps no pattern span is reported.
+the string adds, less those that a known string of its length adds, are its marginal cost. Known words and identifiers
+cost little; a string that costs ``NOVEL`` of its own length or more, mixes letters with digits and overlaps no pattern span is reported.
 
 Defined results: a null text is an empty one and has no spans. Repeated rows are scanned alike. Offsets are code
 points of the whole text, ends exclusive. Spans sort by start, then by kind in the order of ``KINDS``. Very long
@@ -38,7 +38,7 @@ SENSITIVE = re.compile(
 )
 SENSITIVE_WORDS = ("passw", "pwd", "passphrase", "secret", "token", "api", "auth", "bearer", "credential", "key", "signature")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
-REACH, AROUND, NOVEL = 48, 2048, 0.6
+REACH, AROUND, NOVEL = 48, 2048, 0.35
 #: Identifiers and words of code that are no secrets; the first part of every dictionary.
 IDENTIFIERS = (
     "password username authorization authentication access_token refresh_token client_secret api_key private_key "
@@ -49,7 +49,7 @@ IDENTIFIERS = (
 
 
 def novelty(text: str, start: int, end: int) -> float:
-    """Marginal compressed bytes of a string, as a share of its own bytes."""
+    """Marginal compressed bytes of a string beyond those of a known one as long, as a share of its own bytes."""
     own = text[start:end]
     around = (text[max(0, start - AROUND) : start] + text[end : end + AROUND]).replace(own, " ")
     primer = zstandard.ZstdCompressionDict(
@@ -59,7 +59,8 @@ def novelty(text: str, start: int, end: int) -> float:
         level=19, dict_data=primer, write_content_size=False, write_checksum=False, write_dict_id=False
     )
     raw = own.encode()
-    return (len(press.compress(raw)) - len(press.compress(b""))) / len(raw)
+    known = IDENTIFIERS[: len(raw)]  # what the frame and one reference to the dictionary cost
+    return (len(press.compress(raw)) - len(press.compress(known))) / len(raw)
 
 
 def scan(text: str | None) -> list[tuple[int, int, int, str]]:

@@ -86,7 +86,7 @@ class _Archives:
     def write(self, header: bytes, payload: bytes) -> None:
         if self.out is None:
             self.file = f"{self.name}-{self.number:05d}.warc.gz"
-            self.out, self.records, self.bytes = self.fs.open_output_stream(f"{self.inner}/{self.file}"), 0, 0
+            self.out, self.records, self.bytes = self.fs.open_output_stream(f"{self.inner}/{self.file}", compression=None), 0, 0
         press = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
         view = memoryview(payload)
         for part in (header, *(view[i : i + CHUNK] for i in range(0, len(view), CHUNK)), _END):
@@ -196,7 +196,7 @@ def read(manifest: DataFrame) -> DataFrame:
             for path in batch.column(0).to_pylist():
                 fs, inner = shared_fs(path)
                 rows, size = [], 0
-                with fs.open_input_stream(inner) as source:
+                with fs.open_input_stream(inner, compression=None) as source:
                     for row in chunk_rows(source):
                         rows.append(row)
                         size += len(row[4])
