@@ -50,6 +50,18 @@ class Match:
             return self.index.docs.join(self.ids, "doc_id", "left_anti")
         return self.ids
 
+    def any_of(self, *others: Match) -> Match:
+        """OR of several matches with one distinct at the end, however many there are."""
+        if self.negated or any(o.negated for o in others):
+            out = self
+            for o in others:
+                out = out | o
+            return out
+        ids = self.ids
+        for o in others:
+            ids = ids.unionByName(o.ids)
+        return Match(self.index, ids.distinct())
+
 
 def _none(index: Index) -> DataFrame:
     return index.postings.filter(F.lit(False)).select("doc_id")
@@ -81,7 +93,7 @@ def match_all(index: Index, texts: Sequence[str]) -> Match:
     ids = (
         only_terms(index, words)
         .groupBy("doc_id")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count_distinct("term").alias("n"))
         .filter(F.col("n") == len(words))
         .select("doc_id")
     )
@@ -99,11 +111,14 @@ def query_clauses(literals: DataFrame, profile: str = "plain") -> DataFrame:
     """Analyse ``(query_id, clause_id, literal_id, text, negated)`` into clause rows.
 
     A query is an OR of clauses, a clause an AND of literals, a literal a word or a
-    phrase (text with a space), possibly negated. A word counts with its first token.
-    One row per slot; a literal without tokens keeps one row with a NULL term.
+    phrase, possibly negated. A column ``phrase`` says which; where it is missing or NULL, a text
+    of several pieces between white space is a phrase, as in :func:`match_phrase`. A word counts
+    with its first token. One row per slot; a literal without tokens keeps one row with a NULL term.
     """
     ids = ["query_id", "clause_id", "literal_id", "negated"]
-    is_phrase = F.trim("text").contains(" ")
+    is_phrase = F.col("text").rlike(r"(?U)[^\s\x1c-\x1f][\s\x1c-\x1f]+[^\s\x1c-\x1f]")
+    if "phrase" in literals.columns:
+        is_phrase = F.coalesce("phrase", is_phrase)
     found = literals.select(*ids, is_phrase.alias("phrase"), tokens(F.col("text")).alias("found"))
     words = F.when(F.col("phrase"), F.col("found")).otherwise(F.slice("found", 1, 1))
     rows = found.select(*ids, F.posexplode_outer(words).alias("slot", "term"))
@@ -160,6 +175,7 @@ def match_batch(index: Index, clauses: DataFrame, mode: str = "pairwise") -> Dat
     """
     spark = index.docs.sparkSession
     clause = ["query_id", "clause_id"]
+    clauses = materialize(clauses, "clauses")
     # All query-side tables below have at most as many rows and characters as this one.
     small = is_small(clauses)
     # Both tables are read several times below; written once, they are not recomputed.

@@ -67,8 +67,8 @@ def doc_freq(index: Index, term: str) -> DataFrame:
 
 def doc_freqs(index: Index, wanted: DataFrame) -> DataFrame:
     """``(term, df)`` for every wanted term; unknown terms get 0."""
-    wanted = wanted.select("term").distinct()
-    found = index.terms.join(broadcast_checked(wanted), "term", "left_semi").select("term", "df")
+    wanted = broadcast_checked(wanted.select("term").distinct(), "wanted")
+    found = index.terms.join(wanted, "term", "left_semi").select("term", "df")
     return wanted.join(found, "term", "left").select("term", F.coalesce("df", F.lit(0)).alias("df"))
 
 

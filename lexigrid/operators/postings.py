@@ -125,14 +125,16 @@ def corpus_stats_from_documents(docs: DataFrame, key: str = "doc_id", text: str
     )
 
 
-def merge_blocks(blocks: DataFrame) -> DataFrame:
+def merge_blocks(blocks: DataFrame, docs: DataFrame | None = None) -> DataFrame:
     """One posting per (term, document) out of partial indexes; the later block wins.
 
-    ``blocks`` has the postings columns and ``block_id``; a block holds a document once.
-    Only documents found in several blocks are aggregated. All others pass through, so
-    merging blocks of different documents shuffles no postings.
+    ``blocks`` has the postings columns and ``block_id``; a block holds a document once. ``docs`` lists the
+    ``(doc_id, block_id)`` of all blocks; without it they are taken from the postings. Only documents
+    found in several blocks are aggregated. All others pass through, so merging blocks of different
+    documents shuffles no postings.
     """
-    seen = blocks.select("doc_id", "block_id").distinct().groupBy("doc_id").agg(F.count("*").alias("n"))
+    held = blocks.select("doc_id", "block_id").distinct() if docs is None else docs
+    seen = held.groupBy("doc_id").agg(F.count("*").alias("n"))
     repeated = broadcast_checked(seen.filter("n > 1").select("doc_id"), "repeated")
     columns = POSTINGS_SCHEMA.names
     single = blocks.join(repeated, "doc_id", "left_anti").select(*columns)
@@ -180,6 +182,23 @@ def split_valid(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tup
     )
 
 
+def split_repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(valid, rejected)``: of the rows of an id the one with the greatest text is kept; ``(doc_id, reason)`` per other row.
+
+    Ids are counted without their texts; only the texts of repeated ids are compared.
+    """
+    counts = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    counts = broadcast_checked(counts, "repeated-ids")
+    if not counts.limit(1).count():
+        return docs, counts.select("doc_id", F.lit("repeated id").alias("reason"))
+    kept = docs.join(counts, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text"))
+    others = counts.select("doc_id", F.explode(F.sequence(F.lit(2), F.col("n").cast("int"))).alias("i"))
+    return (
+        docs.join(counts, "doc_id", "left_anti").select("doc_id", "text").unionByName(kept),
+        others.select("doc_id", F.lit("repeated id").alias("reason")),
+    )
+
+
 def rejected_postings(postings: DataFrame) -> DataFrame:
     """Posting rows that lack a key or positions, or whose tf contradicts them."""
     reason = (
@@ -197,9 +216,10 @@ def index_violations(terms: DataFrame, postings: DataFrame) -> DataFrame:
         return df.select(F.lit(name).alias("violation"), "term", doc.cast("long").alias("doc_id"))
 
     no_doc = F.lit(None)
-    keys = postings.groupBy("term", "doc_id").agg(F.count("*").alias("n"))
+    # Written once: the postings, and what they are analysed from, are not read twice.
+    keys = materialize(postings.groupBy("term", "doc_id").agg(F.count("*").alias("n")), "keys")
     words = terms.groupBy("term").agg(F.count("*").alias("n"))
-    used = postings.select("term").distinct()
+    used = keys.select("term").distinct()
     return (
         rows(keys.filter("n > 1"), "duplicate posting", F.col("doc_id"))
         .unionByName(rows(words.filter("n > 1 and term is not null"), "duplicate term", no_doc))

@@ -8,20 +8,13 @@ from pyspark.sql import functions as F
 from lexigrid.functions.stem import stem
 from lexigrid.functions.text import literal_tokens, tokens
 from lexigrid.operators.lookup import join_postings, only_terms
-from lexigrid.plans.session import broadcast_checked, broadcast_if, is_small, materialize, small_rows
+from lexigrid.plans.session import broadcast_if, is_small, materialize
 from lexigrid.sources.index_store import Index
 
 SCHEMES = ("tf", "tfidf")
 # Sums of doubles depend on their order in the last bits. Scores are rounded before
 # they are compared, so that ties are ties on every run.
 DIGITS = 6
-# Up to this many (query, posting) pairs a batch is scored without pruning, which costs
-# several passes of its own. The pairs are summed where they arise and never shuffled.
-DIRECT_PAIRS = 100_000_000_000
-# Pruning: tf values per term that a cut may reach, and the distance kept from the
-# bound, far above the error of a sum of doubles and of rounding to DIGITS.
-CUT_STEPS = 8
-CUT_MARGIN = 1e-4
 
 
 def idf(df: Column, total: Column) -> Column:
@@ -94,75 +87,17 @@ def _bag_terms(bags: DataFrame, key: str) -> DataFrame:
     return bags.select(key, F.explode_outer("bag").alias("term")).filter(F.col("term").isNotNull())
 
 
-def _direct_parts(index: Index, wanted: DataFrame, weighted: DataFrame, small: bool) -> DataFrame:
+def _parts(index: Index, wanted: DataFrame, weighted: DataFrame, small: bool) -> DataFrame:
     """``(leader, doc_id, tf, weight)`` for every posting of every query.
 
-    The postings of the wanted terms are shuffled by document, once, before they meet
-    the queries. The sum per (query, document) then needs no shuffle of its own, so
-    postings times queries never cross the network.
+    The postings of the wanted terms are shuffled by document, once, before they meet the queries. The sum
+    per (query, document) then needs no shuffle of its own, so postings times queries never cross the
+    network, and each task keeps k rows per query. Where the queries are too many to be broadcast, the
+    join with them is left to AQE, which splits a frequent term.
     """
-    if not small:
-        return join_postings(index, weighted, ["doc_id", "tf"], small)
     terms = wanted.select("term").distinct()
     by_document = join_postings(index, terms, ["doc_id", "tf"], small).repartition("doc_id")
-    return by_document.join(F.broadcast(weighted), "term")
-
-
-def _pruned_parts(index: Index, weighted: DataFrame, k: int, small: bool) -> DataFrame:
-    """``(leader, doc_id, tf, weight)`` rows that suffice for exact top-k answers.
-
-    Let the k-th largest tf of a query's term, times its weight, be at most t: then k
-    documents score t or more. Give each term a cut so that the sum of weight * cut
-    over the query stays below t. A document with no tf above its cut scores less than
-    t and needs no look. The others are candidates; their remaining postings join them
-    by (term, document), so a frequent term is read once and not once per query. Cuts
-    are spent where they spare the most postings.
-    """
-    terms = weighted.select("term").distinct()
-    levels = materialize(
-        join_postings(index, terms, ["tf"], small).groupBy("term", "tf").agg(F.count("*").alias("n")), "levels"
-    )
-    # A term has few distinct tf values, so these windows are short.
-    term = Window.partitionBy("term")
-    at_least = F.sum("n").over(term.orderBy(F.desc("tf")))
-    kth = levels.withColumn("rank", at_least).filter(F.col("rank") >= k).groupBy("term").agg(F.max("tf").alias("kth"))
-    reach = weighted.join(kth, "term").groupBy("leader").agg(F.max(F.col("weight") * F.col("kth")).alias("reach"))
-    rising = term.orderBy("tf")
-    steps = (
-        levels.withColumn("step", F.row_number().over(rising))
-        .withColumn("rise", F.col("tf") - F.lag("tf", 1, 0).over(rising))
-        # Falling along the steps of a term, so that low steps are chosen before high ones.
-        .withColumn("gain", F.min(F.col("n") / F.col("rise")).over(rising))
-        .filter(F.col("step") <= CUT_STEPS)
-        .select("term", "tf", "step", "rise", "gain")
-    )
-    order = Window.partitionBy("leader").orderBy(F.desc(F.col("gain") / F.col("weight")), "term", "step")
-    cut = (
-        weighted.join(steps, "term")
-        .join(reach, "leader")
-        .withColumn("spent", F.sum(F.col("weight") * F.col("rise")).over(order))
-        .filter(F.col("spent") < F.col("reach") - CUT_MARGIN)
-        .groupBy("leader", "term")
-        .agg(F.max("tf").alias("cut"))
-    )
-    cuts = materialize(
-        weighted.join(cut, ["leader", "term"], "left").select(
-            "leader", "term", "weight", F.coalesce("cut", F.lit(0)).alias("cut")
-        ),
-        "cuts",
-    )
-    above = join_postings(index, cuts, ["doc_id", "tf"], small).filter(F.col("tf") > F.col("cut"))
-    partly = cuts.filter("cut > 0")
-    needed = (
-        above.select("leader", "doc_id").distinct().join(broadcast_if(small, partly), "leader")
-    )
-    below = (
-        join_postings(index, partly.select("term").distinct(), ["doc_id", "tf"], small)
-        .join(broadcast_checked(needed, "needed"), ["term", "doc_id"])
-        .filter(F.col("tf") <= F.col("cut"))
-    )
-    rows = ["leader", "doc_id", "tf", "weight"]
-    return above.select(*rows).unionByName(below.select(*rows))
+    return by_document.join(broadcast_if(small, weighted), "term")
 
 
 def rank_batch(
@@ -177,30 +112,21 @@ def rank_batch(
 
     Queries with the same set of terms are scored once, so copies of one query cost
     nothing. Scores are summed per (query, document), a key without hot spots, and the
-    per-query limit runs before the shuffle by query as well as after it. When queries
-    and postings make very many pairs, those that cannot matter are left out first.
+    per-query limit runs before the shuffle by query as well as after it. The plan is the
+    same for every number of queries and postings.
     """
     weight = _weights(index, scheme)
     bags = materialize(query_bags(queries, key, text, index.profile), "bags")
     leaders = bags.groupBy("bag").agg(F.min(key).alias("leader"))
-    wanted = _bag_terms(leaders, "leader")
-    rows = small_rows(wanted)
-    small = rows is not None
+    wanted = materialize(_bag_terms(leaders, "leader"), "wanted")
+    small = is_small(wanted)
     weighted = (
         index.terms.select("term", "df")
         .join(broadcast_if(small, wanted), "term")
         .select("leader", "term", "df", weight.alias("weight"))
         .filter("weight > 0")
     )
-    direct = small and rows * index.total_docs <= DIRECT_PAIRS
-    if not direct:
-        # No term has more postings than there are documents; only now count them.
-        weighted = materialize(weighted, "weighted")
-        direct = weighted.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first().n <= DIRECT_PAIRS
-    if direct:
-        parts = _direct_parts(index, wanted, weighted, small)
-    else:
-        parts = _pruned_parts(index, weighted, k, small)
+    parts = _parts(index, wanted, weighted, small)
     best = Window.partitionBy("leader").orderBy(F.desc("score"), "doc_id")
     top = (
         parts.groupBy("leader", "doc_id")

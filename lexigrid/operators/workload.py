@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexigrid.functions.text import size_label
-from lexigrid.plans.session import broadcast_checked
+from lexigrid.plans.session import broadcast_checked, null_safe_join
 from lexigrid.sources.results import CONFIG
 
 # The settings a benchmark grid is made of.
@@ -46,7 +46,7 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, points: Mapping[
         (F.when(F.col("v") >= F.get("cuts", F.lit(i)), 1).otherwise(0) for i in range(len(bounds))),
         F.lit(0),
     )
-    zoned = data.join(broadcast_checked(sketch), keys).select(*keys, "v", zone.alias("zone"))
+    zoned = null_safe_join(data, broadcast_checked(sketch), keys).select(*keys, "v", zone.alias("zone"))
     zones = zoned.groupBy(*keys, "zone").agg(F.count("*").alias("n"))
     group = Window.partitionBy(*keys)
     before = group.orderBy("zone").rowsBetween(Window.unboundedPreceding, -1)
@@ -64,7 +64,7 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, points: Mapping[
     near = zones.filter(inside).select(*keys, "zone", "total", "skip")
     upto = Window.partitionBy(*keys, "zone").orderBy("v")
     ordered = (
-        zoned.join(broadcast_checked(near), [*keys, "zone"])
+        null_safe_join(zoned, broadcast_checked(near), [*keys, "zone"])
         .groupBy(*keys, "zone", "total", "skip", "v")
         .agg(F.count("*").alias("n"))
         .withColumn("last", F.col("skip") + F.sum("n").over(upto) - 1)
@@ -108,7 +108,8 @@ def per_second(count: Column, elapsed: Column) -> Column:
 def latency_summary(log: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
     """Mean, p95 and p99 per group."""
     means = log.groupBy(*keys).agg(F.count("*").alias("queries"), F.avg(value).alias("avg"))
-    return means.join(percentiles(log, keys, value, {"p95": 0.95, "p99": 0.99}), list(keys), "left")
+    points = percentiles(log, keys, value, {"p95": 0.95, "p99": 0.99})
+    return null_safe_join(means, points, list(keys), "left")
 
 
 def throughput(log: DataFrame, keys: Sequence[str], ts: str = "ts", ok: Column | None = None) -> DataFrame:
@@ -132,7 +133,7 @@ def grid_gaps(runs: DataFrame, batch: Sequence[str]) -> DataFrame:
     """Configurations without a result, per batch of runs."""
     done = runs.select(*batch, *CONFIG).distinct()
     expected = configurations(done.select(*batch).distinct())
-    return expected.join(done, [*batch, *CONFIG], "left_anti")
+    return null_safe_join(expected, done, [*batch, *CONFIG], "left_anti")
 
 
 def append_runs(*logs: DataFrame) -> DataFrame:
@@ -147,11 +148,17 @@ def with_size_label(df: DataFrame, size: str = "bytes") -> DataFrame:
     return df.withColumn("label", size_label(F.col(size)))
 
 
-def latency_by_mode(runs: DataFrame) -> DataFrame:
-    """Mean latency by index kind, one column per query mode."""
-    return runs.groupBy("indexing_stage").pivot("query_processing", list(GRID["query_processing"])).agg(
-        F.avg("avg")
-    )
+def _found(runs: DataFrame, column: str) -> list[str]:
+    """The grid's values of a setting and those that runs have besides, of which there are few."""
+    known = list(GRID[column])
+    more = runs.filter(F.col(column).isNotNull() & ~F.col(column).isin(*known)).select(column).distinct()
+    return known + sorted(r[0] for r in more.collect())
+
+
+def latency_by_mode(runs: DataFrame, modes: Sequence[str] | None = None) -> DataFrame:
+    """Mean latency by index kind, one column per query mode that is given or found."""
+    modes = list(modes or _found(runs, "query_processing"))
+    return runs.groupBy("indexing_stage").pivot("query_processing", modes).agg(F.avg("avg"))
 
 
 def size_by_store(runs: DataFrame) -> DataFrame:
@@ -162,10 +169,11 @@ def size_by_store(runs: DataFrame) -> DataFrame:
     )
 
 
-def skip_delta(runs: DataFrame) -> DataFrame:
-    """TAAT mean latency by index kind without and with the optimisation, and the change."""
+def skip_delta(runs: DataFrame, optimizations: Sequence[str] | None = None) -> DataFrame:
+    """TAAT mean latency by index kind per optimisation, given or found, and the change by skip pointers."""
     taat = runs.filter(F.col("query_processing") == "taat")
-    wide = taat.groupBy("indexing_stage").pivot("optimization", list(GRID["optimization"])).agg(F.avg("avg"))
+    settings = list(optimizations or _found(taat, "optimization"))
+    wide = taat.groupBy("indexing_stage").pivot("optimization", settings).agg(F.avg("avg"))
     return wide.withColumn("delta", F.col("skip_pointers") - F.col("none"))
 
 
@@ -208,4 +216,4 @@ def runs_from_log(log: DataFrame, batch: Sequence[str] = (), tails: bool = True)
     if not tails:
         return runs.select(*keys, "avg", rate, "size")
     points = percentiles(tagged, keys, "value", {"p95": 0.95, "p99": 0.99})
-    return runs.join(points, keys, "left").select(*keys, "avg", "p95", "p99", rate, "size")
+    return null_safe_join(runs, points, keys, "left").select(*keys, "avg", "p95", "p99", rate, "size")

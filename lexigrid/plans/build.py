@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexigrid.operators import postings as P
 from lexigrid.plans.session import materialize, spread
-from lexigrid.sources.index_store import Index, buckets_for, write_index
+from lexigrid.sources import index_store as S
 
 
 def build_index(
@@ -18,25 +19,48 @@ def build_index(
     codec: str = "zstd",
     key: str = "doc_id",
     text: str = "text",
-) -> Index:
-    """Analyse documents and write postings, terms, statistics and document ids.
-
-    ``plain``: texts are read and analysed once, and postings are shuffled once, into
-    their term buckets. ``porter``: plain postings are written first, so that the
-    vocabulary and the join read a table and the texts are still analysed once.
-    ``input_bytes`` sizes the buckets and tells whether the input is too small to
-    occupy the cluster by itself.
+) -> S.Index:
+    """Analyse documents and write postings, terms, statistics, document ids and rejected rows.
+
+    ``plain``: texts are analysed once, and postings are shuffled once, into their term buckets. ``porter``:
+    plain postings are written first, so that the vocabulary and the join read a table and the texts are
+    still analysed once. The size of the input is measured where ``input_bytes`` is not given; it sizes the
+    buckets and tells whether the input is too small to occupy the cluster by itself.
     """
-    buckets = buckets or buckets_for(input_bytes or 0)
-    valid, _ = P.split_valid(docs.select(key, text), key, text)
-    postings = P.tf_postings(spread(valid, key, input_bytes), key, text).withColumnRenamed(key, "doc_id")
+    if input_bytes is None:
+        input_bytes = S.measured_bytes(docs)
+    buckets = buckets or S.buckets_for(input_bytes)
+    valid, rejects = P.split_valid(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "doc_id", "text")
+    valid, repeated = P.split_repeated(valid)
+    rejects = rejects.select("doc_id", "reason").unionByName(repeated)
+    postings = P.tf_postings(spread(valid, "doc_id", input_bytes))
     if profile == "porter":
         postings = P.stem_postings(materialize(postings, "plain"))
-    return write_index(postings, docs.filter(docs[key].isNotNull()), path, buckets, profile, codec, key)
+    ids = docs.select(F.col(key).alias("doc_id")).filter("doc_id is not null")
+    if valid_ids_repeat(repeated):
+        ids = ids.distinct()
+    return S.write_index(postings, ids, path, buckets, profile, codec, rejects=rejects, input_bytes=input_bytes)
+
+
+def valid_ids_repeat(repeated: DataFrame) -> bool:
+    """Whether any id was found more than once."""
+    return repeated.limit(1).count() > 0
 
 
 def build_from_blocks(
-    blocks: DataFrame, docs: DataFrame, path: str, buckets: int, profile: str = "plain", codec: str = "zstd"
-) -> Index:
-    """Merge partial indexes into one; ``docs`` lists all documents, indexed or not."""
-    return write_index(P.merge_blocks(blocks), docs, path, buckets, profile, codec)
+    spark: SparkSession, blocks: str, path: str, buckets: int | None = None, profile: str = "plain", codec: str = "zstd"
+) -> S.Index:
+    """Merge a folder of partial indexes into one. The blocks say which documents there are."""
+    docs = S.read_block_docs(spark, blocks)
+    size = S.total_bytes(spark, f"{blocks}/postings")
+    merged = P.merge_blocks(S.read_blocks(spark, blocks), docs)
+    if profile == "porter":
+        merged = P.stem_postings(materialize(merged, "merged"))
+    rejects = None
+    try:
+        rejects = S.read_block_rejects(spark, blocks)
+    except Exception as e:  # blocks written from rows have no rejects
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+    ids = docs.select("doc_id").distinct()
+    return S.write_index(merged, ids, path, buckets or S.buckets_for(size), profile, codec, rejects=rejects, input_bytes=size)

@@ -207,6 +207,15 @@ def sql() -> dict[str, str]:
 mrg AS (SELECT * FROM ball QUALIFY row_number() OVER (PARTITION BY term, doc_id ORDER BY block DESC) = 1)"""
     porter = _stemmed_base(_ALL_VOCAB)
     tf_rows = f"SELECT term, doc_id, CAST(tf AS INTEGER) AS tf, {_JOINED} FROM "
+    mrg_stems = f"""{merged}, {_porter("SELECT DISTINCT term AS token FROM mrg")},
+mocc AS (SELECT term, doc_id, unnest(positions) AS pos FROM mrg),
+mspost AS (SELECT s.term, o.doc_id, count(*) AS tf, list(o.pos ORDER BY o.pos) AS positions
+          FROM mocc o JOIN stems s ON s.token = o.term GROUP BY s.term, o.doc_id)"""
+    echo = f"""{base}, echo AS (SELECT doc_id AS query_id, [toks[1], toks[2], toks[1]] AS toks FROM tok
+  WHERE doc_id % 50 = 0 AND len(toks) > 1)"""
+    streamed = f"""{base}, sall AS (SELECT term, doc_id, tf, positions FROM post UNION ALL
+  SELECT term, -query_id - 1, count(*), list(pos ORDER BY pos) FROM (
+    SELECT query_id, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos FROM qtok) GROUP BY term, query_id)"""
     passage = "' ' || array_to_string(q.toks, ' ') || ' '"
     return {
         "analyze_tokens": f"{base} SELECT doc_id, CAST(pos AS INTEGER) AS pos, term FROM occ",
@@ -232,11 +241,41 @@ SELECT term_id, doc_id, CAST(tf AS INTEGER) AS tf, {_JOINED} FROM mrg JOIN dict
   JOIN qterm q ON q.query_id = p.doc_id AND q.term = p.term
 UNION ALL SELECT DISTINCT 'posting without term', term, CAST(NULL AS BIGINT) FROM qterm
   WHERE term NOT IN (SELECT term FROM freq)""",
-        "read_sample": "SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars FROM documents WHERE doc_id < 500",
+        "rejected_postings": f"""{base} SELECT term, doc_id,
+  CASE WHEN length(term) = 2 THEN 'null positions' ELSE 'tf differs from positions' END AS reason
+FROM post WHERE length(term) = 2 OR tf = 3""",
+        "merge_blocks_porter": f"{mrg_stems} {tf_rows} mspost",
+        "index_stats": f"""{merged}
+SELECT 'one shot' AS build, (SELECT count(*) FROM documents) AS total_docs,
+  (SELECT count(DISTINCT doc_id) FROM post) AS indexed_docs, 'plain' AS profile
+UNION ALL SELECT 'stemmed', (SELECT count(*) FROM documents), (SELECT count(DISTINCT doc_id) FROM post), 'porter'
+UNION ALL SELECT 'merged', (SELECT count(*) FROM (SELECT doc_id FROM documents UNION SELECT item_id FROM benchmark)),
+  (SELECT count(DISTINCT doc_id) FROM mrg), 'plain'""",
+        "footprint": f"""{base} SELECT codec, (SELECT count(*) FROM post) AS postings,
+  (SELECT CAST(sum(tf) AS BIGINT) FROM post) AS occurrences, true AS stored, true AS no_larger
+FROM (VALUES ('none'), ('gzip'), ('zstd')) AS v(codec)""",
+        "read_sample": "SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars FROM documents ORDER BY doc_id LIMIT 500",
+        "index_freshness_stale": """SELECT count(*) AS stored_docs,
+  count(*) + (SELECT count(*) FROM benchmark) AS expected_docs, false AS fresh FROM documents""",
         "index_freshness": """SELECT count(*) AS stored_docs, count(*) AS expected_docs, true AS fresh
   FROM documents""",
         "stored_postings": f"{base} {tf_rows} post",
-        "stream_ingest": f"{base} {tf_rows} post",
+        "stream_ingest": f"{streamed} {tf_rows} sall",
+        "stream_ingest_not": f"""{streamed} SELECT doc_id FROM documents UNION ALL SELECT -item_id - 1 FROM benchmark
+EXCEPT SELECT doc_id FROM sall WHERE term = 'thth'""",
+        "phrase_table_pairwise": f"""{echo}, qocc AS (
+  SELECT query_id, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS slot FROM echo)
+SELECT query_id, doc_id FROM (
+  SELECT s.query_id, a.doc_id, count(DISTINCT s.slot) AS found FROM qocc z
+  JOIN occ a ON a.term = z.term JOIN qocc s ON s.query_id = z.query_id
+  JOIN occ b ON b.doc_id = a.doc_id AND b.term = s.term AND b.pos = a.pos + s.slot
+  WHERE z.slot = 0 GROUP BY s.query_id, a.doc_id) WHERE found = 3""",
+        "phrase_table_strict": f"""{echo} SELECT q.query_id, t.doc_id FROM echo q JOIN tok t
+  ON contains(' ' || array_to_string(t.toks, ' ') || ' ', {passage})""",
+        "bool_table": f"""{echo} SELECT CAST(q.query_id AS VARCHAR) AS query_id, t.doc_id FROM echo q JOIN tok t
+  ON (contains(' ' || array_to_string(t.toks, ' ') || ' ', ' ' || q.toks[1] || ' ' || q.toks[2] || ' ')
+      AND NOT list_contains(t.toks, 'thth'))
+  OR (list_contains(t.toks, q.toks[1]) AND list_contains(t.toks, q.toks[2]) AND list_contains(t.toks, 'erin'))""",
         "term_id_lookup": f"""{base} SELECT 'thth' AS term, count(*) AS term_id FROM freq
   WHERE term <= 'thth' AND EXISTS (SELECT 1 FROM freq WHERE term = 'thth') HAVING count(*) > 0""",
         "term_ids_lookup": f"""{base}, ids AS (SELECT term, row_number() OVER (ORDER BY term) AS term_id FROM freq)
@@ -285,9 +324,13 @@ FROM (SELECT DISTINCT doc_id FROM post WHERE term IN ('thth', 'erin')) ORDER BY
         "rank_tfidf_batch": base + _ranked("SELECT * FROM qterm", _TFIDF),
         "stem_words": f"{base}, {_porter(_VOCAB)} SELECT token, term FROM stems",
         "stem_postings": f"{porter} {tf_rows} spost",
-        "bool_porter": f"""{porter} SELECT doc_id FROM spost WHERE term = 'ation'
+        "bool_porter": f"""{porter} SELECT doc_id FROM spost WHERE term = 'er'
 EXCEPT SELECT a.doc_id FROM (SELECT doc_id, unnest(positions) AS pos FROM spost
   WHERE term IN (SELECT term FROM stems WHERE token = 'anea')) a
+JOIN (SELECT doc_id, unnest(positions) AS pos FROM spost
+  WHERE term IN (SELECT term FROM stems WHERE token = 'eriner')) b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1""",
+        "bool_porter_phrase": f"""{porter} SELECT DISTINCT a.doc_id FROM (SELECT doc_id, unnest(positions) AS pos FROM spost
+  WHERE term IN (SELECT term FROM stems WHERE token = 'anea')) a
 JOIN (SELECT doc_id, unnest(positions) AS pos FROM spost
   WHERE term IN (SELECT term FROM stems WHERE token = 'eriner')) b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1""",
         "rank_tfidf_porter": porter
@@ -298,6 +341,9 @@ JOIN (SELECT doc_id, unnest(positions) AS pos FROM spost
         "latency_summary": """SELECT event_type, count(*) AS queries, round(avg(value), 6) AS avg,
   round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99
 FROM events GROUP BY event_type""",
+        "latency_summary_null_keys": """SELECT CASE WHEN event_type <> 'click' THEN event_type END AS kind, count(*) AS queries,
+  round(avg(value), 6) AS avg, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99
+FROM events GROUP BY 1""",
         "throughput": """SELECT user_id, queries, round(elapsed, 6) AS elapsed,
   round(CASE WHEN elapsed > 0 THEN queries / elapsed ELSE 0 END, 6) AS throughput
 FROM (SELECT user_id, count(*) FILTER (event_type <> 'error') AS queries,

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.functions.text import size_unit, size_value
+from lexigrid.functions.text import tokens
 from lexigrid.operators import boolean as B
 from lexigrid.operators import lookup as L
 from lexigrid.operators import phrase as PH
@@ -19,12 +19,12 @@ from lexigrid.operators import postings as P
 from lexigrid.operators import ranking as R
 from lexigrid.operators import workload as W
 from lexigrid.operators.analysis import analyze, stem_vocabulary
-from lexigrid.plans.build import build_index
+from lexigrid.plans.build import build_from_blocks, build_index
 from lexigrid.plans.fixtures import boolean_literals, ranked_queries
 from lexigrid.plans.session import scratch_path, spread
 from lexigrid.sources import index_store as S
 from lexigrid.sources import results as RS
-from lexigrid.sources.documents import read_documents, read_table
+from lexigrid.sources.documents import read_documents, read_literals, read_table
 from lexigrid.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,34 +139,53 @@ def tfidf_index(spark, sf_dir):
     return rows.select("term", "doc_id", "tf", "df", F.round("idf", 6).alias("idf"))
 
 
-def _reingested(spark, sf_dir) -> DataFrame:
-    """Blocks of documents, then one later block that re-ingests ids with other texts.
-
-    Stored, as blocks are: the merge looks at them more than once.
-    """
-    first = P.tf_postings(documents(spark, sf_dir)).withColumn("block_id", F.floor(F.col("doc_id") / 500))
-    later = P.tf_postings(passages(spark, sf_dir), "query_id").withColumnRenamed("query_id", "doc_id")
+def _reingested(spark, sf_dir) -> str:
+    """A folder of blocks of documents, and one later block that re-ingests ids with other texts."""
+    order, last = F.floor(F.col("doc_id") / 500).alias("block_id"), F.lit(1_000_000_000).cast("long").alias("block_id")
+    first = P.tf_postings(documents(spark, sf_dir)).select("*", order)
+    again = passages(spark, sf_dir).withColumnRenamed("query_id", "doc_id")
+    ids = documents(spark, sf_dir).select("doc_id", order).unionByName(again.select("doc_id", last))
     path = scratch_path(spark, "blocks")
-    S.write_blocks(first.unionByName(later.withColumn("block_id", F.lit(1_000_000_000).cast("long"))), path)
-    return S.read_blocks(spark, path)
+    S.write_blocks(first.unionByName(P.tf_postings(again).select("*", last)), path, docs=ids)
+    return path
 
 
 @query
 def merge_blocks(spark, sf_dir):
-    return P.merge_blocks(_reingested(spark, sf_dir)).select("term", "doc_id", "tf", joined())
+    blocks = _reingested(spark, sf_dir)
+    merged = P.merge_blocks(S.read_blocks(spark, blocks), S.read_block_docs(spark, blocks))
+    return merged.select("term", "doc_id", "tf", joined())
 
 
 @query
 def merge_blocks_to_tables(spark, sf_dir):
     """Blocks written and read back, merged, and stored as dictionary and postings."""
-    merged = P.merge_blocks(_reingested(spark, sf_dir))
-    target = scratch_path(spark, "merged")
-    buckets = S.buckets_for(_bytes(spark, sf_dir))
-    index = S.write_index(merged, read_documents(spark, _path(sf_dir, "documents")), target, buckets)
+    index = build_from_blocks(spark, _reingested(spark, sf_dir), scratch_path(spark, "merged"))
     by_id = S.postings_by_id(index.terms, index.postings)
     return by_id.select("term_id", "doc_id", "tf", joined())
 
 
+@query
+def merge_blocks_porter(spark, sf_dir):
+    """The blocks merged into a stemmed index."""
+    index = build_from_blocks(spark, _reingested(spark, sf_dir), scratch_path(spark, "merged-porter"), profile="porter")
+    return index.postings.select("term", "doc_id", "tf", joined())
+
+
+@query
+def index_stats(spark, sf_dir):
+    """Statistics as they are read from stored indexes: one-shot, stemmed, and merged after a re-ingest."""
+    out = None
+    stored = {
+        "one shot": index_path(spark, sf_dir), "stemmed": index_path(spark, sf_dir, "porter"), "merged": scratch_path(spark, "stats"),
+    }
+    build_from_blocks(spark, _reingested(spark, sf_dir), stored["merged"])
+    for name, path in stored.items():
+        row = S.read_index(spark, path).stats.select(F.lit(name).alias("build"), "total_docs", "indexed_docs", "profile")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query
 def index_load(spark, sf_dir):
     """Dictionary joined to postings keyed by id, with df, in one table."""
@@ -180,7 +199,17 @@ def rejected_rows(spark, sf_dir):
     """Each document takes the text of the benchmark item of its id; most have none."""
     items = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     mixed = read_table(spark, sf_dir, "documents").select("doc_id").join(items, "doc_id", "left")
-    return P.split_valid(mixed)[1].select("doc_id", "reason")
+    return build_index(mixed, scratch_path(spark, "rejects")).rejects
+
+
+@query
+def rejected_postings(spark, sf_dir):
+    """Stored postings of which some lost their positions and others have a wrong tf."""
+    rows = index_of(spark, sf_dir).postings
+    lost = F.when(F.length("term") != 2, F.col("positions"))
+    wrong = F.when(F.col("tf") == 3, 4).otherwise(F.col("tf"))
+    broken = rows.select("term", "doc_id", wrong.alias("tf"), lost.alias("positions"))
+    return P.rejected_postings(broken).select("term", "doc_id", "reason")
 
 
 @query
@@ -204,6 +233,13 @@ def index_freshness(spark, sf_dir):
     return S.freshness(index_of(spark, sf_dir), docs)
 
 
+@query
+def index_freshness_stale(spark, sf_dir):
+    """Against the documents and the benchmark passages together, the index is stale."""
+    docs = read_table(spark, sf_dir, "documents").select("text")
+    return S.freshness(index_of(spark, sf_dir), docs.unionByName(passages(spark, sf_dir).select("text")))
+
+
 @query
 def stored_postings(spark, sf_dir):
     """Postings as they come back from the clustered files."""
@@ -212,25 +248,44 @@ def stored_postings(spark, sf_dir):
 
 @query
 def footprint(spark, sf_dir):
-    """Bytes of the postings per compression option."""
+    """Per compression option: what is read back, and whether it takes room, and no more than without compression."""
     index = index_of(spark, sf_dir)
-    out = None
+    out, plain = None, None
     for codec in ("none", "gzip", "zstd"):
         path = scratch_path(spark, f"codec-{codec}")
         S.write_postings(index.postings, path, index.buckets, codec)
-        size = S.footprint(spark, path).agg(F.sum("bytes").alias("bytes")).withColumn("codec", F.lit(codec))
-        out = size if out is None else out.unionByName(size)
-    return out.select(
-        "codec", "bytes", F.round(size_value(F.col("bytes")), 2).alias("size"), size_unit(F.col("bytes")).alias("unit")
-    )
+        size = S.total_bytes(spark, path)
+        plain = size if plain is None else plain
+        row = spark.read.schema(S.STORED_POSTINGS).parquet(path).agg(
+            F.count("*").alias("postings"), F.sum("tf").alias("occurrences")
+        ).select(
+            F.lit(codec).alias("codec"), "postings", "occurrences", F.lit(size > 0).alias("stored"), F.lit(size <= plain).alias("no_larger")
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @query
 def stream_ingest(spark, sf_dir):
-    """The documents file arrives as a stream; blocks are merged afterwards."""
-    blocks, checkpoint = scratch_path(spark, "stream-blocks"), scratch_path(spark, "stream-state")
-    ingest(spark, sf_dir, blocks, checkpoint, pattern="documents.parquet")
-    return P.merge_blocks(S.read_blocks(spark, blocks)).select("term", "doc_id", "tf", joined())
+    """Two streams of several micro-batches fill one folder of blocks: the documents, and benchmark passages
+    under negative ids; the index that the blocks give."""
+    return _streamed(spark, sf_dir).postings.select("term", "doc_id", "tf", joined())
+
+
+def _streamed(spark, sf_dir) -> S.Index:
+    blocks = scratch_path(spark, "stream-blocks")
+    shifted = passages(spark, sf_dir).select((-F.col("query_id") - 1).alias("doc_id"), "text")
+    for name, docs in (("documents", read_documents(spark, _path(sf_dir, "documents"))), ("passages", shifted)):
+        source = scratch_path(spark, f"stream-{name}")
+        docs.repartition(3, "doc_id").write.parquet(source)
+        ingest(spark, source, blocks, scratch_path(spark, "stream-state"), files_per_batch=1)
+    return build_from_blocks(spark, blocks, scratch_path(spark, "streamed"))
+
+
+@query
+def stream_ingest_not(spark, sf_dir):
+    """A complement over the streamed index: documents without tokens belong to it."""
+    return (~B.match_term(_streamed(spark, sf_dir), "thth")).documents()
 
 
 # Lookup.
@@ -366,6 +421,47 @@ def bool_batch(spark, sf_dir):
     return B.match_batch(index_of(spark, sf_dir), clauses)
 
 
+def _echo(spark, sf_dir) -> DataFrame:
+    """``(query_id, words)``: of every document whose id is divisible by 50, its first two words and the first again."""
+    docs = documents(spark, sf_dir).filter("doc_id % 50 = 0")
+    words = docs.select(F.col("doc_id").alias("query_id"), tokens(F.col("text")).alias("t")).filter(F.size("t") > 1)
+    return words.select("query_id", F.array(F.get("t", F.lit(0)), F.get("t", F.lit(1)), F.get("t", F.lit(0))).alias("words"))
+
+
+def _echo_slots(spark, sf_dir):
+    return PH.phrase_slots(_echo(spark, sf_dir).withColumn("text", F.array_join("words", " ")), "query_id")
+
+
+@query
+def phrase_table_pairwise(spark, sf_dir):
+    """Phrases with a repeated word, from a table; pairwise they match more than strictly."""
+    return PH.match_phrases(index_of(spark, sf_dir), _echo_slots(spark, sf_dir), "query_id", "pairwise")
+
+
+@query
+def phrase_table_strict(spark, sf_dir):
+    return PH.match_phrases(index_of(spark, sf_dir), _echo_slots(spark, sf_dir), "query_id", "strict")
+
+
+@query
+def bool_table(spark, sf_dir):
+    """A stored query table with phrases, negations and several clauses, read back by its reader:
+    (phrase of the two words AND NOT the first passage's first word) OR both words and 'erin'."""
+    words = _echo(spark, sf_dir).select(F.col("query_id").cast("string").alias("query_id"), "words")
+    first, second = F.get("words", F.lit(0)), F.get("words", F.lit(1))
+    pair = F.concat_ws(" ", first, second)
+    literal = lambda c, i, text, phrase, negated: F.struct(
+        F.lit(c).alias("clause_id"), F.lit(i).alias("literal_id"), text.alias("text"), F.lit(phrase).alias("phrase"), F.lit(negated).alias("negated")
+    )
+    rows = [
+        literal(0, 0, pair, True, False), literal(0, 1, F.lit("thth"), False, True),
+        literal(1, 0, first, False, False), literal(1, 1, second, False, False), literal(1, 2, F.lit("erin"), False, False),
+    ]
+    path = scratch_path(spark, "query-table")
+    words.select("query_id", F.inline(F.array(*rows))).write.parquet(path)
+    return B.match_batch(index_of(spark, sf_dir), B.query_clauses(read_literals(spark, path)))
+
+
 @query
 def bool_batch_passages(spark, sf_dir):
     """Documents that hold every word of a benchmark passage, for all passages."""
@@ -432,7 +528,14 @@ def stem_postings(spark, sf_dir):
 @query
 def bool_porter(spark, sf_dir):
     i = index_of(spark, sf_dir, "porter")
-    return (B.match_term(i, "ations") & ~B.match_phrase(i, "anea eriner")).documents()
+    return (B.match_term(i, "ering") & ~B.match_phrase(i, "anea eriner")).documents()
+
+
+@query
+def bool_porter_phrase(spark, sf_dir):
+    """A phrase of stems, over an index that is opened from its files."""
+    i = S.read_index(spark, index_path(spark, sf_dir, "porter"))
+    return B.match_phrase(i, "anea eriner").documents()
 
 
 @query
@@ -460,6 +563,13 @@ def latency_summary(spark, sf_dir):
     return _rounded(W.latency_summary(_log(spark, sf_dir), ["event_type"]), "avg", "p95", "p99")
 
 
+@query
+def latency_summary_null_keys(spark, sf_dir):
+    """Groups with a NULL key keep their percentiles."""
+    log = _log(spark, sf_dir).withColumn("kind", F.when(F.col("event_type") != "click", F.col("event_type")))
+    return _rounded(W.latency_summary(log, ["kind"]), "avg", "p95", "p99")
+
+
 @query
 def throughput(spark, sf_dir):
     ok = F.col("event_type") != "error"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_CHARS = 64 * 1024 * 1024
 # Spark's default spark.sql.files.maxPartitionBytes.
 SPLIT_BYTES = 128 * 1024 * 1024
+# Of a partition that AQE makes, at most.
+ADVISORY_BYTES = 64 * 1024 * 1024
 
 _local_roots: dict[str, str] = {}
 
@@ -29,7 +32,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         app = spark.sparkContext.applicationId
-        root = _local_roots.setdefault(app, tempfile.mkdtemp(prefix="lexigrid-"))
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="lexigrid-")
+        root = _local_roots[app]
     return f"{root.rstrip('/')}/lexigrid/{name}-{uuid.uuid4().hex}"
 
 
@@ -83,6 +88,31 @@ def broadcast_checked(df: DataFrame, name: str = "side") -> DataFrame:
     return broadcast_if(is_small(df), df)
 
 
+@contextmanager
+def partition_bytes(spark: SparkSession, input_bytes: int):
+    """Let AQE cut rebalanced rows into pieces that keep every core busy, of at most its usual size.
+
+    The plan is the same for every size of the input; only the size of its partitions follows.
+    """
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    usual = spark.conf.get(name, None)
+    each = input_bytes // (4 * spark.sparkContext.defaultParallelism)
+    spark.conf.set(name, str(max(1 << 18, min(ADVISORY_BYTES, each))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual) if usual else spark.conf.unset(name)
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join in which a NULL key meets a NULL key; the keys come out once."""
+    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def spread(docs: DataFrame, key: str, input_bytes: int | None = None) -> DataFrame:
     """Give a small input one partition per core.
 

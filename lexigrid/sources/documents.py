@@ -18,14 +18,30 @@ def read_documents(
 ) -> DataFrame:
     """``(doc_id, text)`` from any file format Spark reads.
 
-    Ids run from 0 without gaps, so the first ``sample_size`` documents are a range
-    of the key, which Parquet and ORC scans skip by.
+    ``sample_size`` takes the documents with the smallest ids, whatever gaps the ids have. Each task keeps
+    that many ids at most, and the texts are then read for the ids up to the largest of them, a range
+    that Parquet and ORC scans skip by.
     """
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     docs = reader.load(path).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return docs if sample_size is None else docs.filter(F.col("doc_id") < sample_size)
+    if sample_size is None:
+        return docs
+    first = docs.select("doc_id").filter("doc_id is not null").orderBy("doc_id").limit(sample_size)
+    last = first.agg(F.max("doc_id").alias("last")).first().last
+    return docs.filter(F.col("doc_id") <= last) if last is not None else docs.filter(F.lit(False))
+
+
+def read_queries(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
+    """A table of ranked queries: ``(query_id, text)``."""
+    return spark.read.format(fmt).schema("query_id string, text string").options(**options).load(path)
+
+
+def read_literals(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
+    """A table of Boolean queries in disjunctive normal form, one literal a row; ``phrase`` may be NULL."""
+    schema = "query_id string, clause_id int, literal_id int, text string, phrase boolean, negated boolean"
+    return spark.read.format(fmt).schema(schema).options(**options).load(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,16 +1,22 @@
 """The stored index: layout, writing, reading, size, freshness.
 
-Layout under one folder:
+Layout under one folder: each build writes its own ``version`` folder and, last, a row that names it
+in ``versions``. Readers open the latest version named there, so a build that fails changes nothing.
 
 ``postings``  one row per (term, document), partitioned by ``term_bucket``, sorted
               by term and document inside each file, Bloom filter on ``term``
 ``terms``     ``(term_id, term, df)`` sorted by term
-``stats``     one row: total_docs, indexed_docs, buckets
+``stats``     one row: total_docs, indexed_docs, buckets, profile
 ``docs``      the document ids (what NOT is taken against)
+``rejects``   ``(doc_id, reason)`` of the rows left out
+
+Blocks (partial indexes) lie under ``postings``, ``docs`` and ``rejects`` of their folder, each by source and
+batch, and carry ``block_id``, the order in which later blocks win.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,10 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexigrid.operators import postings as P
+from lexigrid.plans.session import partition_bytes
 
 CODECS = ("none", "gzip", "zstd", "snappy", "lz4")
 BUCKET_BYTES = 512 * 1024 * 1024
-MIN_BUCKETS, MAX_BUCKETS = 8, 16384
+MIN_BUCKETS, MAX_BUCKETS = 8, 1 << 18
 
 STORED_POSTINGS = T.StructType([*P.POSTINGS_SCHEMA, T.StructField("term_bucket", T.IntegerType())])
 TERMS_SCHEMA = T.StructType(
@@ -36,9 +43,13 @@ STATS_SCHEMA = T.StructType(
         T.StructField("total_docs", T.LongType()),
         T.StructField("indexed_docs", T.LongType()),
         T.StructField("buckets", T.IntegerType()),
+        T.StructField("profile", T.StringType()),
     ]
 )
 BLOCKS_SCHEMA = T.StructType([*P.POSTINGS_SCHEMA, T.StructField("block_id", T.LongType())])
+BLOCK_DOCS = "doc_id long, block_id long"
+REJECTS = "doc_id long, reason string"
+VERSIONS = "version string, written timestamp"
 
 
 @dataclass(frozen=True)
@@ -52,6 +63,7 @@ class Index:
     buckets: int
     total_docs: int
     profile: str = "plain"
+    rejects: DataFrame | None = None
 
 
 def bucket_of(term: Column, buckets: int) -> Column:
@@ -69,30 +81,27 @@ def _codec(codec: str) -> str:
     return codec
 
 
-def write_postings(postings: DataFrame, path: str, buckets: int, codec: str = "zstd") -> None:
+def write_postings(
+    postings: DataFrame, path: str, buckets: int, codec: str = "zstd", input_bytes: int | None = None
+) -> None:
     """Cluster postings by term bucket and write them, shuffling once.
 
-    With many buckets the rebalance hint shuffles by bucket, and AQE splits a bucket too
-    large for one task (a term in a third of all documents) and joins small ones. A
-    small index would end up in a single task that way; it is spread by bucket and
-    document instead.
+    The rebalance hint shuffles by bucket; AQE splits a bucket too large for one task (a term in a third of
+    all documents) and joins small ones. The plan is the same for every size; ``input_bytes`` only sizes the
+    partitions, so that a small index is written by all cores as well.
     """
-    rows = postings.select(*P.POSTINGS_SCHEMA.names).withColumn(
-        "term_bucket", bucket_of(F.col("term"), buckets)
-    )
-    if buckets > MIN_BUCKETS:
-        rows = rows.hint("rebalance", "term_bucket")
-    else:
-        rows = rows.repartition(4 * MIN_BUCKETS, "term_bucket", F.pmod("doc_id", F.lit(4)))
-    (
-        rows.sortWithinPartitions("term_bucket", "term", "doc_id")
-        .write.mode("overwrite")
-        .option("compression", _codec(codec))
-        .option("parquet.bloom.filter.enabled#term", "true")
-        .option("parquet.bloom.filter.adaptive.enabled", "true")
-        .partitionBy("term_bucket")
-        .parquet(path)
-    )
+    rows = postings.select(*P.POSTINGS_SCHEMA.names).withColumn("term_bucket", bucket_of(F.col("term"), buckets))
+    with partition_bytes(postings.sparkSession, input_bytes or 0):
+        (
+            rows.hint("rebalance", "term_bucket")
+            .sortWithinPartitions("term_bucket", "term", "doc_id")
+            .write.mode("overwrite")
+            .option("compression", _codec(codec))
+            .option("parquet.bloom.filter.enabled#term", "true")
+            .option("parquet.bloom.filter.adaptive.enabled", "true")
+            .partitionBy("term_bucket")
+            .parquet(path)
+        )
 
 
 def write_terms(terms: DataFrame, path: str, codec: str = "zstd") -> None:
@@ -109,36 +118,48 @@ def write_index(
     profile: str = "plain",
     codec: str = "zstd",
     key: str = "doc_id",
+    rejects: DataFrame | None = None,
+    input_bytes: int | None = None,
 ) -> Index:
-    """Write all tables of an index, replacing what was there."""
+    """Write all tables of an index as a new version, then make it the one that is read.
+
+    ``indexed_docs`` counts the distinct documents of the stored postings, which stays right for merged blocks.
+    """
     spark = postings.sparkSession
-    write_postings(postings, f"{path}/postings", buckets, codec)
-    stored = spark.read.schema(STORED_POSTINGS).parquet(f"{path}/postings")
-    write_terms(P.document_frequency(stored.select("term")), f"{path}/terms", codec)
-    docs.select(F.col(key).cast("long").alias("doc_id")).write.mode("overwrite").option(
-        "compression", codec
-    ).parquet(f"{path}/docs")
-    universe = spark.read.schema("doc_id long").parquet(f"{path}/docs")
-    # Each document with tokens has exactly one posting that holds position 0.
-    indexed = stored.agg(F.count_if(F.get("positions", F.lit(0)) == 0).alias("n"))
+    version = uuid.uuid4().hex
+    to = f"{path}/version-{version}"
+    write_postings(postings, f"{to}/postings", buckets, codec, input_bytes)
+    stored = spark.read.schema(STORED_POSTINGS).parquet(f"{to}/postings")
+    write_terms(P.document_frequency(stored.select("term")), f"{to}/terms", codec)
+    docs.select(F.col(key).cast("long").alias("doc_id")).write.option("compression", codec).parquet(f"{to}/docs")
+    if rejects is None:
+        rejects = spark.createDataFrame([], REJECTS)
+    rejects.select(F.col("doc_id").cast("long").alias("doc_id"), "reason").write.parquet(f"{to}/rejects")
+    universe = spark.read.schema("doc_id long").parquet(f"{to}/docs")
+    indexed = stored.select("doc_id").distinct().agg(F.count("*").alias("n"))
     universe.agg(F.count("*").alias("total_docs")).select(
-        "total_docs", indexed.scalar().alias("indexed_docs"), F.lit(buckets).alias("buckets")
-    ).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
-    return read_index(spark, path, profile)
-
-
-def read_index(spark: SparkSession, path: str, profile: str = "plain") -> Index:
-    """Open a stored index; schemas are fixed, so nothing is inferred."""
-    stats = spark.read.schema(STATS_SCHEMA).parquet(f"{path}/stats")
+        "total_docs", indexed.scalar().alias("indexed_docs"), F.lit(buckets).alias("buckets"), F.lit(profile).alias("profile")
+    ).coalesce(1).write.parquet(f"{to}/stats")
+    named = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("written"))
+    named.coalesce(1).write.mode("append").parquet(f"{path}/versions")
+    return read_index(spark, path)
+
+
+def read_index(spark: SparkSession, path: str) -> Index:
+    """Open the latest version of a stored index; schemas are fixed, and the profile is the stored one."""
+    latest = spark.read.schema(VERSIONS).parquet(f"{path}/versions").orderBy(F.desc("written"), "version").first()
+    at = f"{path}/version-{latest.version}"
+    stats = spark.read.schema(STATS_SCHEMA).parquet(f"{at}/stats")
     one = stats.first()
     return Index(
-        docs=spark.read.schema("doc_id long").parquet(f"{path}/docs"),
-        postings=spark.read.schema(STORED_POSTINGS).parquet(f"{path}/postings"),
-        terms=spark.read.schema(TERMS_SCHEMA).parquet(f"{path}/terms"),
+        docs=spark.read.schema("doc_id long").parquet(f"{at}/docs"),
+        postings=spark.read.schema(STORED_POSTINGS).parquet(f"{at}/postings"),
+        terms=spark.read.schema(TERMS_SCHEMA).parquet(f"{at}/terms"),
         stats=stats,
         buckets=one.buckets,
         total_docs=one.total_docs,
-        profile=profile,
+        profile=one.profile,
+        rejects=spark.read.schema(REJECTS).parquet(f"{at}/rejects"),
     )
 
 
@@ -160,7 +181,7 @@ def save_tables(index: Index, prefix: str, codec: str = "zstd", buckets: int | N
     index.terms.write.mode("overwrite").option("compression", _codec(codec)).saveAsTable(f"{prefix}_terms")
     (
         index.postings.drop("term_bucket")
-        .hint("rebalance", "term")
+        .repartition(n, "term")  # as the table is bucketed, so that a task writes one bucket
         .write.mode("overwrite")
         .option("compression", codec)
         .bucketBy(n, "term")
@@ -179,29 +200,63 @@ def write_jdbc(index: Index, url: str, prefix: str, **options) -> None:
         df.write.format("jdbc").options(url=url, dbtable=f"{prefix}_{name}", **opts).mode("overwrite").save()
 
 
-def write_block(postings: DataFrame, path: str, block_id: int, codec: str = "zstd") -> None:
-    """Write one partial index; writing the same block again replaces it."""
-    postings.select(*P.POSTINGS_SCHEMA.names).write.mode("overwrite").option(
-        "compression", _codec(codec)
-    ).parquet(f"{path}/block_id={int(block_id)}")
+def write_block(
+    postings: DataFrame,
+    docs: DataFrame,
+    rejects: DataFrame | None,
+    path: str,
+    source: str,
+    batch: int,
+    block_id: int,
+    codec: str = "zstd",
+) -> None:
+    """Write one partial index with its document ids and rejects.
+
+    It lies under its source and batch; writing that batch again replaces it and nothing else.
+    """
+    at, order = f"source={source}/batch={int(batch)}", F.lit(int(block_id)).cast("long").alias("block_id")
+    tables = {
+        "postings": postings.select(*P.POSTINGS_SCHEMA.names, order),
+        "docs": docs.select(F.col("doc_id").cast("long").alias("doc_id"), order),
+    }
+    if rejects is not None:
+        tables["rejects"] = rejects.select(F.col("doc_id").cast("long").alias("doc_id"), "reason")
+    for name, df in tables.items():
+        df.write.mode("overwrite").option("compression", _codec(codec)).parquet(f"{path}/{name}/{at}")
+
 
+def write_blocks(blocks: DataFrame, path: str, codec: str = "zstd", source: str = "rows", docs: DataFrame | None = None) -> None:
+    """Write rows that carry ``block_id``; only the blocks present are replaced.
 
-def write_blocks(blocks: DataFrame, path: str, codec: str = "zstd") -> None:
-    """Write rows that carry ``block_id``; only the blocks present are replaced."""
-    (
-        blocks.select(*BLOCKS_SCHEMA.names)
-        .hint("rebalance", "block_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", _codec(codec))
-        .partitionBy("block_id")
-        .parquet(path)
-    )
+    ``docs`` lists ``(doc_id, block_id)``; without it the documents that have postings are listed.
+    """
+    if docs is None:
+        docs = blocks.select("doc_id", "block_id").distinct()
+    for name, df in (("postings", blocks.select(*BLOCKS_SCHEMA.names)), ("docs", docs.select("doc_id", "block_id"))):
+        (
+            df.withColumns({"source": F.lit(source), "batch": F.col("block_id")})
+            .hint("rebalance", "batch")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", _codec(codec))
+            .partitionBy("source", "batch")
+            .parquet(f"{path}/{name}")
+        )
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """All partial indexes; a filter on ``block_id`` prunes directories."""
-    return spark.read.schema(BLOCKS_SCHEMA).option("basePath", path).parquet(path)
+    """The postings of all partial indexes; a filter on ``block_id`` skips row groups."""
+    return spark.read.schema(BLOCKS_SCHEMA).parquet(f"{path}/postings")
+
+
+def read_block_docs(spark: SparkSession, path: str) -> DataFrame:
+    """``(doc_id, block_id)``: the documents of all partial indexes, those without tokens included."""
+    return spark.read.schema(BLOCK_DOCS).parquet(f"{path}/docs")
+
+
+def read_block_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``(doc_id, reason)`` of the rows that ingest left out."""
+    return spark.read.schema(REJECTS).parquet(f"{path}/rejects")
 
 
 def footprint(spark: SparkSession, path: str) -> DataFrame:
@@ -218,6 +273,12 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     return footprint(spark, path).agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("b")).first().b
 
 
+def measured_bytes(docs: DataFrame) -> int:
+    """Bytes of the files a DataFrame is read from; 0 if it is read from none. Contents are not read."""
+    files = docs.inputFiles()
+    return docs.sparkSession.read.format("binaryFile").load(files).agg(F.sum("length").alias("n")).first().n if files else 0
+
+
 def freshness(index: Index, docs: DataFrame) -> DataFrame:
     """One row: stored and expected document count and whether they agree."""
     expected = docs.agg(F.count("*").alias("n")).scalar()

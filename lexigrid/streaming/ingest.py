@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.operators.postings import split_valid, tf_postings
+from lexigrid.operators.postings import split_repeated, split_valid, tf_postings
+from lexigrid.plans.session import materialize
 from lexigrid.sources.index_store import write_block
 
 
@@ -18,25 +21,33 @@ def ingest(
     files_per_batch: int = 100,
     pattern: str | None = None,
     codec: str = "zstd",
+    key: str = "doc_id",
+    text: str = "text",
 ) -> None:
     """Index all files that have arrived in ``source`` since the last call.
 
-    Each micro-batch is one block named by its batch id. A batch that is repeated
-    after a failure overwrites its own block, so every file counts once. The work per
-    document is stateless; nothing is shuffled.
+    Each micro-batch is one block with its documents and rejects. It is named by the stream, whose id the
+    checkpoint keeps, and the batch: several streams can share a blocks folder, a batch repeated after a
+    failure overwrites its own block, and a stream begun anew adds blocks beside the old ones. Blocks are
+    ordered by the time they were written, and the later wins in a merge. Stemming comes with the merge
+    (:func:`lexigrid.plans.build.build_from_blocks`).
     """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    docs = reader.parquet(source)
+    docs = reader.parquet(source).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        valid, _ = split_valid(batch)
-        write_block(tf_postings(valid), blocks, batch_id, codec)
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch = materialize(batch, "batch")  # its texts are looked at for rejects, ids and postings
+        valid, rejects = split_valid(batch)
+        valid, repeated = split_repeated(valid)
+        rejects = rejects.select("doc_id", "reason").unionByName(repeated)
+        ids = batch.select("doc_id").filter("doc_id is not null").distinct()
+        write_block(tf_postings(valid), ids, rejects, blocks, stream, batch_id, time.time_ns() // 1000, codec)
 
     (
-        docs.select("doc_id", F.col("text"))
-        .writeStream.foreachBatch(write)
+        docs.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -10,6 +10,8 @@ from lexigrid.operators import boolean as B
 from lexigrid.operators import postings as P
 from lexigrid.operators import ranking as R
 from lexigrid.plans import registry
+from lexigrid.plans.build import build_index
+from lexigrid.plans.session import local_table, scratch_path
 from lexigrid.sources.documents import read_documents
 
 
@@ -83,8 +85,12 @@ def test_only_the_file_offsets_are_windowed_without_partition(spark):
         assert "Exchange SinglePartition" not in re.sub(r"(?s)Subquery.*?(?=\n\S|\Z)", "", text)
 
 
-def test_hot_word_is_split_over_files(spark, corpus):
+def test_hot_word_is_split_over_files(spark, monkeypatch):
     """A word of every document is not tied to one task of the index write."""
-    index = corpus({d: "hot" for d in range(400)})
+    monkeypatch.setattr("lexigrid.plans.session.ADVISORY_BYTES", 1)
+    docs = local_table(
+        spark, {"doc_id": list(range(60_000)), "text": ["hot"] * 60_000}, "doc_id long, text string"
+    ).repartition(8)
+    index = build_index(docs, scratch_path(spark, "hot"))
     files = index.postings.filter("term = 'hot'").select(F.col("_metadata.file_path")).distinct().count()
     assert files > 1

@@ -29,7 +29,7 @@ def test_unknown_codec(spark):
         S.write_postings(P.tf_postings(docs_of(spark, TEXTS)), scratch_path(spark, "x"), 8, "zlib")
 
 
-@pytest.mark.parametrize("buckets", [8, 16])
+@pytest.mark.parametrize("buckets", [8, 9, 16])
 def test_files_are_sorted_and_buckets_hold_their_terms(spark, corpus, buckets):
     i = corpus(TEXTS, buckets=buckets)
     assert i.buckets == buckets
@@ -46,7 +46,7 @@ def test_files_are_sorted_and_buckets_hold_their_terms(spark, corpus, buckets):
 def test_buckets_follow_input_size():
     assert S.buckets_for(0) == 8
     assert S.buckets_for(64 * 2**30) == 128
-    assert S.buckets_for(100 * 2**40) == S.MAX_BUCKETS
+    assert S.buckets_for(100 * 2**40) == 204_800
 
 
 def test_lookup(spark, corpus):
@@ -83,8 +83,9 @@ def test_blocks_round_trip(spark):
 
 def test_build_from_blocks_equals_one_shot_build(spark, corpus):
     docs = docs_of(spark, TEXTS)
-    blocks = P.tf_postings(docs).withColumn("block_id", F.floor(F.col("doc_id") / 7))
-    merged = build_from_blocks(blocks, docs, scratch_path(spark, "merged"), 8)
+    path = scratch_path(spark, "blocks")
+    S.write_blocks(P.tf_postings(docs).withColumn("block_id", F.floor(F.col("doc_id") / 7)), path)
+    merged = build_from_blocks(spark, path, scratch_path(spark, "merged"), 8)
     single = corpus(TEXTS)
     for name in ("terms", "stats", "docs"):
         rows = [sorted(map(tuple, getattr(i, name).collect())) for i in (merged, single)]
@@ -106,7 +107,51 @@ def test_rebuild_replaces(spark):
     i = build_index(docs_of(spark, {0: "sky", 1: ""}), path)
     assert as_dict(i.postings) == {("sky", 0): [0]}
     assert [tuple(r) for r in i.terms.collect()] == [(1, "sky", 1)]
-    assert tuple(i.stats.first()) == (2, 1, 8)
+    assert tuple(i.stats.first()) == (2, 1, 8, "plain")
+
+
+def test_profile_is_stored_and_stems_reach_merged_blocks(spark, corpus):
+    from lexigrid.operators.boolean import match_term
+
+    path = scratch_path(spark, "blocks")
+    S.write_blocks(P.tf_postings(docs_of(spark, {0: "horse", 1: "horses run"})).withColumn("block_id", F.lit(1).cast("long")), path)
+    target = scratch_path(spark, "porter")
+    build_from_blocks(spark, path, target, profile="porter")
+    index = S.read_index(spark, target)
+    assert index.profile == "porter"
+    assert sorted(r.doc_id for r in match_term(index, "horses").documents().collect()) == [0, 1]
+
+
+def test_size_is_measured_when_none_is_given(spark, monkeypatch):
+    from lexigrid.plans.build import build_index
+
+    monkeypatch.setattr(S, "BUCKET_BYTES", 20_000)
+    docs = read_documents(spark, f"{SMALL}/documents.parquet")
+    size = os.path.getsize(f"{SMALL}/documents.parquet")
+    assert build_index(docs, scratch_path(spark, "sized")).buckets == max(8, size // 20_000) > 8
+
+
+def test_repeated_ids_and_nulls_are_rejected_and_counted(spark):
+    from lexigrid.plans.build import build_index
+
+    rows = [(1, "red"), (1, "sky"), (1, "sky"), (2, None), (None, "blue"), (3, "sea")]
+    i = build_index(spark.createDataFrame(rows, "doc_id long, text string"), scratch_path(spark, "rejects"))
+    assert sorted((r.doc_id or 0, r.reason) for r in i.rejects.collect()) == [
+        (0, "null id"), (1, "repeated id"), (1, "repeated id"), (2, "null text"),
+    ]
+    assert as_dict(i.postings) == {("sky", 1): [0], ("sea", 3): [0]}
+    assert tuple(i.stats.first())[:2] == (3, 2)
+
+
+def test_failed_rebuild_leaves_the_old_version(spark, monkeypatch):
+    from lexigrid.plans.build import build_index
+
+    path = scratch_path(spark, "kept")
+    build_index(docs_of(spark, {0: "sky"}), path)
+    monkeypatch.setattr(S, "write_terms", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        build_index(docs_of(spark, {0: "sea", 1: "red"}), path)
+    assert as_dict(S.read_index(spark, path).postings) == {("sky", 0): [0]}
 
 
 def test_catalog_tables(spark, corpus):
@@ -125,7 +170,14 @@ def test_read_documents_sample_is_pushed_down(spark):
     docs = read_documents(spark, f"{SMALL}/documents.parquet", sample_size=10)
     assert sorted(r.doc_id for r in docs.collect()) == list(range(10))
     plan = docs._jdf.queryExecution().executedPlan().toString()
-    assert "LessThan(doc_id,10)" in plan
+    assert "LessThanOrEqual(doc_id,9)" in plan
+
+
+def test_sample_of_ids_with_gaps(spark):
+    path = scratch_path(spark, "gaps")
+    docs_of(spark, {10 * i: "red" for i in range(1, 21)}).write.parquet(path)
+    assert sorted(r.doc_id for r in read_documents(spark, path, sample_size=5).collect()) == [10, 20, 30, 40, 50]
+    assert read_documents(spark, path, sample_size=0).count() == 0
 
 
 def test_other_formats(spark):
@@ -151,6 +203,19 @@ def test_stream_ingest_in_two_steps_equals_batch(spark):
     assert os.path.basename(blocks).startswith("blocks")
 
 
+def test_a_second_stream_adds_to_the_first(spark):
+    blocks = scratch_path(spark, "blocks")
+    for texts in ({0: "red", 7: ""}, {5: "sky", 0: "sea"}, {None: "x", 8: None}):
+        source = scratch_path(spark, "in")
+        spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1).write.parquet(source)
+        ingest(spark, source, blocks, scratch_path(spark, "state"))
+    index = build_from_blocks(spark, blocks, scratch_path(spark, "merged"))
+    assert as_dict(index.postings) == {("red", 0): [0], ("sea", 0): [0], ("sky", 5): [0]}
+    assert sorted(r.doc_id for r in index.docs.collect()) == [0, 5, 7, 8]
+    assert sorted((r.doc_id or -1, r.reason) for r in index.rejects.collect()) == [(-1, "null id"), (8, "null text")]
+    assert tuple(index.stats.first())[:2] == (4, 2)
+
+
 def test_scratch_lies_in_the_configured_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
