@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +26,33 @@ def driver_file(path: str) -> bytes:
         return f.read()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession | None = None) -> None:
+    """Send this package's source to the workers, once per application.
+
+    Tasks refer to its functions by name; workers need not have it installed or share the driver's folders.
+    """
+    spark = spark or SparkSession.active()
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="package-"), "lexigrid_source.zip")
+    with zipfile.ZipFile(target, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(target)
+    _shipped.add(app)
+
+
 def broadcast_bytes(spark: SparkSession, data: object):
     """Send a bounded object to every worker once."""
+    ship(spark)
     return spark.sparkContext.broadcast(data)
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexigrid.llm.common import columns
+from lexigrid.llm.common import columns, ship
 from lexigrid.llm.graph import components
 from lexigrid.plans.session import broadcast_checked, materialize
 
@@ -288,6 +288,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float
     ``n_links`` counts the other documents whose similarity reaches the threshold, copies included; documents of one
     class are connected by links.
     """
+    ship(docs.sparkSession)
     source = columns(docs, key, text)
     rows = materialize(sketches(source), "sketches")
     named = rows.filter("node is not null")

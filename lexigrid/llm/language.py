@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexigrid.llm.common import broadcast_bytes, ship
+
 BUCKETS = 1 << 14
 MAX_LANGUAGES = 500
 #: Smoothing of a bucket's count, in occurrences.
@@ -103,6 +105,7 @@ class Model:
 
 def fit(rows: DataFrame, text: str = "text", label: str = "lang") -> Model:
     """Learn from all rows with a label and a text."""
+    ship(rows.sparkSession)
     rows = rows.select(F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").alias("label"))
     rows = rows.filter("text is not null and label is not null")
 
@@ -149,7 +152,7 @@ def train(languages: list[str], counts: np.ndarray) -> Model:
 
 def predict(text: Column, spark, model: Model) -> Column:
     """The prediction of a text as a struct column; see ``PREDICTION``."""
-    sent = spark.sparkContext.broadcast(model)
+    sent = broadcast_bytes(spark, model)
 
     @F.arrow_udf(PREDICTION)
     def udf(texts: pa.Array) -> pa.Array:

@@ -20,6 +20,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexigrid.llm.common import ship
+
 KINDS = ("assign", "access", "hex", "novel")
 SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
@@ -111,6 +113,7 @@ def redacted(text: str | None, mark: str = "[SECRET]") -> str | None:
 
 def spans(text: Column) -> Column:
     """The spans of a text, sorted: ``array<struct<start, rank, end, kind>>``."""
+    ship()
 
     @F.arrow_udf(SPANS)
     def udf(texts: pa.Array) -> pa.Array:
@@ -128,6 +131,7 @@ def secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:
     """The rows with their secrets replaced; ``length``, where that column exists, follows the new text."""
+    ship(docs.sparkSession)
 
     @F.arrow_udf("string")
     def udf(texts: pa.Array) -> pa.Array:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.llm.common import shared_fs
+from lexigrid.llm.common import shared_fs, ship
 from lexigrid.plans.session import scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -131,6 +131,7 @@ def _opened(path: str, n: int, lengths: tuple[int, ...]) -> DigestArray:
 
 def winning(spark: SparkSession, host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
     """``struct<rule, verdict>`` of the rule that wins; both null where none fits."""
+    ship(spark)
     stored = store(spark, rules)
 
     @F.arrow_udf("struct<rule:string,verdict:string>")

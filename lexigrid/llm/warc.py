@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexigrid.llm.common import shared_fs
+from lexigrid.llm.common import shared_fs, ship
 from lexigrid.plans.session import broadcast_checked, materialize, scratch_path
 
 REVISIT, CHUNK, ROTATE = 100, 1 << 16, 1 << 26
@@ -109,6 +109,7 @@ class _Archives:
 
 def write(records: DataFrame, folder: str | None = None, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """Write typed records as archives; the manifest ``(path, records, bytes)``, itself a written table."""
+    ship(records.sparkSession)
     folder = folder or scratch_path(records.sparkSession, "warc")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,6 +190,7 @@ def read(manifest: DataFrame) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
+    ship(manifest.sparkSession)
     schema = to_arrow_schema(_parse_datatype_string(CHUNKS))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
