@@ -32,6 +32,8 @@ MAX_LANGUAGES = 500
 PRIOR = 0.5
 #: Loss between the best and the second language below which a prediction is flagged as ambiguous.
 AMBIGUOUS = 0.02
+#: Loss between them below which a filter takes the language as not found.
+TIE = 0.001
 #: Steepness of the logistic loss of a mean margin.
 STEEPNESS = 4.0
 UND = "und"
