@@ -37,11 +37,11 @@ def test_sql_needs_no_session():
     import subprocess
     import sys
 
-    code = "import __spark_entry__ as e; print(len(e.oracle_sql()), len(e.queries()))"
+    code = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); print(len(e.registry.registered()), len(set(o) & set(e.registry.registered())), set(o) <= set(q))"
     from conftest import ROOT
 
     out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=60)
-    assert out.stdout.split() == ["63", "64"], out.stderr
+    assert out.stdout.split() == ["74", "74", "True"], out.stderr
 
 
 def test_positions_follow_stop_word_removal(spark):
