@@ -41,6 +41,7 @@ LEAF, BLOCK, DEPTH, RECALL = 256, 256, 3, 0.999
 #: Tokens sampled per path: one, and a second one for a quarter of the paths, 1 / threshold on average.
 SECOND = 4
 COLUMNS = 4096  # of an incidence matrix at a time
+SHINGLES = 4096  # that count as a row of a block
 HASH_BLOCK = 1 << 20  # bytes of text hashed at a time
 
 _MASK = (1 << 64) - 1
@@ -111,20 +112,23 @@ def node_of(found: np.ndarray) -> int:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``(key, node, sketch)``; node is null where there are no shingles."""
+    """``(key, node, sketch, n_shingles)``; node is null where there are no shingles."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, tokens = [], []
+            nodes, tokens, sizes = [], [], []
             for t in batch.column(1):
                 found = shingles(t.as_py())
+                sizes.append(len(found))
                 nodes.append(node_of(found) if len(found) else None)
                 tokens.append(sketch(found).tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(tokens, pa.binary())], ["key", "node", "sketch"]
+                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(tokens, pa.binary()), pa.array(sizes, pa.int64())],
+                ["key", "node", "sketch", "n_shingles"],
             )
 
-    out = T.StructType([T.StructField("key", docs.schema[0].dataType), T.StructField("node", T.LongType()), T.StructField("sketch", T.BinaryType())])
+    out = T.StructType([T.StructField("key", docs.schema[0].dataType), T.StructField("node", T.LongType())])
+    out.add("sketch", T.BinaryType()).add("n_shingles", T.LongType())
     return docs.mapInArrow(task, out)
 
 
@@ -292,14 +296,16 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float
     source = columns(docs, key, text)
     rows = materialize(sketches(source), "sketches")
     named = rows.filter("node is not null")
-    nodes = named.groupBy("node").agg(F.min("key").alias("rep"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"))
+    nodes = named.groupBy("node").agg(F.min("key").alias("rep"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"), F.max("n_shingles").alias("n_shingles"))
     nodes = materialize(nodes, "nodes")
 
     edges = materialize(loose_edges(leaves(nodes, runs_for(recall))), "loose-edges")
     loose = materialize(components(edges), "loose")
-    sizes = materialize(loose.groupBy("label").agg(F.count("*").alias("size")), "loose-sizes")
-    members = loose.join(sizes, "label").join(nodes.select("node", "rep", "copies"), "node")
-    members = materialize(members, "members")
+    # Blocks are bounded by rows and by shingles: long texts make a group larger than its rows say.
+    loose = materialize(loose.join(nodes.select("node", "rep", "copies", "n_shingles"), "node"), "loose-nodes")
+    size = F.greatest(F.count("*"), F.ceil(F.sum("n_shingles") / SHINGLES))
+    sizes = materialize(loose.groupBy("label").agg(size.alias("size")), "loose-sizes")
+    members = materialize(loose.join(sizes, "label").drop("n_shingles"), "members")
 
     wanted = broadcast_checked(members.select("rep").distinct(), "wanted")
     texts = source.join(wanted, F.col(f"`{key}`").eqNullSafe(F.col("rep")), "left_semi").select(F.col(f"`{text}`").alias("text"))

@@ -14,6 +14,7 @@ texts are scanned whole; the context of one string is bounded by ``AROUND`` char
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 import zstandard
@@ -82,7 +83,13 @@ def scan(text: str | None) -> list[tuple[int, int, int, str]]:
 
 def _novel(text: str, known: list[tuple]) -> list[tuple[int, int, int, str]]:
     found, done = [], 0
-    taken = sorted((s, e) for s, _, e, _ in known)
+    starts, ends = [], []  # of the known spans, joined where they overlap
+    for s, _, e, _ in sorted(known):
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
     for word in SENSITIVE.finditer(text):
         for m in CANDIDATE.finditer(text, max(done, word.end()), min(len(text), word.end() + REACH + 512)):
             if m.start() > word.end() + REACH:
@@ -91,7 +98,8 @@ def _novel(text: str, known: list[tuple]) -> list[tuple[int, int, int, str]]:
             own = m.group()
             if not (any(map(str.isdigit, own)) and any(map(str.isalpha, own))):
                 continue
-            if any(s < m.end() and m.start() < e for s, e in taken):
+            before = bisect_left(starts, m.end()) - 1
+            if before >= 0 and ends[before] > m.start():
                 continue
             if novelty(text, m.start(), m.end()) >= NOVEL:
                 found.append((m.start(), 3, m.end(), "novel"))
