@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -210,26 +211,34 @@ class Codec(Parts):
         super().__init__(vocabulary)
         self.trie = DoubleArray([(vocabulary.pieces[i].encode(), i) for i in vocabulary.normal])
         self.unknown_score = vocabulary.unknown_score()
-        self.byte_of = {i: b for b, i in enumerate(vocabulary.byte_ids)}
+        self.bytes_of = [p.encode() for p in vocabulary.pieces]
+        for b, i in enumerate(vocabulary.byte_ids):
+            self.bytes_of[i] = bytes([b])
 
     def solve(self, part: str) -> tuple[int, ...]:
         """The ids of the best segmentation."""
         data, scores = part.encode("utf-8", "replace"), self.vocabulary.scores
-        n = len(data)
+        n, base, check, value, unknown = len(data), self.trie.base, self.trie.check, self.trie.value, self.unknown_score
         best: list[float | None] = [None] * (n + 1)
         back = [(0, -1)] * (n + 1)
         best[0], at = 0.0, 0
         while at < n:
             own, lead = best[at], data[at]
             width = 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
-            single = False
-            for end, i in self.trie.prefixes(data, at):
-                score = own + scores[i]
-                if best[end] is None or score > best[end]:
-                    best[end], back[end] = score, (at, i)
-                single = single or end == at + width
+            single, s, end = False, 0, at
+            while end < n:  # the pieces that start here, shortest first: a walk of ``DoubleArray.prefixes``
+                t = base[s] + data[end] + 1
+                if check[t] != s or not t:
+                    break
+                s, end = t, end + 1
+                i = value[s]
+                if i >= 0:
+                    score = own + scores[i]
+                    if best[end] is None or score > best[end]:
+                        best[end], back[end] = score, (at, i)
+                    single = single or end == at + width
             if not single:
-                end, score = at + width, own + self.unknown_score
+                end, score = at + width, own + unknown
                 if best[end] is None or score > best[end]:
                     best[end], back[end] = score, (at, -1)
             at += width
@@ -246,12 +255,11 @@ class Codec(Parts):
         return tuple(reversed(ids))
 
     def encode(self, text: str | None) -> list[int]:
-        return [i for ids in self.answers(text or "") for i in ids]
+        return list(chain.from_iterable(self.answers(text or "")))
 
     def decode(self, ids: list[int]) -> str:
         """Bytes joined and space marks turned back; the space that was put before the text is taken off."""
-        pieces, byte_of = self.vocabulary.pieces, self.byte_of
-        data = b"".join([bytes([byte_of[i]]) if i in byte_of else pieces[i].encode() for i in ids])
+        data = b"".join(map(self.bytes_of.__getitem__, ids))
         text = data.decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
@@ -310,7 +318,9 @@ def decode(rows: DataFrame, model_path: str, key: str = "doc_id", ids: str = "id
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _worker(Codec, sent.value)
         for batch in batches:
-            texts = [codec.decode(x.as_py() or []) for x in batch.column(1)]
+            flat, places = batch.column(1).values.to_numpy(), batch.column(1).offsets.to_pylist()
+            known = batch.column(1).is_valid().to_pylist()
+            texts = [codec.decode(flat[a:b].tolist()) if k else "" for a, b, k in zip(places, places[1:], known)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], out.names)
 
     return rows.mapInArrow(task, out)
