@@ -5,9 +5,10 @@ written with a space before it and with every space as U+2581. The best segmenta
 are the tokenizer's: at each end, the piece with the earliest start wins, since a later one must be better. A character
 that no one-character piece matches costs the least score less 10 and is spelled in byte pieces, where there are any.
 
-No piece of such a vocabulary goes on past a U+2581 inside it, except pieces of several of them; so a text splits before each
-U+2581 that follows another character, and the parts are solved one by one. Parts that come again are remembered
-per worker, up to a bound.
+No piece of such a vocabulary goes on past a U+2581 inside it, except pieces of several of them, and none has a letter
+beside a sign; so a text splits before each U+2581 that follows another character and between letters and signs, and
+the parts are solved one by one. Other vocabularies split at fewer places or not at all. Parts that come again are
+remembered per worker, up to a bound.
 
 Defined results: a null or empty text has no piece and score 0. Repeated rows are treated alike. Very long texts are
 solved whole, part by part.
@@ -16,9 +17,9 @@ solved whole, part by part.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +30,8 @@ from lexigrid.llm.common import broadcast_bytes, columns, driver_file
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Parts that a worker remembers, and the longest of them in characters.
-CACHE, CACHED_LENGTH = 300_000, 64
-PART = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+#: Parts that a worker remembers in each of two generations, and the longest of them in characters.
+CACHE, CACHED_LENGTH = 200_000, 64
 
 
 @dataclass
@@ -61,9 +61,16 @@ class Vocabulary:
             [i for i in range(n) if not other(i)],
         )
 
-    def splits(self) -> bool:
-        """Whether texts may be split before each space mark: no piece has one after another character."""
-        return not any(SPACE in self.pieces[i].lstrip(SPACE) for i in self.normal)
+    def parts(self) -> re.Pattern | None:
+        """The finest pattern of parts that no piece crosses; none if texts can't be split at all."""
+        pieces = [self.pieces[i] for i in self.normal]
+        odd = "".join(sorted({c for p in pieces for c in p if c.isalnum() and not (c.isalpha() or c.isdecimal())} | {"_"}))
+        words = f"[^\\W{odd}]+|(?:[^\\w{SPACE}]|[{odd}])+"  # numerals and underscores go with the signs
+        for run in (words, f"[^{SPACE}]+"):
+            pattern = re.compile(f"{SPACE}*(?:{run})|{SPACE}+")
+            if all(len(pattern.findall(p)) == 1 for p in pieces):
+                return pattern
+        return None
 
     def unknown_score(self) -> float:
         return min(self.scores[i] for i in self.normal) - UNKNOWN_PENALTY
@@ -79,8 +86,10 @@ class Parts:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.split = PART.findall if vocabulary.splits() else lambda t: [t] if t else []
+        pattern = vocabulary.parts()
+        self.split = pattern.findall if pattern else lambda t: [t] if t else []
         self.known: dict[str, object] = {}
+        self.older: dict[str, object] = {}
 
     def solve(self, part: str):
         raise NotImplementedError
@@ -91,10 +100,13 @@ class Parts:
         for part in self.split(marked(text)):
             got = known.get(part)
             if got is None:
-                got = self.solve(part)
+                got = self.older.get(part)
+                if got is None:
+                    got = self.solve(part)
                 if len(part) <= CACHED_LENGTH:
                     if len(known) >= CACHE:
-                        known.clear()
+                        self.older, self.known = known, {}
+                        known = self.known
                     known[part] = got
             out.append(got)
         return out
@@ -215,8 +227,8 @@ class Codec(Parts):
         for b, i in enumerate(vocabulary.byte_ids):
             self.bytes_of[i] = bytes([b])
 
-    def solve(self, part: str) -> tuple[int, ...]:
-        """The ids of the best segmentation."""
+    def solve(self, part: str) -> bytes:
+        """The ids of the best segmentation, as 32-bit integers."""
         data, scores = part.encode("utf-8", "replace"), self.vocabulary.scores
         n, base, check, value, unknown = len(data), self.trie.base, self.trie.check, self.trie.value, self.unknown_score
         best: list[float | None] = [None] * (n + 1)
@@ -252,10 +264,15 @@ class Codec(Parts):
             else:
                 ids.append(self.vocabulary.unknown)
             n = start
-        return tuple(reversed(ids))
+        ids.reverse()
+        return array("i", ids).tobytes()
+
+    def packed(self, text: str | None) -> bytes:
+        """The ids of a text, as 32-bit integers."""
+        return b"".join(self.answers(text or ""))
 
     def encode(self, text: str | None) -> list[int]:
-        return list(chain.from_iterable(self.answers(text or "")))
+        return np.frombuffer(self.packed(text), dtype=np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
         """Bytes joined and space marks turned back; the space that was put before the text is taken off."""
@@ -303,7 +320,10 @@ def encode(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "t
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
-                ids = pa.array([np.array(codec.encode(t.as_py()), dtype=np.int32) for t in part.column(1)], pa.list_(pa.int32()))
+                rows = [codec.packed(t.as_py()) for t in part.column(1)]
+                places = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])])
+                ids = np.frombuffer(b"".join(rows), dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], out.names)
 
     return docs.mapInArrow(task, out)
