@@ -20,6 +20,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -221,12 +222,16 @@ class Codec(Parts):
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__(vocabulary)
-        self.trie = DoubleArray([(vocabulary.pieces[i].encode(), i) for i in vocabulary.normal])
         self.unknown_score = vocabulary.unknown_score()
         self.bytes_of = [p.encode() for p in vocabulary.pieces]
         for b, i in enumerate(vocabulary.byte_ids):
             self.bytes_of[i] = bytes([b])
 
+    @cached_property
+    def trie(self) -> DoubleArray:
+        """The pieces; built by the first text to encode, so that decoding does without it."""
+        return DoubleArray([(self.vocabulary.pieces[i].encode(), i) for i in self.vocabulary.normal])
+
     def solve(self, part: str) -> bytes:
         """The ids of the best segmentation, as 32-bit integers."""
         data, scores = part.encode("utf-8", "replace"), self.vocabulary.scores
