@@ -5,10 +5,11 @@ context, a keyword within ``REACH`` characters before them: a compressor is prim
 dictionary and with the text around the string, other occurrences of the string taken out, and the bytes that
 the string adds, less those that a known string of its length adds, are its marginal cost. Known words and identifiers
 cost little; a string that costs ``NOVEL`` of its own length or more, mixes letters with digits and overlaps no pattern span is reported.
+A string is taken to its own end, however long; one of more than ``PART`` characters is also reported if a part of it costs as much.
 
 Defined results: a null text is an empty one and has no spans. Repeated rows are scanned alike. Offsets are code
 points of the whole text, ends exclusive. Spans sort by start, then by kind in the order of ``KINDS``. Very long
-texts are scanned whole; the context of one string is bounded by ``AROUND`` characters on either side.
+texts and strings are scanned whole; the context of one string is bounded by ``AROUND`` characters on either side.
 """
 
 from __future__ import annotations
@@ -40,8 +41,9 @@ SENSITIVE = re.compile(
     re.IGNORECASE | re.ASCII,
 )
 SENSITIVE_WORDS = ("passw", "pwd", "passphrase", "secret", "token", "api", "auth", "bearer", "credential", "key", "signature")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
-REACH, AROUND, NOVEL = 48, 2048, 0.35
+LEAST = 12
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+REACH, AROUND, PART, NOVEL = 48, 2048, 512, 0.35
 #: Identifiers and words of code that are no secrets; the first part of every dictionary.
 IDENTIFIERS = (
     "password username authorization authentication access_token refresh_token client_secret api_key private_key "
@@ -66,6 +68,16 @@ def novelty(text: str, start: int, end: int) -> float:
     return (len(press.compress(raw)) - len(press.compress(known))) / len(raw)
 
 
+def _costly(text: str, start: int, end: int) -> bool:
+    """Whether a string is novel as a whole or, if it is long, in a part: a secret can lie in a long run of little novelty."""
+    if novelty(text, start, end) >= NOVEL:
+        return True
+    cuts = list(range(start, end, PART))
+    if len(cuts) > 1 and end - cuts[-1] < LEAST:
+        cuts.pop()  # what is too short to be measured goes with the part before
+    return len(cuts) > 1 and any(novelty(text, a, b) >= NOVEL for a, b in zip(cuts, [*cuts[1:], end]))
+
+
 def scan(text: str | None) -> list[tuple[int, int, int, str]]:
     """``(start, rank, end, kind)`` of all spans, sorted."""
     if not text:
@@ -91,18 +103,18 @@ def _novel(text: str, known: list[tuple]) -> list[tuple[int, int, int, str]]:
             starts.append(s)
             ends.append(e)
     for word in SENSITIVE.finditer(text):
-        for m in CANDIDATE.finditer(text, max(done, word.end()), min(len(text), word.end() + REACH + 512)):
-            if m.start() > word.end() + REACH:
-                break
-            done = m.end()
-            own = m.group()
+        # The end bounds where a string may begin, so that no text is searched twice; the string goes on to its own end.
+        for m in CANDIDATE.finditer(text, max(done, word.end()), min(len(text), word.end() + REACH + LEAST)):
+            start = m.start()
+            done = end = CANDIDATE.match(text, start).end()
+            own = text[start:end]
             if not (any(map(str.isdigit, own)) and any(map(str.isalpha, own))):
                 continue
-            before = bisect_left(starts, m.end()) - 1
-            if before >= 0 and ends[before] > m.start():
+            before = bisect_left(starts, end) - 1
+            if before >= 0 and ends[before] > start:
                 continue
-            if novelty(text, m.start(), m.end()) >= NOVEL:
-                found.append((m.start(), 3, m.end(), "novel"))
+            if _costly(text, start, end):
+                found.append((start, 3, end, "novel"))
     return found
 
 

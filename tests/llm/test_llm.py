@@ -124,6 +124,20 @@ def test_redaction_takes_the_spans_out(spark):
     assert secret_scan.redacted(None) is None and secret_scan.redacted("clean") == "clean"
 
 
+def test_long_strings_are_taken_to_their_own_end():
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    for word in ("private_key", "bearer", "auth", "credential", "pwd", "signature"):
+        for n in (16, 463, 464, 500, 513, 561, 1606, 20_000):
+            own = "".join(rng.choice(letters) for _ in range(n - 1)) + "7"
+            text = f"the {word}: {own} and the end"
+            assert secret_scan.redacted(text) == f"the {word}: [SECRET] and the end", (word, n)
+    dull = "pwd: " + "".join(rng.choice(letters) for _ in range(400)) + "1" + "A" * 5000
+    assert secret_scan.redacted(dull) == "pwd: [SECRET]"
+    assert secret_scan.redacted("pwd: " + "A" * 5000 + "1" + dull[5:405]) == "pwd: [SECRET]"
+    assert not secret_scan.scan("pwd: " + "A1" * 5000)
+
+
 def test_secret_query_digest(spark, awkward):
     rows = queries.op1_secret_scan(spark, SMALL).collect()
     own = texts(spark)
