@@ -112,7 +112,8 @@ def node_of(found: np.ndarray) -> int:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``(key, node, sketch, n_shingles)``; node is null where there are no shingles."""
+    """``(key, node, sketch, n_shingles)``, and what follows key and text; node is null where there are no shingles."""
+    more = docs.schema.fields[2:]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,13 +123,13 @@ def sketches(docs: DataFrame) -> DataFrame:
                 sizes.append(len(found))
                 nodes.append(node_of(found) if len(found) else None)
                 tokens.append(sketch(found).tobytes() if len(found) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(tokens, pa.binary()), pa.array(sizes, pa.int64())],
-                ["key", "node", "sketch", "n_shingles"],
-            )
+            found = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(tokens, pa.binary()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(found + batch.columns[2:], out.names)
 
     out = T.StructType([T.StructField("key", docs.schema[0].dataType), T.StructField("node", T.LongType())])
     out.add("sketch", T.BinaryType()).add("n_shingles", T.LongType())
+    for field in more:
+        out.add(field)
     return docs.mapInArrow(task, out)
 
 
@@ -292,11 +293,22 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float
     ``n_links`` counts the other documents whose similarity reaches the threshold, copies included; documents of one
     class are connected by links.
     """
-    ship(docs.sparkSession)
-    source = columns(docs, key, text)
+    out = _joined(columns(docs, key, text), key, text, recall).select("key", "class_id", "n_links")
+    return out.withColumnRenamed("key", key) if key != "key" else out
+
+
+def _joined(source: DataFrame, key: str, text: str, recall: float = RECALL, mark: str | None = None) -> DataFrame:
+    """One row per row of ``source``: ``(key, class_id, n_links)``.
+
+    With ``mark``, a third column of ``source`` that tells texts apart, also ``(mark, stays)``: whether the row is the
+    one its class keeps, the first by key, null keys last, and then by mark. A row without shingles stays.
+    """
+    ship(source.sparkSession)
     rows = materialize(sketches(source), "sketches")
     named = rows.filter("node is not null")
-    nodes = named.groupBy("node").agg(F.min("key").alias("rep"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"), F.max("n_shingles").alias("n_shingles"))
+    first = F.struct(F.col("key").isNull().alias("unnamed"), "key", *[F.col(m).alias("mark") for m in [mark] if m])
+    chosen = [F.min(first).alias("first")] if mark else []
+    nodes = named.groupBy("node").agg(*chosen, F.min("key").alias("rep"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"), F.max("n_shingles").alias("n_shingles"))
     nodes = materialize(nodes, "nodes")
 
     edges = materialize(loose_edges(leaves(nodes, runs_for(recall))), "loose-edges")
@@ -315,14 +327,22 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     exact = components(found.select(F.col("node").alias("a"), F.col("mate").alias("b")))
-    known = materialize(nodes.select("node", "rep", "copies").join(exact, "node", "left").join(links, "node", "left"), "known")
+    carried = ["first"] if mark else []
+    known = materialize(nodes.select("node", "rep", "copies", *carried).join(exact, "node", "left").join(links, "node", "left"), "known")
     own = F.coalesce("label", "node")
-    reps = materialize(known.groupBy(own.alias("label")).agg(F.min("rep").alias("class_id")), "reps")
+    reps = known.groupBy(own.alias("label")).agg(F.min("rep").alias("class_id"), *[F.min(c).alias(c) for c in carried])
+    reps = materialize(reps, "reps")
     classes = known.select("node", "copies", "links", own.alias("label")).join(reps, "label")
-    classes = materialize(classes.select("node", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
-    alone = rows.filter("node is null").select("key", F.col("key").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    out = named.select("key", "node").join(classes, "node").select("key", "class_id", "n_links").union(alone)
-    return out.withColumnRenamed("key", key) if key != "key" else out
+    classes = materialize(classes.select("node", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), *carried), "classes")
+    wanted = ["key", "class_id", "n_links"]
+    alone = rows.filter("node is null").withColumns({"class_id": F.col("key"), "n_links": F.lit(0).cast("long")})
+    out = named.join(classes, "node")
+    if mark:
+        wanted += ["mark", "stays"]
+        alone = alone.withColumns({"mark": F.col(mark), "stays": F.lit(True)})
+        stays = F.col("key").eqNullSafe(F.col("first.key")) & (F.col(mark) == F.col("first.mark"))
+        out = out.withColumns({"mark": F.col(mark), "stays": stays})
+    return out.select(*wanted).union(alone.select(*wanted))
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -344,10 +364,15 @@ def _sets(texts: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without those that another document of their class stands for.
 
-    The document with the least key of a class stays. Rows that repeat both key and text are one document.
+    The document with the least key of a class stays, null keys last; of documents that share that key, the one whose
+    text has the least digest. It is told by key and text, so other rows with its key, or with no key, are judged by
+    their own class. Rows that repeat both key and text are one document.
     """
-    found = materialize(join(docs, key, text).withColumnRenamed(key, "id"), "found")
-    gone = broadcast_checked(found.filter(~F.col("id").eqNullSafe(F.col("class_id"))).select(F.col("id").alias("__gone")).distinct(), "gone")
-    kept = docs.join(gone, F.col(f"`{key}`").eqNullSafe(F.col("__gone")), "left_anti")
-    twice = found.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")
+    digest = F.md5(F.col(f"`{text}`").cast("binary"))
+    source = docs.select(F.col(f"`{key}`"), F.col(f"`{text}`"), digest.alias("__digest"))
+    found = _joined(source, key, text, mark="__digest").select(F.col("key").alias("__key"), F.col("mark").alias("__mark"), "stays")
+    found = materialize(found, "found")
+    gone = broadcast_checked(found.filter("not stays").select("__key", "__mark").distinct(), "gone")
+    kept = docs.join(gone, F.col(f"`{key}`").eqNullSafe(F.col("__key")) & (digest == F.col("__mark")), "left_anti")
+    twice = found.filter("stays").groupBy("__key", "__mark").agg(F.count("*").alias("n")).filter("n > 1")
     return kept.dropDuplicates([key, text]) if twice.limit(1).count() else kept

@@ -524,6 +524,19 @@ def test_one_of_each_class_stays(spark, awkward):
     assert sorted(i for i in ids if i is not None) == [1, 3, 4, 5, 6, 9, 10, 11, 13, 14, 15] and ids.count(None) == 1
 
 
+def test_rows_that_share_a_key_or_have_none_are_judged_by_their_text(spark):
+    rows = [(3, prose(3)), (None, prose(3)), (None, prose(20)), (None, prose(21)), (7, prose(22)), (7, prose(3) + " more"),
+            (8, prose(23)), (8, prose(23) + " more"), (None, prose(24)), (None, prose(24) + " more"), (None, prose(24)),
+            (9, prose(25)), (10, prose(25).upper()), (None, None), (11, ""), (9, prose(25))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = [(r.doc_id, r.text) for r in jaccard_join.keep_one(docs).collect()]
+    want = [(3, prose(3)), (None, prose(20)), (None, prose(21)), (7, prose(22)), (9, prose(25)), (None, None), (11, "")]
+    for group in ([(8, prose(23)), (8, prose(23) + " more")], [(None, prose(24)), (None, prose(24) + " more")]):
+        assert sum(kept.count(row) for row in group) == 1
+        kept = [row for row in kept if row not in group]
+    assert sorted(kept, key=str) == sorted(want, key=str)
+
+
 def test_long_texts_hash_alike_in_blocks(monkeypatch):
     text = prose(2, 3000)
     want = jaccard_join.word_hashes(text).tolist()
