@@ -4,7 +4,7 @@ Patterns find assignments, access keys and hexadecimal runs. The novelty test lo
 context, a keyword within ``REACH`` characters before them: a compressor is primed with the identifier
 dictionary and with the text around the string, other occurrences of the string taken out, and the bytes that
 the string adds, less those that a known string of its length adds, are its marginal cost. Known words and identifiers
-cost little; a string that costs ``NOVEL`` of its own length or more, mixes letters with digits and overlaps no pattern span is reported.
+cost little; a string that costs ``NOVEL`` of its own length or more, mixes letters with digits and does not lie inside pattern spans is reported, whole.
 A string is taken to its own end, however long; one of more than ``PART`` characters is also reported if a part of it costs as much.
 
 Defined results: a null text is an empty one and has no spans. Repeated rows are scanned alike. Offsets are code
@@ -111,7 +111,7 @@ def _novel(text: str, known: list[tuple]) -> list[tuple[int, int, int, str]]:
             if not (any(map(str.isdigit, own)) and any(map(str.isalpha, own))):
                 continue
             before = bisect_left(starts, end) - 1
-            if before >= 0 and ends[before] > start:
+            if before >= 0 and starts[before] <= start and ends[before] >= end:
                 continue
             if _costly(text, start, end):
                 found.append((start, 3, end, "novel"))
