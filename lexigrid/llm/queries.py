@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.llm import imatch, jaccard_join, language, packing, quality_rules, secret_scan, unigram, url_filter, warc
+from lexigrid.llm import imatch, jaccard_join, language, packing, quality_rules, secret_scan, unigram, url_filter, warc, whitening
 from lexigrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,10 +111,15 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whitened coordinates of every embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("key", "vec_id")
+
+
 def queries() -> dict[str, Query]:
     own = (
         op1_secret_scan, op2_language_id, op3_packing, op4_url_filter, op5_token_counts, op6_quality_rules, op7_imatch,
-        op8_warc, op9_jaccard_join, op10_sentencepiece,
+        op8_warc, op9_jaccard_join, op10_sentencepiece, op13_whitening,
     )
     return {f.__name__: f for f in own}
 
