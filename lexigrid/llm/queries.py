@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.llm import imatch, jaccard_join, language, packing, quality_rules, secret_scan, unigram, url_filter, warc, whitening
+from lexigrid.llm import (
+    imatch, jaccard_join, language, packing, prefix_trie, quality_rules, secret_scan, unigram, url_filter, warc, whitening,
+)
 from lexigrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +113,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whitened coordinates of every embedding."""
     return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("key", "vec_id")
@@ -119,7 +126,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     own = (
         op1_secret_scan, op2_language_id, op3_packing, op4_url_filter, op5_token_counts, op6_quality_rules, op7_imatch,
-        op8_warc, op9_jaccard_join, op10_sentencepiece, op13_whitening,
+        op8_warc, op9_jaccard_join, op10_sentencepiece, op11_prefix_trie, op13_whitening,
     )
     return {f.__name__: f for f in own}
 
@@ -204,5 +211,43 @@ FROM p LEFT JOIN f USING (d)
 """
 
 
+TRIE_SQL = r"""
+WITH t AS (
+  SELECT conv_id AS c, turn, length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS x,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w
+  FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT c, list({'x': sha256(x), 'w': w} ORDER BY turn NULLS FIRST, sha256(x)) AS s FROM t GROUP BY c
+), crc AS (
+  SELECT c, s, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    range(1, length(c::VARCHAR) + 1), lambda i: list_prepend(unicode(substr(c::VARCHAR, i, 1))::BIGINT, [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+    lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)) % 4 AS h
+  FROM o
+), r AS (
+  SELECT a.c, list_concat(coalesce(l.s, [])[1:a.h], a.s[a.h + 1:]) AS s FROM crc a LEFT JOIN o l ON l.c = a.c - a.c % 20
+), p AS (
+  SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM r
+), n AS (
+  SELECT d, sha256(array_to_string(list_transform(s[1:d], lambda e: e.x), '')) AS k, min(c) AS conv_id, count(*) AS n_convs,
+    coalesce(any_value(CASE WHEN d > 0 THEN s[d].w END), 0) AS w,
+    any_value(list_transform(range(0, d + 1), lambda j: sha256(array_to_string(list_transform(s[1:j], lambda e: e.x), '')))) AS up,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(s) = d), '')) AS ends_sha256
+  FROM p GROUP BY d, k
+), below AS (
+  SELECT k, d, unnest(up[1:d]) AS a, unnest(range(0, d)) AS ad FROM n
+), kids AS (
+  SELECT a AS k, count(*) AS n_children FROM below WHERE ad = d - 1 GROUP BY a
+), sub AS (
+  SELECT a AS k, count(*) FILTER (leaf) AS n_leaves, sum((n_convs - 1) * w) AS saved FROM (
+    SELECT unnest(n.up) AS a, n_convs, w, kids.k IS NULL AS leaf FROM n LEFT JOIN kids ON kids.k = n.k) GROUP BY a
+)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n_children, 0) AS n_children,
+  sub.n_leaves, CAST(sub.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n LEFT JOIN n u ON n.d > 0 AND u.k = n.up[n.d] LEFT JOIN kids ON kids.k = n.k JOIN sub ON sub.k = n.k
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": URL_SQL, "op6_quality_rules": QUALITY_SQL, "op8_warc": WARC_SQL}
+    return {
+        "op4_url_filter": URL_SQL, "op6_quality_rules": QUALITY_SQL, "op8_warc": WARC_SQL, "op11_prefix_trie": TRIE_SQL,
+    }
