@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexigrid.llm import (
-    imatch, jaccard_join, language, packing, prefix_trie, quality_rules, secret_scan, unigram, url_filter, warc, whitening,
+    imatch, jaccard_join, language, packing, pii, prefix_trie, quality_rules, secret_scan, unigram, url_filter, warc, whitening,
 )
 from lexigrid.llm.common import table
 
@@ -118,6 +118,18 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All spans of personal data of every document: fixed patterns, and candidates by weak supervision."""
+    rows = pii.personal(table(spark, sf_dir, "documents"))
+    return rows.select(
+        F.col("key").alias("doc_id"),
+        *[F.size(f"base.{k}").cast("long").alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(pii.listed(pii.BASE), 256).alias("base_sha256"),
+        pii.listed(pii.KINDS).alias("spans"),
+        F.size("found").cast("long").alias("n_found"),
+    )
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whitened coordinates of every embedding."""
     return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("key", "vec_id")
@@ -126,7 +138,8 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     own = (
         op1_secret_scan, op2_language_id, op3_packing, op4_url_filter, op5_token_counts, op6_quality_rules, op7_imatch,
-        op8_warc, op9_jaccard_join, op10_sentencepiece, op11_prefix_trie, op13_whitening,
+        op8_warc, op9_jaccard_join, op10_sentencepiece, op11_prefix_trie, op12_pii,
+        op13_whitening,
     )
     return {f.__name__: f for f in own}
 
