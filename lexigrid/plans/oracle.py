@@ -340,6 +340,8 @@ JOIN (SELECT doc_id, unnest(positions) AS pos FROM spost
         ),
         "latency_summary": """SELECT event_type, count(*) AS queries, round(avg(value), 6) AS avg,
   round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99
+FROM events GROUP BY event_type""",
+        "latency_sketches": """SELECT event_type, count(*) AS queries, round(avg(value), 6) AS avg, true AS p95, true AS p99
 FROM events GROUP BY event_type""",
         "latency_summary_null_keys": """SELECT CASE WHEN event_type <> 'click' THEN event_type END AS kind, count(*) AS queries,
   round(avg(value), 6) AS avg, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99

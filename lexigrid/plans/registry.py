@@ -570,6 +570,20 @@ def latency_summary_null_keys(spark, sf_dir):
     return _rounded(W.latency_summary(log, ["kind"]), "avg", "p95", "p99")
 
 
+@query
+def latency_sketches(spark, sf_dir):
+    """Sketches per day and event type, stored in two batches and merged without the log; whether their quantiles
+    lie within the stated rank error of the log's."""
+    log, points, path = _log(spark, sf_dir), {"p95": 0.95, "p99": 0.99}, scratch_path(spark, "sketches")
+    odd = F.dayofmonth("ts") % 2 == 1
+    for part in (log.filter(odd), log.filter(~odd)):
+        W.latency_sketches(part, ["event_type"]).write.mode("append").parquet(path)
+    summary = W.sketched_summary(spark.read.parquet(path), ["event_type"], points)
+    errors = W.rank_errors(log, ["event_type"], "value", summary, points)
+    off = errors.select("event_type", *[(F.col(p) <= W.SKETCH_ERROR).alias(p) for p in points])
+    return _rounded(summary.select("event_type", "queries", "avg").join(off, "event_type"), "avg")
+
+
 @query
 def throughput(spark, sf_dir):
     ok = F.col("event_type") != "error"

@@ -139,3 +139,40 @@ def test_workload_tables(spark):
     assert len(BENCHMARK) == 19 and "q12" not in BENCHMARK
     assert ranked_queries(spark).count() == boolean_literals(spark).select("query_id").distinct().count()
     assert not re.search("[A-Z]", "".join(t for _, t in BENCHMARK.values()))
+
+
+def exact(values, p):
+    return float(np.quantile(np.array(values, dtype=float), p))
+
+
+@pytest.mark.parametrize("bound", [20, 100_000])
+def test_percentiles_of_zones_over_the_bound(spark, bound):
+    """Nine tenths of a group lie in one narrow range, a third of another are one value; NULL keys are a group."""
+    rng = np.random.default_rng(3)
+    tight = np.concatenate([rng.normal(100, 1e-6, 9_000), rng.uniform(0, 200, 1_000)])
+    ties = np.concatenate([np.full(4_000, 7.0), rng.exponential(5, 6_000)])
+    rows = [("tight", v) for v in tight] + [("ties", v) for v in ties] + [(None, v) for v in range(50)] + [("one", 3.0), ("none", None)]
+    log = spark.createDataFrame([(k, None if v is None else float(v)) for k, v in rows], "k string, value double").repartition(8)
+    points = {"a": 0.0, "b": 0.35, "m": 0.5, "c": 0.95, "d": 0.99, "z": 1.0}
+    got = {r.k: r for r in W.percentiles(log, ["k"], "value", points, bound).collect()}
+    assert set(got) == {"tight", "ties", None, "one"}
+    for k, values in (("tight", tight), ("ties", ties), (None, range(50)), ("one", [3.0])):
+        for name, p in points.items():
+            assert got[k][name] == pytest.approx(exact(list(values), p), rel=1e-12), (k, name)
+    data = log.filter("value is not null").select("k", F.col("value").alias("v"))
+    _, rest = W.rank_zones(data, ["k"], sorted(points.values()), bound)
+    assert all(r["count"] <= bound for r in rest.groupBy("k", "skip").count().collect())
+
+
+def test_sketches_merge_to_the_stated_error(spark):
+    log = spark.range(200_000).select(
+        (F.col("id") % 3).alias("kind"), (F.xxhash64("id") % 1_000_003).cast("double").alias("value"),
+        F.timestamp_seconds(F.col("id") * 60).alias("ts"),
+    )
+    points = {"m": 0.5, "p99": 0.99}
+    stored = W.latency_sketches(log, ["kind"])
+    assert stored.agg(F.max(F.length("sketch"))).first()[0] < 64_000 and stored.count() == 3 * 139
+    summary = W.sketched_summary(stored, ["kind"], points)
+    errors = W.rank_errors(log, ["kind"], "value", summary, points).collect()
+    assert len(errors) == 3 and all(r.m <= W.SKETCH_ERROR and r.p99 <= W.SKETCH_ERROR for r in errors)
+    assert W.rank_errors(log, ["kind"], "value", summary.withColumn("m", F.lit(0.0)), points).first().m > 0
