@@ -37,8 +37,8 @@ def _runs(tokenized: DataFrame, key: str) -> DataFrame:
     )
 
 
-def tf_postings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(term, doc_id, tf, positions)``.
+def analyzed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(key, postings)``: one row per document with its ``(term, tf, positions)``, sorted by term; empty without tokens.
 
     A document is one row, so its postings are grouped inside that row and the
     whole step is narrow: nothing is shuffled, however frequent a term is.
@@ -51,14 +51,27 @@ def tf_postings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             F.slice("ordered", start + 1, length)["pos"].alias("positions"),
         )
 
+    sized = lambda p: F.struct(p["term"].alias("term"), F.size(p["positions"]).alias("tf"), p["positions"].alias("positions"))
+    return _runs(tokenize(docs, key, text), key).select(key, F.transform(F.transform("starts", one), sized).alias("postings"))
+
+
+def postings_of(documents: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``(term, doc_id, tf, positions)`` from analysed documents.
+
+    The outer explode keeps the optimizer from adding a filter that would analyse the texts twice.
+    """
     return (
-        _runs(tokenize(docs, key, text), key)
-        .select(key, F.explode_outer(F.transform("starts", one)).alias("p"))
-        .select("p.term", key, F.size("p.positions").alias("tf"), "p.positions")
+        documents.select(key, F.explode_outer("postings").alias("p"))
+        .select("p.term", key, "p.tf", "p.positions")
         .filter(F.col("term").isNotNull())
     )
 
 
+def tf_postings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(term, doc_id, tf, positions)``, without a shuffle."""
+    return postings_of(analyzed(docs, key, text), key)
+
+
 def positional_postings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(term, doc_id, positions)``."""
     return tf_postings(docs, key, text).drop("tf")
@@ -77,19 +90,24 @@ def stem_postings(postings: DataFrame) -> DataFrame:
     """Postings of stems from postings of plain words.
 
     Stop-word removal and positions come before stemming, so merging the words of
-    a stem gives what stemming each token would give. A frequent word is a skewed
-    key of this join; beyond the broadcast bound AQE splits it.
+    a stem gives what stemming each token would give. Only the postings of stems with several words are
+    shuffled by (term, document); a stem of one word is renamed in place. A frequent word is a skewed
+    key of the join with the stems; beyond the broadcast bound AQE splits it.
     """
-    stems = broadcast_checked(stem_vocabulary(postings.select("term").distinct()))
-    return (
-        postings.withColumnRenamed("term", "token")
-        .join(stems, "token")
+    stems = materialize(stem_vocabulary(postings.select("term").distinct()), "stems")
+    words = stems.groupBy("term").agg(F.count("*").alias("words"))
+    stems = broadcast_checked(stems.join(words, "term"), "stems")
+    rows = postings.withColumnRenamed("term", "token").join(stems, "token")
+    columns = POSTINGS_SCHEMA.names
+    merged = (
+        rows.filter("words > 1")
         .groupBy("term", "doc_id")
         .agg(
             F.sum("tf").cast("int").alias("tf"),
             F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"),
         )
     )
+    return rows.filter("words = 1").select(*columns).unionByName(merged)
 
 
 def term_frequency(positions: Column) -> Column:
@@ -102,11 +120,10 @@ def document_frequency(term_docs: DataFrame) -> DataFrame:
     return term_docs.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def tfidf_index(postings: DataFrame, terms: DataFrame, stats: DataFrame) -> DataFrame:
-    """Postings with ``df`` and ``idf = log10(N / df)`` of their term."""
+def tfidf_index(postings: DataFrame, stats: DataFrame) -> DataFrame:
+    """Stored postings with ``idf = log10(N / df)`` of their term; ``df`` lies beside them, so nothing is joined."""
     total = stats.select("total_docs").scalar()
-    weights = terms.select("term", "df", F.log10(total / F.col("df")).alias("idf"))
-    return postings.join(weights, "term")
+    return postings.withColumn("idf", F.log10(total / F.col("df")))
 
 
 def corpus_stats(docs: DataFrame, postings: DataFrame) -> DataFrame:
@@ -117,6 +134,11 @@ def corpus_stats(docs: DataFrame, postings: DataFrame) -> DataFrame:
     )
 
 
+def stats_of(docs: DataFrame) -> DataFrame:
+    """The same row from ``(doc_id, has_tokens)``; two counts that blocks of different documents add up."""
+    return docs.agg(F.count("*").alias("total_docs"), F.count_if("has_tokens").alias("indexed_docs"))
+
+
 def corpus_stats_from_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The same row in one narrow pass over the texts, without a distinct."""
     return tokenize(docs, key, text).agg(
@@ -125,6 +147,11 @@ def corpus_stats_from_documents(docs: DataFrame, key: str = "doc_id", text: str
     )
 
 
+def merge_documents(docs: DataFrame) -> DataFrame:
+    """``(doc_id, has_tokens)`` once per document, from those of all blocks: a merge keeps any block's terms."""
+    return docs.groupBy("doc_id").agg(F.max("has_tokens").alias("has_tokens"))
+
+
 def merge_blocks(blocks: DataFrame, docs: DataFrame | None = None) -> DataFrame:
     """One posting per (term, document) out of partial indexes; the later block wins.
 

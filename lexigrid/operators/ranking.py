@@ -55,14 +55,9 @@ def rank(index: Index, text: str, k: int = 10, scheme: str = "tfidf") -> DataFra
     Ties go to the lower document id. Spark keeps k rows per task and merges them.
     """
     words = sorted(set(literal_tokens(index.docs.sparkSession, text, index.profile)))
-    weight = _weights(index, scheme)
-    # At most one row per query word.
-    known = index.terms.filter(F.col("term").isin(*words)) if words else index.terms.filter(F.lit(False))
-    weights = known.select("term", weight.alias("weight"))
     top = (
         only_terms(index, words)
-        .select("term", "doc_id", "tf")
-        .join(F.broadcast(weights), "term")
+        .select("doc_id", "tf", _weights(index, scheme).alias("weight"))
         .groupBy("doc_id")
         .agg(_score())
         .filter("score > 0")
@@ -87,8 +82,8 @@ def _bag_terms(bags: DataFrame, key: str) -> DataFrame:
     return bags.select(key, F.explode_outer("bag").alias("term")).filter(F.col("term").isNotNull())
 
 
-def _parts(index: Index, wanted: DataFrame, weighted: DataFrame, small: bool) -> DataFrame:
-    """``(leader, doc_id, tf, weight)`` for every posting of every query.
+def _parts(index: Index, wanted: DataFrame, scheme: str, small: bool) -> DataFrame:
+    """``(leader, doc_id, tf, weight)`` for every posting of every query. A word in all documents has weight 0 and none.
 
     The postings of the wanted terms are shuffled by document, once, before they meet the queries. The sum
     per (query, document) then needs no shuffle of its own, so postings times queries never cross the
@@ -96,8 +91,9 @@ def _parts(index: Index, wanted: DataFrame, weighted: DataFrame, small: bool) ->
     join with them is left to AQE, which splits a frequent term.
     """
     terms = wanted.select("term").distinct()
-    by_document = join_postings(index, terms, ["doc_id", "tf"], small).repartition("doc_id")
-    return by_document.join(broadcast_if(small, weighted), "term")
+    weighted = join_postings(index, terms, ["doc_id", "tf", "df"], small).withColumn("weight", _weights(index, scheme))
+    by_document = weighted.filter("weight > 0").select("term", "doc_id", "tf", "weight").repartition("doc_id")
+    return by_document.join(broadcast_if(small, wanted), "term")
 
 
 def rank_batch(
@@ -115,18 +111,11 @@ def rank_batch(
     per-query limit runs before the shuffle by query as well as after it. The plan is the
     same for every number of queries and postings.
     """
-    weight = _weights(index, scheme)
     bags = materialize(query_bags(queries, key, text, index.profile), "bags")
     leaders = bags.groupBy("bag").agg(F.min(key).alias("leader"))
     wanted = materialize(_bag_terms(leaders, "leader"), "wanted")
     small = is_small(wanted)
-    weighted = (
-        index.terms.select("term", "df")
-        .join(broadcast_if(small, wanted), "term")
-        .select("leader", "term", "df", weight.alias("weight"))
-        .filter("weight > 0")
-    )
-    parts = _parts(index, wanted, weighted, small)
+    parts = _parts(index, wanted, scheme, small)
     best = Window.partitionBy("leader").orderBy(F.desc("score"), "doc_id")
     top = (
         parts.groupBy("leader", "doc_id")

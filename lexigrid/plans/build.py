@@ -20,31 +20,41 @@ def build_index(
     key: str = "doc_id",
     text: str = "text",
 ) -> S.Index:
-    """Analyse documents and write postings, terms, statistics, document ids and rejected rows.
+    """Analyse documents and write postings, terms, statistics, documents and rejected rows.
 
-    ``plain``: texts are analysed once, and postings are shuffled once, into their term buckets. ``porter``:
-    plain postings are written first, so that the vocabulary and the join read a table and the texts are
-    still analysed once. The size of the input is measured where ``input_bytes`` is not given; it sizes the
-    buckets and tells whether the input is too small to occupy the cluster by itself.
+    Texts are analysed once, into one row per document that holds its postings; dictionary, document list and postings all
+    come from that table. Postings are shuffled once, into their term buckets. The size of the input is measured
+    where ``input_bytes`` is not given; it sizes the buckets and tells whether the input is too small to occupy the
+    cluster by itself.
     """
     if input_bytes is None:
         input_bytes = S.measured_bytes(docs)
     buckets = buckets or S.buckets_for(input_bytes)
-    valid, rejects = P.split_valid(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "doc_id", "text")
-    valid, repeated = P.split_repeated(valid)
-    rejects = rejects.select("doc_id", "reason").unionByName(repeated)
-    postings = P.tf_postings(spread(valid, "doc_id", input_bytes))
+    documents, rejects = analyzed_documents(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), input_bytes)
+    postings = P.postings_of(documents)
     if profile == "porter":
-        postings = P.stem_postings(materialize(postings, "plain"))
-    ids = docs.select(F.col(key).alias("doc_id")).filter("doc_id is not null")
-    if valid_ids_repeat(repeated):
-        ids = ids.distinct()
-    return S.write_index(postings, ids, path, buckets, profile, codec, rejects=rejects, input_bytes=input_bytes)
+        postings = materialize(P.stem_postings(postings), "stemmed")
+    return S.write_index(postings, listed(documents, rejects), path, buckets, profile, codec, rejects=rejects, input_bytes=input_bytes)
+
+
+def analyzed_documents(docs: DataFrame, input_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(documents, rejects)``: a written table of analysed documents, and ``(doc_id, reason)`` of the rows left out.
+
+    Ids are looked at without their texts; only the texts of repeated ids are read twice.
+    """
+    valid, rejects = P.split_valid(docs)
+    valid, repeated = P.split_repeated(valid)
+    documents = materialize(P.analyzed(spread(valid, "doc_id", input_bytes)), "analyzed")
+    return documents, rejects.select("doc_id", "reason").unionByName(repeated)
 
 
-def valid_ids_repeat(repeated: DataFrame) -> bool:
-    """Whether any id was found more than once."""
-    return repeated.limit(1).count() > 0
+def listed(documents: DataFrame, rejects: DataFrame) -> DataFrame:
+    """``(doc_id, has_tokens)`` of analysed documents and of those that were rejected for want of a text."""
+    rows = documents.select("doc_id", (F.size("postings") > 0).alias("has_tokens"))
+    textless = rejects.filter("reason = 'null text' and doc_id is not null").select("doc_id", F.lit(False).alias("has_tokens"))
+    if not textless.limit(1).count():
+        return rows
+    return P.merge_documents(rows.unionByName(textless))
 
 
 def build_from_blocks(
@@ -54,13 +64,14 @@ def build_from_blocks(
     docs = S.read_block_docs(spark, blocks)
     size = S.total_bytes(spark, f"{blocks}/postings")
     merged = P.merge_blocks(S.read_blocks(spark, blocks), docs)
+    merged = materialize(merged, "merged")
     if profile == "porter":
-        merged = P.stem_postings(materialize(merged, "merged"))
+        merged = materialize(P.stem_postings(merged), "stemmed")
     rejects = None
     try:
         rejects = S.read_block_rejects(spark, blocks)
     except Exception as e:  # blocks written from rows have no rejects
         if "PATH_NOT_FOUND" not in str(e):
             raise
-    ids = docs.select("doc_id").distinct()
-    return S.write_index(merged, ids, path, buckets or S.buckets_for(size), profile, codec, rejects=rejects, input_bytes=size)
+    universe = P.merge_documents(docs)
+    return S.write_index(merged, universe, path, buckets or S.buckets_for(size), profile, codec, rejects=rejects, input_bytes=size)

@@ -233,8 +233,8 @@ mspost AS (SELECT s.term, o.doc_id, count(*) AS tf, list(o.pos ORDER BY o.pos) A
         "merge_blocks_to_tables": f"""{merged}, dict AS (SELECT term AS word, row_number() OVER (ORDER BY term) AS term_id
   FROM (SELECT DISTINCT term FROM mrg))
 SELECT term_id, doc_id, CAST(tf AS INTEGER) AS tf, {_JOINED} FROM mrg JOIN dict ON word = term""",
-        "index_load": f"""{base} SELECT p.term, p.doc_id, CAST(p.tf AS INTEGER) AS tf, f.df
-  FROM post p JOIN freq f ON p.term = f.term""",
+        "index_load": f"""{base}, ids AS (SELECT term, df, row_number() OVER (ORDER BY term) AS term_id FROM freq)
+SELECT f.term_id, p.term, p.doc_id, CAST(p.tf AS INTEGER) AS tf, f.df FROM post p JOIN ids f ON p.term = f.term""",
         "rejected_rows": """SELECT doc_id, 'null text' AS reason FROM documents
   WHERE doc_id NOT IN (SELECT item_id FROM benchmark)""",
         "index_violations": f"""{base} SELECT 'duplicate posting' AS violation, p.term, p.doc_id FROM post p

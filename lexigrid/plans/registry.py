@@ -21,7 +21,7 @@ from lexigrid.operators import workload as W
 from lexigrid.operators.analysis import analyze, stem_vocabulary
 from lexigrid.plans.build import build_from_blocks, build_index
 from lexigrid.plans.fixtures import boolean_literals, ranked_queries
-from lexigrid.plans.session import scratch_path, spread
+from lexigrid.plans.session import materialize, scratch_path, spread
 from lexigrid.sources import index_store as S
 from lexigrid.sources import results as RS
 from lexigrid.sources.documents import read_documents, read_literals, read_table
@@ -135,18 +135,19 @@ def term_dictionary_append(spark, sf_dir):
 @query
 def tfidf_index(spark, sf_dir):
     index = index_of(spark, sf_dir)
-    rows = P.tfidf_index(index.postings.select("term", "doc_id", "tf"), index.terms, index.stats)
+    rows = P.tfidf_index(index.postings, index.stats)
     return rows.select("term", "doc_id", "tf", "df", F.round("idf", 6).alias("idf"))
 
 
 def _reingested(spark, sf_dir) -> str:
     """A folder of blocks of documents, and one later block that re-ingests ids with other texts."""
     order, last = F.floor(F.col("doc_id") / 500).alias("block_id"), F.lit(1_000_000_000).cast("long").alias("block_id")
-    first = P.tf_postings(documents(spark, sf_dir)).select("*", order)
     again = passages(spark, sf_dir).withColumnRenamed("query_id", "doc_id")
-    ids = documents(spark, sf_dir).select("doc_id", order).unionByName(again.select("doc_id", last))
+    rows = P.analyzed(documents(spark, sf_dir)).select("*", order).unionByName(P.analyzed(again).select("*", last))
+    rows = materialize(rows, "analyzed")
+    listing = rows.select("doc_id", (F.size("postings") > 0).alias("has_tokens"), "block_id")
     path = scratch_path(spark, "blocks")
-    S.write_blocks(first.unionByName(P.tf_postings(again).select("*", last)), path, docs=ids)
+    S.write_blocks(rows.select("doc_id", "block_id", F.inline("postings")), path, docs=listing)
     return path
 
 
@@ -161,7 +162,7 @@ def merge_blocks(spark, sf_dir):
 def merge_blocks_to_tables(spark, sf_dir):
     """Blocks written and read back, merged, and stored as dictionary and postings."""
     index = build_from_blocks(spark, _reingested(spark, sf_dir), scratch_path(spark, "merged"))
-    by_id = S.postings_by_id(index.terms, index.postings)
+    by_id = S.postings_by_id(index.postings)
     return by_id.select("term_id", "doc_id", "tf", joined())
 
 
@@ -188,10 +189,9 @@ def index_stats(spark, sf_dir):
 
 @query
 def index_load(spark, sf_dir):
-    """Dictionary joined to postings keyed by id, with df, in one table."""
-    index = index_of(spark, sf_dir)
-    loaded = S.load_postings(index.terms, S.postings_by_id(index.terms, index.postings))
-    return loaded.join(index.terms.select("term", "df"), "term").select("term", "doc_id", "tf", "df")
+    """Postings with the dictionary's ids and df, as a stored index is opened: one scan of one table."""
+    index = S.read_index(spark, index_path(spark, sf_dir))
+    return index.postings.select("term_id", "term", "doc_id", "tf", "df")
 
 
 @query

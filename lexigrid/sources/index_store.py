@@ -3,11 +3,11 @@
 Layout under one folder: each build writes its own ``version`` folder and, last, a row that names it
 in ``versions``. Readers open the latest version named there, so a build that fails changes nothing.
 
-``postings``  one row per (term, document), partitioned by ``term_bucket``, sorted
-              by term and document inside each file, Bloom filter on ``term``
+``postings``  one row per (term, document) with the term's id and document frequency, partitioned
+              by ``term_bucket``, sorted by term and document inside each file, Bloom filter on ``term``
 ``terms``     ``(term_id, term, df)`` sorted by term
 ``stats``     one row: total_docs, indexed_docs, buckets, profile
-``docs``      the document ids (what NOT is taken against)
+``docs``      the document ids (what NOT is taken against) and whether they have tokens
 ``rejects``   ``(doc_id, reason)`` of the rows left out
 
 Blocks (partial indexes) lie under ``postings``, ``docs`` and ``rejects`` of their folder, each by source and
@@ -24,13 +24,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexigrid.operators import postings as P
-from lexigrid.plans.session import partition_bytes
+from lexigrid.plans.session import broadcast_if, is_small, partition_bytes
 
 CODECS = ("none", "gzip", "zstd", "snappy", "lz4")
 BUCKET_BYTES = 512 * 1024 * 1024
 MIN_BUCKETS, MAX_BUCKETS = 8, 1 << 18
 
-STORED_POSTINGS = T.StructType([*P.POSTINGS_SCHEMA, T.StructField("term_bucket", T.IntegerType())])
+STORED_POSTINGS = T.StructType(
+    [
+        *P.POSTINGS_SCHEMA,
+        T.StructField("term_id", T.LongType()),
+        T.StructField("df", T.LongType()),
+        T.StructField("term_bucket", T.IntegerType()),
+    ]
+)
 TERMS_SCHEMA = T.StructType(
     [
         T.StructField("term_id", T.LongType()),
@@ -47,7 +54,8 @@ STATS_SCHEMA = T.StructType(
     ]
 )
 BLOCKS_SCHEMA = T.StructType([*P.POSTINGS_SCHEMA, T.StructField("block_id", T.LongType())])
-BLOCK_DOCS = "doc_id long, block_id long"
+DOCS = "doc_id long, has_tokens boolean"
+BLOCK_DOCS = f"{DOCS}, block_id long"
 REJECTS = "doc_id long, reason string"
 VERSIONS = "version string, written timestamp"
 
@@ -90,7 +98,8 @@ def write_postings(
     all documents) and joins small ones. The plan is the same for every size; ``input_bytes`` only sizes the
     partitions, so that a small index is written by all cores as well.
     """
-    rows = postings.select(*P.POSTINGS_SCHEMA.names).withColumn("term_bucket", bucket_of(F.col("term"), buckets))
+    kept = [c for c in STORED_POSTINGS.names if c in postings.columns and c != "term_bucket"]
+    rows = postings.select(*kept).withColumn("term_bucket", bucket_of(F.col("term"), buckets))
     with partition_bytes(postings.sparkSession, input_bytes or 0):
         (
             rows.hint("rebalance", "term_bucket")
@@ -117,29 +126,30 @@ def write_index(
     buckets: int,
     profile: str = "plain",
     codec: str = "zstd",
-    key: str = "doc_id",
     rejects: DataFrame | None = None,
     input_bytes: int | None = None,
 ) -> Index:
     """Write all tables of an index as a new version, then make it the one that is read.
 
-    ``indexed_docs`` counts the distinct documents of the stored postings, which stays right for merged blocks.
+    ``postings`` is read twice and should be a written table; ``docs`` is ``(doc_id, has_tokens)``, once per document. The
+    dictionary comes first, so that its ids and document frequencies are written beside the postings: no later
+    query joins the two. Statistics are counts over ``docs``.
     """
     spark = postings.sparkSession
     version = uuid.uuid4().hex
     to = f"{path}/version-{version}"
-    write_postings(postings, f"{to}/postings", buckets, codec, input_bytes)
-    stored = spark.read.schema(STORED_POSTINGS).parquet(f"{to}/postings")
-    write_terms(P.document_frequency(stored.select("term")), f"{to}/terms", codec)
-    docs.select(F.col(key).cast("long").alias("doc_id")).write.option("compression", codec).parquet(f"{to}/docs")
+    write_terms(P.document_frequency(postings.select("term")), f"{to}/terms", codec)
+    terms = spark.read.schema(TERMS_SCHEMA).parquet(f"{to}/terms")
+    # The one join of postings and dictionary. Beyond the broadcast bound AQE splits a frequent term.
+    joined = postings.join(broadcast_if(is_small(terms), terms), "term")
+    write_postings(joined, f"{to}/postings", buckets, codec, input_bytes)
+    docs.select(F.col("doc_id").cast("long").alias("doc_id"), "has_tokens").write.option("compression", codec).parquet(f"{to}/docs")
     if rejects is None:
         rejects = spark.createDataFrame([], REJECTS)
     rejects.select(F.col("doc_id").cast("long").alias("doc_id"), "reason").write.parquet(f"{to}/rejects")
-    universe = spark.read.schema("doc_id long").parquet(f"{to}/docs")
-    indexed = stored.select("doc_id").distinct().agg(F.count("*").alias("n"))
-    universe.agg(F.count("*").alias("total_docs")).select(
-        "total_docs", indexed.scalar().alias("indexed_docs"), F.lit(buckets).alias("buckets"), F.lit(profile).alias("profile")
-    ).coalesce(1).write.parquet(f"{to}/stats")
+    universe = spark.read.schema(DOCS).parquet(f"{to}/docs")
+    stats = P.stats_of(universe).select("*", F.lit(buckets).alias("buckets"), F.lit(profile).alias("profile"))
+    stats.coalesce(1).write.parquet(f"{to}/stats")
     named = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("written"))
     named.coalesce(1).write.mode("append").parquet(f"{path}/versions")
     return read_index(spark, path)
@@ -152,7 +162,7 @@ def read_index(spark: SparkSession, path: str) -> Index:
     stats = spark.read.schema(STATS_SCHEMA).parquet(f"{at}/stats")
     one = stats.first()
     return Index(
-        docs=spark.read.schema("doc_id long").parquet(f"{at}/docs"),
+        docs=spark.read.schema(DOCS).parquet(f"{at}/docs").select("doc_id"),
         postings=spark.read.schema(STORED_POSTINGS).parquet(f"{at}/postings"),
         terms=spark.read.schema(TERMS_SCHEMA).parquet(f"{at}/terms"),
         stats=stats,
@@ -164,15 +174,13 @@ def read_index(spark: SparkSession, path: str) -> Index:
 
 
 def load_postings(terms: DataFrame, postings_by_id: DataFrame) -> DataFrame:
-    """Dictionary joined to postings that are keyed by ``term_id``."""
+    """Dictionary joined to postings that are keyed by ``term_id``, as an external database holds them."""
     return terms.select("term_id", "term").join(postings_by_id, "term_id").drop("term_id")
 
 
-def postings_by_id(terms: DataFrame, postings: DataFrame) -> DataFrame:
-    """The relational form: ``(term_id, doc_id, tf, positions)``."""
-    return postings.join(terms.select("term", "term_id"), "term").select(
-        "term_id", "doc_id", "tf", "positions"
-    )
+def postings_by_id(postings: DataFrame) -> DataFrame:
+    """The relational form of stored postings: ``(term_id, doc_id, tf, positions)``."""
+    return postings.select("term_id", "doc_id", "tf", "positions")
 
 
 def save_tables(index: Index, prefix: str, codec: str = "zstd", buckets: int | None = None) -> None:
@@ -192,9 +200,7 @@ def save_tables(index: Index, prefix: str, codec: str = "zstd", buckets: int | N
 
 def write_jdbc(index: Index, url: str, prefix: str, **options) -> None:
     """Save postings and terms to an external database in batches of 10,000 rows."""
-    by_id = postings_by_id(index.terms, index.postings).withColumn(
-        "positions", F.to_json("positions")
-    )
+    by_id = postings_by_id(index.postings).withColumn("positions", F.to_json("positions"))
     opts = {"batchsize": 10000, "truncate": "true", **options}
     for name, df in (("terms", index.terms), ("postings", by_id)):
         df.write.format("jdbc").options(url=url, dbtable=f"{prefix}_{name}", **opts).mode("overwrite").save()
@@ -210,14 +216,14 @@ def write_block(
     block_id: int,
     codec: str = "zstd",
 ) -> None:
-    """Write one partial index with its document ids and rejects.
+    """Write one partial index with its documents ``(doc_id, has_tokens)`` and rejects.
 
     It lies under its source and batch; writing that batch again replaces it and nothing else.
     """
     at, order = f"source={source}/batch={int(batch)}", F.lit(int(block_id)).cast("long").alias("block_id")
     tables = {
         "postings": postings.select(*P.POSTINGS_SCHEMA.names, order),
-        "docs": docs.select(F.col("doc_id").cast("long").alias("doc_id"), order),
+        "docs": docs.select(F.col("doc_id").cast("long").alias("doc_id"), "has_tokens", order),
     }
     if rejects is not None:
         tables["rejects"] = rejects.select(F.col("doc_id").cast("long").alias("doc_id"), "reason")
@@ -228,11 +234,11 @@ def write_block(
 def write_blocks(blocks: DataFrame, path: str, codec: str = "zstd", source: str = "rows", docs: DataFrame | None = None) -> None:
     """Write rows that carry ``block_id``; only the blocks present are replaced.
 
-    ``docs`` lists ``(doc_id, block_id)``; without it the documents that have postings are listed.
+    ``docs`` lists ``(doc_id, has_tokens, block_id)``; without it the documents that have postings are listed.
     """
     if docs is None:
-        docs = blocks.select("doc_id", "block_id").distinct()
-    for name, df in (("postings", blocks.select(*BLOCKS_SCHEMA.names)), ("docs", docs.select("doc_id", "block_id"))):
+        docs = blocks.select("doc_id", "block_id").distinct().withColumn("has_tokens", F.lit(True))
+    for name, df in (("postings", blocks.select(*BLOCKS_SCHEMA.names)), ("docs", docs.select("doc_id", "has_tokens", "block_id"))):
         (
             df.withColumns({"source": F.lit(source), "batch": F.col("block_id")})
             .hint("rebalance", "batch")
@@ -250,7 +256,7 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_block_docs(spark: SparkSession, path: str) -> DataFrame:
-    """``(doc_id, block_id)``: the documents of all partial indexes, those without tokens included."""
+    """``(doc_id, has_tokens, block_id)``: the documents of all partial indexes, those without tokens included."""
     return spark.read.schema(BLOCK_DOCS).parquet(f"{path}/docs")
 
 

@@ -7,8 +7,8 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.operators.postings import split_repeated, split_valid, tf_postings
-from lexigrid.plans.session import materialize
+from lexigrid.operators.postings import postings_of
+from lexigrid.plans.build import analyzed_documents, listed
 from lexigrid.sources.index_store import write_block
 
 
@@ -39,12 +39,9 @@ def ingest(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        batch = materialize(batch, "batch")  # its texts are looked at for rejects, ids and postings
-        valid, rejects = split_valid(batch)
-        valid, repeated = split_repeated(valid)
-        rejects = rejects.select("doc_id", "reason").unionByName(repeated)
-        ids = batch.select("doc_id").filter("doc_id is not null").distinct()
-        write_block(tf_postings(valid), ids, rejects, blocks, stream, batch_id, time.time_ns() // 1000, codec)
+        documents, rejects = analyzed_documents(batch)
+        rows, listing = postings_of(documents), listed(documents, rejects)
+        write_block(rows, listing, rejects, blocks, stream, batch_id, time.time_ns() // 1000, codec)
 
     (
         docs.writeStream.foreachBatch(write)

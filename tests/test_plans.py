@@ -94,3 +94,23 @@ def test_hot_word_is_split_over_files(spark, monkeypatch):
     index = build_index(docs, scratch_path(spark, "hot"))
     files = index.postings.filter("term = 'hot'").select(F.col("_metadata.file_path")).distinct().count()
     assert files > 1
+
+
+@pytest.mark.parametrize("name", ["tfidf_index", "index_load", "merge_blocks_to_tables"])
+def test_ids_and_frequencies_lie_beside_the_postings(spark, monkeypatch, name):
+    """Without any broadcast, reading postings with their ids or weights moves no posting."""
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr("lexigrid.plans.session.BROADCAST_MAX_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(registry.registered()[name](spark, SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert "Exchange" not in re.sub(r"(?s)Subquery.*?(?=\n\S|\Z)", "", text) and "Join" not in text
+
+
+def test_only_stems_of_several_words_are_grouped(spark):
+    rows = P.stem_postings(P.tf_postings(local_table(spark, {"doc_id": [0, 1], "text": ["horse horses run", "sky"]}, "doc_id long, text string")))
+    got = {(r.term, r.doc_id): (r.tf, r.positions) for r in rows.collect()}
+    assert got == {("hors", 0): (2, [0, 1]), ("run", 0): (1, [2]), ("sky", 1): (1, [0])}
+    assert re.search(r"words#\d+L? = 1", plan(rows))

@@ -161,7 +161,7 @@ def test_catalog_tables(spark, corpus):
     assert as_dict(spark.table("idx.t_postings")) == brute(TEXTS)
     counts = P.document_frequency(spark.table("idx.t_postings"))
     assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
-    by_id = S.postings_by_id(spark.table("idx.t_terms"), spark.table("idx.t_postings"))
+    by_id = S.postings_by_id(i.postings)
     assert as_dict(S.load_postings(i.terms, by_id)) == brute(TEXTS)
     spark.sql("DROP DATABASE idx CASCADE")
 
