@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexigrid.functions.stem import stem
 from lexigrid.functions.text import literal_tokens, tokens
-from lexigrid.operators.lookup import join_postings, only_terms
+from lexigrid.operators import bitmaps as BM
+from lexigrid.operators.bitmaps import documents_of
+from lexigrid.operators.lookup import join_bitmaps, join_documents, join_postings, only_terms
 from lexigrid.operators.phrase import match_phrases, match_words
 from lexigrid.plans.session import broadcast_if, is_small, materialize
 from lexigrid.sources.index_store import Index
@@ -80,7 +82,7 @@ def match_phrase(index: Index, text: str, mode: str = "pairwise") -> Match:
     found = literal_tokens(index.docs.sparkSession, text, index.profile)
     if len(found) < 2:
         return match_term(index, text)
-    return Match(index, match_words(only_terms(index, sorted(set(found))), found, mode))
+    return Match(index, match_words(index, found, mode))
 
 
 def match_all(index: Index, texts: Sequence[str]) -> Match:
@@ -165,75 +167,112 @@ def match_literals(index: Index, literals: DataFrame, mode: str, small: bool, ph
     return words.unionByName(match_phrases(index, more, "literal", mode, small))
 
 
+def _ways(index: Index, literals: DataFrame) -> DataFrame:
+    """Literals with how they and their clause are answered; clauses that can't be met are left out.
+
+    A ``wide`` literal is a word frequent enough to have bitmaps. A clause with a positive literal that is not wide
+    starts from the documents of the rarest such one, its ``anchor``; the others have none and are answered by bitmaps.
+    ``required`` counts a clause's positive literals.
+    """
+    total = index.stats.select("total_docs").scalar()
+    wide = (F.size("words") == 1) & (F.col("df") > 0) & BM.is_dense(F.col("df"), total)
+    positive, whole = ~F.col("negated"), Window.partitionBy("query_id", "clause_id")
+    marked = literals.withColumn("wide", wide).select(
+        "*", F.count_if(positive).over(whole).alias("required"), F.count_if(positive & (F.col("df") == 0)).over(whole).alias("impossible"),
+        F.min(F.when(positive & ~F.col("wide"), F.struct("df", "literal"))).over(whole)["literal"].alias("anchor"),
+    )
+    return marked.filter("impossible = 0").drop("impossible")
+
+
 def match_batch(index: Index, clauses: DataFrame, mode: str = "pairwise") -> DataFrame:
     """``(query_id, doc_id)`` for a whole table of queries in disjunctive normal form.
 
-    Equal literals are looked up once, however many queries use them. A clause starts
-    from the documents of its rarest positive literal and checks its other literals on
-    these candidates only, by an equi-join on (literal, document): no literal's
-    documents are multiplied by the clauses that mention it.
+    A clause starts from the documents of its rarest literal. Only these candidates meet the clause's other literals: words
+    by an equi-join with the postings on (word, document), frequent words by a bit of their bitmaps, phrases by their
+    own documents. Clauses of frequent words or negations alone are combined as bitmaps, range by range, NOT being the
+    complement inside the range. So the documents of a frequent word are neither shuffled nor multiplied by the
+    clauses that mention it, and equal literals are looked up once.
     """
-    spark = index.docs.sparkSession
     clause = ["query_id", "clause_id"]
     clauses = materialize(clauses, "clauses")
     # All query-side tables below have at most as many rows and characters as this one.
     small = is_small(clauses)
-    # Both tables are read several times below; written once, they are not recomputed.
-    literals = materialize(_weighted_literals(index, clauses, small), "literals")
-    positive = ~F.col("negated")
-    plan = literals.groupBy(*clause).agg(
-        F.count_if(positive).alias("required"),
-        F.count_if(positive & (F.col("df") == 0)).alias("impossible"),
-        F.min_by("literal", F.when(positive, F.struct("df", "literal"))).alias("rarest"),
-    )
-    anchored = plan.filter("required > 0 and impossible = 0").drop("impossible")
-    free = plan.filter("required = 0").select(*clause)
-
-    usable = literals.filter("df > 0")
-    wanted = usable.select("literal", "words").distinct()
-    # What the workload does not use is left out of the plans: phrases, lone negations.
-    used = (
-        literals.groupBy(*clause)
-        .agg(F.max(F.size("words")).alias("longest"), F.count_if(positive).alias("positives"))
-        .agg(F.max(F.col("longest") > 1).alias("phrases"), F.max(F.col("positives") == 0).alias("free"))
-        .first()
-    )
-    hits = materialize(match_literals(index, wanted, mode, small, bool(used.phrases)), "hits")
-
-    candidates = hits.join(
-        broadcast_if(small, anchored.withColumnRenamed("rarest", "literal")), "literal"
-    ).select(*clause, "required", "doc_id")
-    others = (
-        usable.join(broadcast_if(small, anchored), clause)
-        .filter(F.col("negated") | (F.col("literal") != F.col("rarest")))
-        .select(*clause, "literal", "negated")
-    )
-    checked = (
-        candidates.join(broadcast_if(small, others), clause)
-        .join(hits, ["literal", "doc_id"])
-        .select(*clause, "required", "doc_id", (~F.col("negated")).cast("int").alias("held"), F.col("negated").cast("int").alias("broken"))
-    )
-    start = candidates.select("*", F.lit(1).alias("held"), F.lit(0).alias("broken"))
-    met = (
-        start.unionByName(checked)
-        .groupBy(*clause, "required", "doc_id")
+    literals = materialize(_ways(index, _weighted_literals(index, clauses, small)), "literals")
+    plan, literals = literals.select(*clause, "required", "anchor").distinct(), literals.filter("df > 0")
+    by_bits = F.col("anchor").isNull()
+    phrase = F.size("words") > 1
+    # What the workload does not use is left out of the plans.
+    used = literals.agg(
+        F.max(phrase).alias("phrases"), F.max(~by_bits & (F.col("literal") != F.col("anchor"))).alias("others"),
+        F.max(~by_bits).alias("anchors"), F.max(by_bits & F.col("negated") & ~F.col("wide")).alias("rare_nots"),
+    ).first()
+    bits = plan.filter(by_bits).limit(1).count() > 0
+
+    whole = literals.filter(phrase | (F.col("literal") == F.col("anchor")) | (by_bits & ~F.col("wide"))).select("literal", "words").distinct()
+    hits = None
+    if used.anchors or used.rare_nots or used.phrases:
+        hits = match_literals(index, whole, mode, small, bool(used.phrases))
+        if used.others or used.rare_nots:
+            hits = materialize(hits, "hits")
+
+    parts = []
+    if used.anchors:
+        anchored = plan.filter(~by_bits)
+        start = hits.join(broadcast_if(small, anchored.withColumnRenamed("anchor", "literal")), "literal")
+        start = start.select(*clause, "required", "doc_id")
+        if not used.others:
+            parts.append(start.select("query_id", "doc_id"))
+        else:
+            parts.append(_checked(index, materialize(start, "candidates"), literals.filter(~by_bits), hits, small))
+    if bits or not parts:
+        parts.append(documents_of(_by_bits(index, plan.filter(by_bits), literals.filter(by_bits), hits if used.rare_nots else None, small), "query_id"))
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out.distinct()
+
+
+def _checked(index: Index, candidates: DataFrame, literals: DataFrame, hits: DataFrame, small: bool) -> DataFrame:
+    """``(query_id, doc_id)`` of the candidates that meet all other literals of their clause."""
+    clause = ["query_id", "clause_id"]
+    others = literals.filter(F.col("literal") != F.col("anchor")).select(*clause, "literal", "words", "negated", "wide")
+    needed = candidates.join(broadcast_if(small, others), clause)
+    word = F.size("words") == 1
+    mark = [*clause, "required", "doc_id", "negated"]
+    found = [
+        needed.filter(~word).select(*mark, "literal").join(hits, ["literal", "doc_id"]).select(*mark),
+        join_documents(index, needed.filter(word & ~F.col("wide")).select(*mark, F.col("literal").alias("term"))).select(*mark),
+    ]
+    ranged = needed.filter("wide").select(*mark, F.col("literal").alias("term"), BM.range_of(F.col("doc_id")).alias("rng"))
+    bits = join_bitmaps(index, literals.filter("wide").select(F.col("literal").alias("term")).distinct(), small)
+    found.append(ranged.join(bits, ["term", "rng"]).filter(BM.holds(F.col("bits"), BM.place_of(F.col("doc_id")))).select(*mark))
+    one = lambda held, broken: (F.lit(held).alias("held"), F.lit(broken).alias("broken"))
+    rows = candidates.select(*clause, "required", "doc_id", *one(1, 0))
+    for df in found:
+        kept = (~F.col("negated")).cast("int").alias("held"), F.col("negated").cast("int").alias("broken")
+        rows = rows.unionByName(df.select(*clause, "required", "doc_id", *kept))
+    return (
+        rows.groupBy(*clause, "required", "doc_id")
         .agg(F.sum("held").alias("held"), F.sum("broken").alias("broken"))
         .filter("held = required and broken = 0")
         .select("query_id", "doc_id")
     )
 
-    if not used.free:
-        return met.distinct()
-
-    # Clauses of negations only: every document except those hit. Clauses and documents
-    # meet on a shard number, so no task sees more than its share of the documents.
-    shards = spark.sparkContext.defaultParallelism * 4
-    spread = free.select(*clause, F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    sharded = index.docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"))
-    hit = hits.join(
-        broadcast_if(small, usable.join(free, clause, "left_semi").select(*clause, "literal")), "literal"
-    ).select(*clause, "doc_id")
-    rest = (
-        sharded.join(spread, "shard").join(hit, [*clause, "doc_id"], "left_anti").select("query_id", "doc_id")
-    )
-    return met.unionByName(rest).distinct()
+
+def _by_bits(index: Index, plan: DataFrame, literals: DataFrame, hits: DataFrame | None, small: bool) -> DataFrame:
+    """``(query_id, rng, bits)`` of clauses of frequent words and negations: AND inside a clause, OR over clauses."""
+    clause = ["query_id", "clause_id"]
+    wide = literals.filter("wide").select(*clause, "negated", F.col("literal").alias("term"))
+    free = plan.filter("required = 0").select(*clause, F.lit(False).alias("negated"), F.lit(BM.EVERY).alias("term"))
+    bits = F.when(F.col("negated"), BM.complement(F.col("bits"))).otherwise(F.col("bits")).alias("bits")
+    rows = join_bitmaps(index, wide.unionByName(free), small).select(*clause, "rng", (~F.col("negated")).cast("int").alias("held"), bits)
+    if hits is not None:
+        rare = literals.filter(~F.col("wide")).select(*clause, "literal")  # all negated: a positive one would be an anchor
+        found = BM.bitmaps_of(hits.join(broadcast_if(small, rare.select("literal").distinct()), "literal", "left_semi"), "literal")
+        rows = rows.unionByName(
+            found.join(broadcast_if(small, rare), "literal").select(*clause, "rng", F.lit(0).alias("held"), BM.complement(F.col("bits")).alias("bits"))
+        )
+    both = rows.groupBy(*clause, "rng").agg(F.bitmap_and_agg("bits").alias("bits"), F.sum("held").alias("held"))
+    needed = plan.select(*clause, F.greatest("required", F.lit(1)).alias("required"))
+    met = both.join(broadcast_if(small, needed), clause).filter("held = required")
+    return met.groupBy("query_id", "rng").agg(F.bitmap_or_agg("bits").alias("bits"))

@@ -23,6 +23,19 @@ def only_terms(index: Index, terms: Sequence[str]) -> DataFrame:
     return index.postings.filter(F.col("term_bucket").isin(*buckets) & F.col("term").isin(*terms))
 
 
+def join_documents(index: Index, needed: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``needed`` (with ``term`` and ``doc_id``) that have a posting, with the columns asked for."""
+    needed = needed.withColumn("term_bucket", bucket_of(F.col("term"), index.buckets))
+    side = broadcast_checked(needed.filter(F.col("term") > ""), "needed")
+    return index.postings.select("term_bucket", "term", "doc_id", *columns).join(side, ["term_bucket", "term", "doc_id"]).drop("term_bucket")
+
+
+def join_bitmaps(index: Index, wanted: DataFrame, small: bool, on: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``wanted`` (with ``term``) joined to the bitmaps of their terms, and on ``rng`` where ``on`` says so."""
+    wanted = wanted.withColumn("term_bucket", bucket_of(F.col("term"), index.buckets))
+    return index.bitmaps.join(broadcast_if(small, wanted.filter(F.col("term") >= "")), ["term_bucket", "term", *on]).drop("term_bucket")
+
+
 def term_id(index: Index, term: str) -> DataFrame:
     """``(term, term_id)`` of one term; empty when unknown."""
     return index.terms.filter(F.col("term") == term).select("term", "term_id")

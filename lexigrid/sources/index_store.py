@@ -7,6 +7,7 @@ in ``versions``. Readers open the latest version named there, so a build that fa
               by ``term_bucket``, sorted by term and document inside each file, Bloom filter on ``term``
 ``terms``     ``(term_id, term, df)`` sorted by term
 ``stats``     one row: total_docs, indexed_docs, buckets, profile
+``bitmaps``   the documents of frequent terms, and all documents, as bits by id range; clustered like the postings
 ``docs``      the document ids (what NOT is taken against) and whether they have tokens
 ``rejects``   ``(doc_id, reason)`` of the rows left out
 
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexigrid.operators import bitmaps as BM
 from lexigrid.operators import postings as P
 from lexigrid.plans.session import broadcast_if, is_small, partition_bytes
 
@@ -56,6 +58,7 @@ STATS_SCHEMA = T.StructType(
 BLOCKS_SCHEMA = T.StructType([*P.POSTINGS_SCHEMA, T.StructField("block_id", T.LongType())])
 DOCS = "doc_id long, has_tokens boolean"
 BLOCK_DOCS = f"{DOCS}, block_id long"
+BITMAPS = "term string, rng long, bits binary, term_bucket int"
 REJECTS = "doc_id long, reason string"
 VERSIONS = "version string, written timestamp"
 
@@ -72,6 +75,7 @@ class Index:
     total_docs: int
     profile: str = "plain"
     rejects: DataFrame | None = None
+    bitmaps: DataFrame | None = None
 
 
 def bucket_of(term: Column, buckets: int) -> Column:
@@ -113,6 +117,21 @@ def write_postings(
         )
 
 
+def write_bitmaps(postings: DataFrame, docs: DataFrame, path: str, buckets: int, total_docs: int, codec: str = "zstd") -> None:
+    """Bitmaps of the frequent terms of stored postings, and of all documents."""
+    every = docs.select(F.lit(BM.EVERY).alias("term"), "doc_id")
+    frequent = postings.filter(BM.is_dense(F.col("df"), F.lit(total_docs))).select("term", "doc_id")
+    rows = BM.bitmaps_of(frequent.unionByName(every), "term").withColumn("term_bucket", bucket_of(F.col("term"), buckets))
+    with partition_bytes(postings.sparkSession, 0):
+        (
+            rows.hint("rebalance", "term_bucket")
+            .sortWithinPartitions("term_bucket", "term", "rng")
+            .write.option("compression", _codec(codec))
+            .partitionBy("term_bucket")
+            .parquet(path)
+        )
+
+
 def write_terms(terms: DataFrame, path: str, codec: str = "zstd") -> None:
     P.term_dictionary(terms.select("term", "df")).sortWithinPartitions("term").write.mode(
         "overwrite"
@@ -150,6 +169,9 @@ def write_index(
     universe = spark.read.schema(DOCS).parquet(f"{to}/docs")
     stats = P.stats_of(universe).select("*", F.lit(buckets).alias("buckets"), F.lit(profile).alias("profile"))
     stats.coalesce(1).write.parquet(f"{to}/stats")
+    total = spark.read.schema(STATS_SCHEMA).parquet(f"{to}/stats").first().total_docs
+    stored = spark.read.schema(STORED_POSTINGS).parquet(f"{to}/postings")
+    write_bitmaps(stored, universe, f"{to}/bitmaps", buckets, total, codec)
     named = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("written"))
     named.coalesce(1).write.mode("append").parquet(f"{path}/versions")
     return read_index(spark, path)
@@ -170,6 +192,7 @@ def read_index(spark: SparkSession, path: str) -> Index:
         total_docs=one.total_docs,
         profile=one.profile,
         rejects=spark.read.schema(REJECTS).parquet(f"{at}/rejects"),
+        bitmaps=spark.read.schema(BITMAPS).parquet(f"{at}/bitmaps"),
     )
 
 

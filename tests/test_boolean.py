@@ -2,8 +2,11 @@ import pytest
 from conftest import ids
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from lexigrid.operators import bitmaps as BM
 from lexigrid.operators import boolean as B
+from lexigrid.operators import phrase as PH
 from lexigrid.operators.phrase import match_phrases, phrase_slots
 from lexigrid.plans.session import local_table
 
@@ -179,3 +182,60 @@ def test_porter_profile(corpus):
     i = corpus({0: "running ponies", 1: "runs a pony", 2: "walk"}, "porter")
     assert ids(B.match_term(i, "run").documents()) == [0, 1]
     assert ids(B.match_phrase(i, "runs pony").documents()) == [0, 1]
+
+
+IDS = [-70_000, -32_769, -32_768, -1, 0, 1, 7, 8, 32_767, 32_768, 32_769, 10**12]
+
+
+def test_bitmaps_hold_any_id(spark):
+    rows = spark.createDataFrame([("a", i) for i in IDS] * 2 + [("b", 5)], "term string, doc_id long")
+    bits = BM.bitmaps_of(rows, "term")
+    back = lambda df: sorted((r.term, r.doc_id) for r in BM.documents_of(df, "term").collect())
+    assert back(bits) == [("a", i) for i in IDS] + [("b", 5)]
+    others = bits.filter("term = 'b'").withColumn("bits", BM.complement(F.col("bits")))
+    assert [d for _, d in back(others)] == [i for i in range(BM.RANGE) if i != 5]
+    held = rows.filter("term = 'a'").distinct().join(bits.select("term", "rng", "bits"), "term")
+    at = BM.range_of(F.col("doc_id")) == F.col("rng")
+    kept = held.filter(at & BM.holds(F.col("bits"), BM.place_of(F.col("doc_id"))))
+    assert sorted(r.doc_id for r in kept.collect()) == IDS
+    assert held.filter(at & BM.holds(F.col("bits"), BM.place_of(F.col("doc_id") + 3))).count() == 0
+
+
+def test_frequent_words_and_negations_over_several_ranges(spark, corpus):
+    """Words of most documents, of every 50th and of one, over ids on both sides of range borders."""
+    every = [i * 1_000 - 40_000 for i in range(120)]
+    words = {d: {"common"} | ({"even"} if i % 2 == 0 else {"odd"}) | ({"rare"} if i % 50 == 0 else set()) | ({f"one{'abc'[i]}"} if i < 3 else set()) for i, d in enumerate(every)}
+    index = corpus({d: " ".join(sorted(w)) for d, w in words.items()})
+    dense = {r.term for r in index.bitmaps.select("term").distinct().collect()}
+    assert dense == {"", "common", "even", "odd"}
+    queries = {
+        "frequent": [["common", "even"]], "none": [["even", "odd"]], "either": [["even"], ["odd"]], "not": [["-even"]], "nots": [["-even", "-rare"]],
+        "rare_not": [["common", "-rare"]], "phrase_not": [["common", "-common even"]], "rare_frequent": [["rare", "common", "even"]], "rare_less": [["rare", "-even"]],
+        "two_rare": [["rare", "onea"]], "mixed": [["rare", "oneb"], ["odd", "-oneb"], ["-common"]], "unknown": [["-zebra"]], "everything": [["-zebra", "-the"]],
+    }
+
+    def holds(literal, have):
+        w = literal.lstrip("-").split()
+        met = set(w) <= have and "zebra" not in w and "the" not in w
+        return met != literal.startswith("-")
+
+    want = {q: sorted(d for d, have in words.items() if any(all(holds(x, have) for x in c) for c in cs)) for q, cs in queries.items()}
+    assert batch(spark, index, queries) == want
+
+
+def test_candidates_shrink_with_every_round(spark, corpus):
+    """A word of all documents is met by the candidates that are left, not by all."""
+    word = lambda first, i: first + "abcdefghijklmnopqrstuvwxyz"[i // 6] + "abcdefghij"[i % 6]
+    texts = {i: " ".join(["common", word("w", i % 30), word("x", i % 15), word("y", i % 6), word("z", i % 3), "pp qq rr"]) for i in range(180)}
+    index = corpus(texts)
+    phrase = texts[7]
+    slots = phrase_slots(local_table(spark, {"phrase_id": [1], "text": [phrase]}, "phrase_id int, text string"))
+    for mode in PH.MODES:
+        planned = PH._planned(index, slots, "phrase_id", True)
+        steps = [r["term"] for r in planned.first().steps]
+        assert steps[0] == word("w", 7) and set(steps[-4:]) == {"common", "pp", "qq", "rr"}
+        rows = [state.count() for state in PH.narrowed(index, planned, "phrase_id", mode, True, 8)]
+        assert rows == [6, 6, 6] and len(rows) == 3
+    other = phrase_slots(local_table(spark, {"phrase_id": [1], "text": [phrase.replace(word("x", 7), word("x", 8))]}, "phrase_id int, text string"))
+    planned = PH._planned(index, other, "phrase_id", True)
+    assert [s.count() for s in PH.narrowed(index, planned, "phrase_id", "strict", True, 8)] == [6, 0, 0]
