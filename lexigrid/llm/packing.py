@@ -35,8 +35,6 @@ SEGMENT = 1 << 18
 #: Price of a cut in tokens of padding: at a sentence end, and inside a sentence. At a document end it is free.
 SENTENCE_CUT, INNER_CUT = 1.0, 8.0
 END_ID = 0
-#: Of the sentence ends in a stretch of so many tokens one is a cut.
-SHORT = 24
 #: Chunks between spaces whose ids a worker remembers.
 CACHE = 400_000
 
@@ -229,7 +227,6 @@ class Packer:
         stream = np.concatenate(self.ids)
         price = np.full(len(stream) + 1, INNER_CUT)
         inside = np.flatnonzero(self.ends[stream]) + 1
-        inside = inside[np.diff(inside // SHORT, prepend=-1) > 0]
         price[inside] = SENTENCE_CUT
         places = np.array([p + n - done for _, p, n, done in self.docs if p + n - done <= len(stream)], dtype=np.int64)
         price[places] = 0.0
