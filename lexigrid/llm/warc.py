@@ -8,7 +8,8 @@ Reading: each task streams its archives and emits rows of (record, chunk number)
 the digest so far. No record is held whole.
 
 Defined results: a null payload is an empty one. A null URL leaves its header out; control characters in a URL are
-percent-encoded. Rows that share the smallest key of their payload are all responses. Null keys are larger than
+percent-encoded. Rows that share the smallest key of their payload are all responses. A record's identifier is its key and the task and number
+that wrote it, so that (record_id, chunk_no) is unique among repeated and null keys too. Null keys are larger than
 others; if all are null, all are responses. An empty table gives no archive and no rows.
 """
 
@@ -52,11 +53,12 @@ def typed(pages: DataFrame, key: str = "page_id", payload: str = "html", url: st
     )
 
 
-def _header(key, url, size: int, digest: str, refers_to, date: str) -> bytes:
+def _header(key, part: str, url, size: int, digest: str, refers_to, date: str) -> bytes:
+    """``part`` tells records of one key apart, and those without a key."""
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:page:{'' if key is None else key}>",
+        f"WARC-Record-ID: <urn:page:{'' if key is None else key}:{part}>",
         f"WARC-Date: {date}",
         f"WARC-Payload-Digest: sha256:{digest}",
         f"X-Payload-Length: {size}",
@@ -114,13 +116,15 @@ def write(records: DataFrame, folder: str | None = None, date: str = "1970-01-01
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         me = TaskContext.get()
-        archives = _Archives(folder, f"part-{me.partitionId():06d}-{me.taskAttemptId()}")
+        mine, number = f"{me.partitionId():06d}-{me.taskAttemptId()}", 0
+        archives = _Archives(folder, f"part-{mine}")
         for batch in batches:
             key, url, payload, size, digest, refers_to = batch.columns
             for i in range(batch.num_rows):
                 to = refers_to[i].as_py()
                 body = b"" if to is not None else payload[i].as_py().encode("utf-8", "replace")
-                archives.write(_header(key[i].as_py(), url[i].as_py(), size[i].as_py(), digest[i].as_py(), to, date), body)
+                archives.write(_header(key[i].as_py(), f"{mine}-{number}", url[i].as_py(), size[i].as_py(), digest[i].as_py(), to, date), body)
+                number += 1
         archives.close()
         if archives.done:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*archives.done)], ["path", "records", "bytes"])
@@ -163,7 +167,8 @@ def chunk_rows(source) -> Iterator[tuple]:
         fields = dict(x.split(": ", 1) for x in bytes(held[:end]).decode().split("\r\n")[1:])
         del held[: end + 4]
         left, size, number, sha = int(fields["Content-Length"]), 0, 0, hashlib.sha256()
-        page = lambda name: int(fields[name][10:-1]) if len(fields.get(name, "")) > 11 else None
+        key_in = lambda name: fields.get(name, "<urn:page:>")[10:-1].split(":")[0]
+        page = lambda name: int(key_in(name)) if key_in(name) else None
         kind, name = fields["WARC-Type"], fields["WARC-Record-ID"]
         while True:
             while len(held) < min(left, CHUNK):
