@@ -1,6 +1,7 @@
 """Document bitmaps: sets of documents as bits by id range.
 
-A row ``(term, rng, bits)`` holds the documents of a term among ``RANGE`` consecutive ids in 4 kB. Rows exist for terms in
+A row ``(term, rng, bits, max_tf)`` holds the documents of a term among ``RANGE`` consecutive ids in 4 kB, and the term's
+greatest frequency in them. Rows exist for terms in
 at least one of ``DENSE`` documents, where bits take less room than ids, and for all documents under the empty
 term. AND, OR and NOT of frequent words then meet range by range, and no list of their documents is shuffled.
 """
@@ -25,14 +26,15 @@ def place_of(doc_id: Column) -> Column:
     return F.pmod(doc_id, F.lit(RANGE))
 
 
-def is_dense(df: Column, total_docs: Column) -> Column:
-    return df * DENSE >= total_docs
+def dense_from(total_docs: int) -> int:
+    """The least document frequency of terms that have bitmaps."""
+    return -(-total_docs // DENSE)
 
 
-def bitmaps_of(rows: DataFrame, key: str) -> DataFrame:
-    """``(key, rng, bits)`` from ``(key, doc_id)``; copies of a row don't matter."""
-    placed = rows.select(key, range_of(F.col("doc_id")).alias("rng"), place_of(F.col("doc_id")).alias("place"))
-    return placed.groupBy(key, "rng").agg(F.bitmap_construct_agg("place").alias("bits"))
+def bitmaps_of(rows: DataFrame, key: str, *more: Column) -> DataFrame:
+    """``(key, rng, bits)`` from ``(key, doc_id)``, and more aggregates by range; copies of a row don't matter."""
+    placed = rows.select("*", range_of(F.col("doc_id")).alias("rng"), place_of(F.col("doc_id")).alias("place"))
+    return placed.groupBy(key, "rng").agg(F.bitmap_construct_agg("place").alias("bits"), *more)
 
 
 def complement(bits: Column) -> Column:

@@ -30,10 +30,11 @@ def join_documents(index: Index, needed: DataFrame, columns: Sequence[str] = ())
     return index.postings.select("term_bucket", "term", "doc_id", *columns).join(side, ["term_bucket", "term", "doc_id"]).drop("term_bucket")
 
 
-def join_bitmaps(index: Index, wanted: DataFrame, small: bool, on: Sequence[str] = ()) -> DataFrame:
-    """Rows of ``wanted`` (with ``term``) joined to the bitmaps of their terms, and on ``rng`` where ``on`` says so."""
-    wanted = wanted.withColumn("term_bucket", bucket_of(F.col("term"), index.buckets))
-    return index.bitmaps.join(broadcast_if(small, wanted.filter(F.col("term") >= "")), ["term_bucket", "term", *on]).drop("term_bucket")
+def join_bitmaps(index: Index, wanted: DataFrame, small: bool, columns: Sequence[str] = ("bits",)) -> DataFrame:
+    """Rows of ``wanted`` (with ``term``) joined to the ranges of their terms, with the columns asked for."""
+    wanted = wanted.withColumn("term_bucket", bucket_of(F.col("term"), index.buckets)).filter(F.col("term") >= "")
+    rows = index.bitmaps.select("term_bucket", "term", "rng", *columns)
+    return rows.join(broadcast_if(small, wanted), ["term_bucket", "term"]).drop("term_bucket")
 
 
 def term_id(index: Index, term: str) -> DataFrame:

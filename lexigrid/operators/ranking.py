@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from lexigrid.functions.stem import stem
 from lexigrid.functions.text import literal_tokens, tokens
-from lexigrid.operators.lookup import join_postings, only_terms
+from lexigrid.operators import bitmaps as BM
+from lexigrid.operators.lookup import join_bitmaps, join_documents, join_postings, only_terms
 from lexigrid.plans.session import broadcast_if, is_small, materialize
-from lexigrid.sources.index_store import Index
+from lexigrid.sources.index_store import Index, bucket_of
 
 SCHEMES = ("tf", "tfidf")
 # Sums of doubles depend on their order in the last bits. Scores are rounded before
@@ -82,18 +83,44 @@ def _bag_terms(bags: DataFrame, key: str) -> DataFrame:
     return bags.select(key, F.explode_outer("bag").alias("term")).filter(F.col("term").isNotNull())
 
 
-def _parts(index: Index, wanted: DataFrame, scheme: str, small: bool) -> DataFrame:
-    """``(leader, doc_id, tf, weight)`` for every posting of every query. A word in all documents has weight 0 and none.
+# Scores are rounded, so a bound may lie below a threshold by this much and still be met.
+SLACK = 10.0 ** (1 - DIGITS)
 
-    The postings of the wanted terms are shuffled by document, once, before they meet the queries. The sum
+
+def _by_document(index: Index, places: DataFrame, weighted: DataFrame, on: list[str], small: bool) -> DataFrame:
+    """``(leader, doc_id, tf, weight)`` for the postings at ``places`` of every query in ``weighted``.
+
+    The postings are shuffled by document, once, before they meet the queries. The sum
     per (query, document) then needs no shuffle of its own, so postings times queries never cross the
     network, and each task keeps k rows per query. Where the queries are too many to be broadcast, the
     join with them is left to AQE, which splits a frequent term.
     """
-    terms = wanted.select("term").distinct()
-    weighted = join_postings(index, terms, ["doc_id", "tf", "df"], small).withColumn("weight", _weights(index, scheme))
-    by_document = weighted.filter("weight > 0").select("term", "doc_id", "tf", "weight").repartition("doc_id")
-    return by_document.join(broadcast_if(small, wanted), "term")
+    rows = index.postings.select("term_bucket", "term", "doc_id", "tf", BM.range_of(F.col("doc_id")).alias("rng"))
+    places = places.filter(F.col("term") > "").withColumn("term_bucket", bucket_of(F.col("term"), index.buckets))
+    met = rows.join(broadcast_if(small, places), ["term_bucket", *on]).drop("term_bucket").repartition("doc_id")
+    return met.join(broadcast_if(small, weighted), on).select("leader", "doc_id", "tf", "weight")
+
+
+def _top(parts: DataFrame, k: int) -> DataFrame:
+    """``(leader, doc_id, score, rank)`` of the k best documents of every query."""
+    best = Window.partitionBy("leader").orderBy(F.desc("score"), "doc_id")
+    scored = parts.groupBy("leader", "doc_id").agg(_score()).filter("score > 0")
+    return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+
+def score_ranges(index: Index, frequent: DataFrame, rare: DataFrame, k: int, small: bool) -> DataFrame:
+    """``(leader, rng, bound, least, open)``: the most that a query's frequent words can add in a range of documents.
+
+    ``least`` is the k-th best score that the query's rare words alone give, so the k-th best of all words is no smaller. A
+    document without any rare word scores ``bound`` at most: where that is below ``least``, a range is not
+    ``open``, and of the frequent words only the postings of documents with rare words count.
+    """
+    least = _top(rare, k).groupBy("leader").agg(F.min("score").alias("least"), F.count("*").alias("n"))
+    least = least.select("leader", F.when(F.col("n") == k, F.col("least")).otherwise(0.0).alias("least"))
+    peaks = join_bitmaps(index, frequent, small, ["max_tf"])
+    bounds = peaks.groupBy("leader", "rng").agg(F.sum(F.col("max_tf") * F.col("weight")).alias("bound"))
+    rows = bounds.join(broadcast_if(small, least), "leader", "left").withColumn("least", F.coalesce("least", F.lit(0.0)))
+    return rows.withColumn("open", F.col("bound") + SLACK >= F.col("least"))
 
 
 def rank_batch(
@@ -107,27 +134,59 @@ def rank_batch(
     """``(key, doc_id, score, rank)``: top k for every row of a query table in one plan.
 
     Queries with the same set of terms are scored once, so copies of one query cost
-    nothing. Scores are summed per (query, document), a key without hot spots, and the
-    per-query limit runs before the shuffle by query as well as after it. The plan is the
-    same for every number of queries and postings.
+    nothing. The rare words of a query give a first threshold; of its frequent words only the ranges of documents are read
+    whole that can reach it (:func:`score_ranges`), and elsewhere only the documents that have a rare word. Scores
+    are summed per (query, document), a key without hot spots, and the per-query limit runs before the shuffle by
+    query as well as after it. The plan is the same for every number of queries and postings.
     """
     bags = materialize(query_bags(queries, key, text, index.profile), "bags")
     leaders = bags.groupBy("bag").agg(F.min(key).alias("leader"))
     wanted = materialize(_bag_terms(leaders, "leader"), "wanted")
     small = is_small(wanted)
-    parts = _parts(index, wanted, scheme, small)
-    best = Window.partitionBy("leader").orderBy(F.desc("score"), "doc_id")
-    top = (
-        parts.groupBy("leader", "doc_id")
-        .agg(_score())
-        .filter("score > 0")
-        .withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= k)
-    )
+    parts = _all_parts(index, wanted, k, scheme, small)
     # Followers are not bounded by the size check (one bag may have any number of
     # copies), so this join is left to AQE, which splits a leader with many of them.
     followers = bags.join(broadcast_if(small, leaders), "bag").select(key, "leader")
-    return followers.join(top, "leader").select(key, "doc_id", "score", "rank")
+    return followers.join(_top(parts, k), "leader").select(key, "doc_id", "score", "rank")
+
+
+def _weighted(index: Index, wanted: DataFrame, scheme: str, small: bool) -> DataFrame:
+    """``(leader, term, weight, frequent)``. A word in all documents has weight 0 and is left out."""
+    known = index.terms.select("term", "df").join(broadcast_if(small, wanted), "term")
+    rows = known.select("leader", "term", _weights(index, scheme).alias("weight"), (F.col("df") >= BM.dense_from(index.total_docs)).alias("frequent"))
+    return rows.filter("weight > 0")
+
+
+def _all_parts(index: Index, wanted: DataFrame, k: int, scheme: str, small: bool) -> DataFrame:
+    """``(leader, doc_id, tf, weight)``: all parts of the scores of documents that can be among the k best."""
+    weighted = materialize(_weighted(index, wanted, scheme, small), "weighted")
+    scarce = weighted.filter(~F.col("frequent")).drop("frequent")
+    frequent = weighted.filter("frequent").drop("frequent")
+    rare = _by_document(index, scarce.select("term").distinct(), scarce, ["term"], small)
+    if not frequent.limit(1).count():
+        return rare
+    rare = materialize(rare, "rare-parts")
+    ranges = materialize(score_ranges(index, frequent, rare, k, small), "ranges")
+    opened = frequent.join(broadcast_if(small, ranges.filter("open").select("leader", "rng")), "leader")
+    whole = _by_document(index, opened.select("term", "rng").distinct(), opened, ["term", "rng"], small)
+    held = rare.groupBy("leader", "doc_id").agg(_score()).withColumn("rng", BM.range_of(F.col("doc_id")))
+    held = held.join(broadcast_if(small, ranges.filter(~F.col("open"))), ["leader", "rng"])
+    held = held.filter(F.col("score") + F.col("bound") + SLACK >= F.col("least")).select("leader", "doc_id")
+    needed = held.join(broadcast_if(small, frequent), "leader").select("leader", "term", "doc_id", "weight")
+    single = join_documents(index, needed, ["tf"]).select("leader", "doc_id", "tf", "weight")
+    return rare.unionByName(whole).unionByName(single)
+
+
+def range_share(index: Index, queries: DataFrame, k: int = 10, scheme: str = "tfidf", key: str = "query_id", text: str = "text") -> DataFrame:
+    """``(postings, read)``: postings of the frequent words of a query table, and those in ranges that are read whole."""
+    wanted = materialize(_bag_terms(query_bags(queries, key, text, index.profile).withColumnRenamed(key, "leader"), "leader"), "wanted")
+    small = is_small(wanted)
+    weighted = materialize(_weighted(index, wanted, scheme, small), "weighted")
+    scarce, frequent = weighted.filter(~F.col("frequent")).drop("frequent"), weighted.filter("frequent").drop("frequent")
+    rare = materialize(_by_document(index, scarce.select("term").distinct(), scarce, ["term"], small), "rare-parts")
+    ranges = score_ranges(index, frequent, rare, k, small).select("leader", "rng", "open")
+    sizes = join_bitmaps(index, frequent, small).select("leader", "rng", F.bitmap_count("bits").alias("n")).join(ranges, ["leader", "rng"])
+    return sizes.agg(F.sum("n").alias("postings"), F.sum(F.when(F.col("open"), F.col("n")).otherwise(0)).alias("read"))
 
 
 def rank_presence_batch(

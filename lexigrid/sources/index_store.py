@@ -58,7 +58,7 @@ STATS_SCHEMA = T.StructType(
 BLOCKS_SCHEMA = T.StructType([*P.POSTINGS_SCHEMA, T.StructField("block_id", T.LongType())])
 DOCS = "doc_id long, has_tokens boolean"
 BLOCK_DOCS = f"{DOCS}, block_id long"
-BITMAPS = "term string, rng long, bits binary, term_bucket int"
+BITMAPS = "term string, rng long, bits binary, max_tf int, term_bucket int"
 REJECTS = "doc_id long, reason string"
 VERSIONS = "version string, written timestamp"
 
@@ -119,9 +119,9 @@ def write_postings(
 
 def write_bitmaps(postings: DataFrame, docs: DataFrame, path: str, buckets: int, total_docs: int, codec: str = "zstd") -> None:
     """Bitmaps of the frequent terms of stored postings, and of all documents."""
-    every = docs.select(F.lit(BM.EVERY).alias("term"), "doc_id")
-    frequent = postings.filter(BM.is_dense(F.col("df"), F.lit(total_docs))).select("term", "doc_id")
-    rows = BM.bitmaps_of(frequent.unionByName(every), "term").withColumn("term_bucket", bucket_of(F.col("term"), buckets))
+    every = docs.select(F.lit(BM.EVERY).alias("term"), "doc_id", F.lit(None).cast("int").alias("tf"))
+    frequent = postings.filter(F.col("df") >= BM.dense_from(total_docs)).select("term", "doc_id", "tf")
+    rows = BM.bitmaps_of(frequent.unionByName(every), "term", F.max("tf").alias("max_tf")).withColumn("term_bucket", bucket_of(F.col("term"), buckets))
     with partition_bytes(postings.sparkSession, 0):
         (
             rows.hint("rebalance", "term_bucket")

@@ -103,3 +103,38 @@ def test_large_side_path(spark, index, monkeypatch):
     expected = sorted(map(tuple, R.rank_batch(index, queries_of(spark, texts)).collect()))
     monkeypatch.setattr("lexigrid.operators.ranking.is_small", lambda df: False)
     assert sorted(map(tuple, R.rank_batch(index, queries_of(spark, texts)).collect())) == expected
+
+
+def test_ranges_below_the_threshold_are_not_read(spark, corpus):
+    """Documents in several id ranges; a rare word lifts the threshold over what frequent words can give in some."""
+    word = lambda i: "".join("abcdefghij"[int(c)] for c in f"{i:03d}")
+    texts = {}
+    for i in range(160):
+        d = i * 1_000 - 30_000
+        often = "often " * (9 if 32_768 <= d < 65_536 else 1)
+        texts[d] = f"{often} plain{'' if i % 3 else ' common'} own{word(i)}" + (" scarce scarce" if i % 40 == 5 else "")
+    index = corpus(texts)
+    queries = {"a": "scarce often", "b": "often plain common", "c": "scarce common", "d": "scarce often plain common owndef ownabc", "e": "scarce"}
+    table = local_table(spark, {"query_id": list(queries), "text": list(queries.values())}, "query_id string, text string")
+    for scheme in ("tf", "tfidf"):
+        for k in (1, 3, 200):
+            got = {}
+            for r in R.rank_batch(index, table, k, scheme).collect():
+                got.setdefault(r.query_id, []).append((r.rank, r.doc_id, r.score))
+            for q, text in queries.items():
+                want = [(r.rank, r.doc_id, r.score) for r in R.rank(index, text, k, scheme).collect()]
+                assert sorted(got.get(q, [])) == sorted(want), (scheme, k, q)
+    share = R.range_share(index, table.filter("query_id = 'c'"), 3, "tf").first()
+    assert share.postings > share.read == 0  # a document of `common` alone scores 1, three documents of `scarce` 2 or more
+    share = R.range_share(index, table.filter("query_id = 'b'"), 3, "tf").first()
+    assert share.postings == share.read > 0  # no rare word, no threshold
+
+
+def test_the_bound_with_every_frequency_one(spark, corpus):
+    """Ties between documents with and without rare words: a bound equal to the threshold must be read."""
+    index = corpus({i: ("left right" if i < 20 else "left") + (" lone pair" if i in (30, 31) else "") for i in range(40)})
+    table = local_table(spark, {"query_id": ["x"], "text": ["left right lone"]}, "query_id string, text string")
+    for k in (1, 2, 5):
+        got = [(r.doc_id, r.score) for r in R.rank_batch(index, table, k, "tf").orderBy("rank").collect()]
+        assert got == [(r.doc_id, r.score) for r in R.rank(index, "left right lone", k, "tf").orderBy("rank").collect()]
+    assert got == [(i, 2.0) for i in range(5)]
