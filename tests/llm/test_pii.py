@@ -83,13 +83,14 @@ def test_reliabilities_are_estimated():
         y = rng.random() < 0.3
         fmt = 1 if (rng.random() < true["format"]) == y else -1
         cue = 1 if rng.random() < (true["cue"] if y else 0.05) else 0
-        votes = tuple({"format": fmt, "cue": cue}.get(name, 0) for name in pii.LABELERS)
+        gaz = 1 if (rng.random() < 0.9) == y else -1
+        votes = tuple({"format": fmt, "cue": cue, "gazetteer": gaz}.get(name, 0) for name in pii.LABELERS)
         counts["card", votes] = counts.get(("card", votes), 0) + 1
     rel, prior, post = pii.estimate([(k, v, n) for (k, v), n in sorted(counts.items())])
     assert abs(prior["card"] - 0.3) < 0.05
     assert abs(rel["cue"][1][0] - 0.6) < 0.1 and rel["cue"][1][1] < 0.1
     assert rel["format"][1][0] > 0.85 and rel["format"][-1][1] > 0.85
-    assert pii.estimate([]) [1:] == ({}, {})
+    assert pii.estimate([])[1:] == ({}, {})
 
 
 @pytest.mark.parametrize("texts", [[], [None, "", " "]])
