@@ -19,17 +19,18 @@ POSTINGS_SCHEMA = T.StructType(
 )
 
 
-def _runs(tokenized: DataFrame, key: str) -> DataFrame:
+def _runs(tokenized: DataFrame) -> DataFrame:
     """Sort each document's tokens by (term, position) and mark where a term starts."""
+    keep = [c for c in tokenized.columns if c != "tokens"]
     ordered = tokenized.select(
-        key,
+        *keep,
         F.sort_array(
             F.transform("tokens", lambda t, i: F.struct(t.alias("term"), i.alias("pos")))
         ).alias("ordered"),
     )
     new_term = lambda t, i: (i == 0) | (t["term"] != F.get("ordered", i - 1)["term"])
     return ordered.select(
-        key,
+        *keep,
         "ordered",
         F.array_compact(
             F.transform("ordered", lambda t, i: F.when(new_term(t, i), i))
@@ -37,8 +38,8 @@ def _runs(tokenized: DataFrame, key: str) -> DataFrame:
     )
 
 
-def analyzed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, postings)``: one row per document with its ``(term, tf, positions)``, sorted by term; empty without tokens.
+def analyzed(docs: DataFrame, key: str = "doc_id", text: str = "text", *more: Column) -> DataFrame:
+    """``(key, postings)``, and more columns: one row per document with its ``(term, tf, positions)``, sorted by term; empty without tokens.
 
     A document is one row, so its postings are grouped inside that row and the
     whole step is narrow: nothing is shuffled, however frequent a term is.
@@ -52,7 +53,8 @@ def analyzed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         )
 
     sized = lambda p: F.struct(p["term"].alias("term"), F.size(p["positions"]).alias("tf"), p["positions"].alias("positions"))
-    return _runs(tokenize(docs, key, text), key).select(key, F.transform(F.transform("starts", one), sized).alias("postings"))
+    rows = _runs(tokenize(docs, [key, *more], text))
+    return rows.select(*rows.columns[: 1 + len(more)], F.transform(F.transform("starts", one), sized).alias("postings"))
 
 
 def postings_of(documents: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -148,8 +150,22 @@ def corpus_stats_from_documents(docs: DataFrame, key: str = "doc_id", text: str
 
 
 def merge_documents(docs: DataFrame) -> DataFrame:
-    """``(doc_id, has_tokens)`` once per document, from those of all blocks: a merge keeps any block's terms."""
-    return docs.groupBy("doc_id").agg(F.max("has_tokens").alias("has_tokens"))
+    """``(doc_id, has_tokens, digest)`` once per document, from those of all blocks.
+
+    A merge keeps any block's terms; the digest is that of the latest block's text.
+    """
+    latest = F.max_by("digest", "block_id") if "block_id" in docs.columns else F.max_by("digest", "has_tokens")
+    return docs.groupBy("doc_id").agg(F.max("has_tokens").alias("has_tokens"), latest.alias("digest"))
+
+
+def text_digest(text: Column) -> Column:
+    return F.xxhash64(text).alias("digest")
+
+
+def range_digests(docs: DataFrame, width: int) -> DataFrame:
+    """``(rng, docs, digest)`` per ``width`` consecutive ids, from ``(doc_id, digest)`` in any order."""
+    own = F.xxhash64("doc_id", "digest")
+    return docs.groupBy(F.floor(F.col("doc_id") / width).alias("rng")).agg(F.count("*").alias("docs"), F.bit_xor(own).alias("digest"))
 
 
 def merge_blocks(blocks: DataFrame, docs: DataFrame | None = None) -> DataFrame:

@@ -44,19 +44,45 @@ def analyzed_documents(docs: DataFrame, input_bytes: int | None = None) -> tuple
     """
     valid, rejects = P.split_valid(docs)
     valid, repeated = P.split_repeated(valid)
-    documents = materialize(P.analyzed(spread(valid, "doc_id", input_bytes)), "analyzed")
+    digest = P.text_digest(F.col("text"))
+    documents = materialize(P.analyzed(spread(valid, "doc_id", input_bytes), "doc_id", "text", digest), "analyzed")
     return documents, rejects.select("doc_id", "reason").unionByName(repeated)
 
 
 def listed(documents: DataFrame, rejects: DataFrame) -> DataFrame:
-    """``(doc_id, has_tokens)`` of analysed documents and of those that were rejected for want of a text."""
-    rows = documents.select("doc_id", (F.size("postings") > 0).alias("has_tokens"))
-    textless = rejects.filter("reason = 'null text' and doc_id is not null").select("doc_id", F.lit(False).alias("has_tokens"))
+    """``(doc_id, has_tokens, digest)`` of analysed documents and of those that were rejected for want of a text."""
+    rows = documents.select("doc_id", (F.size("postings") > 0).alias("has_tokens"), "digest")
+    textless = rejects.filter("reason = 'null text' and doc_id is not null").select(
+        "doc_id", F.lit(False).alias("has_tokens"), P.text_digest(F.lit(None).cast("string"))
+    )
     if not textless.limit(1).count():
         return rows
     return P.merge_documents(rows.unionByName(textless))
 
 
+def changed_ranges(index: S.Index, docs: DataFrame, width: int = S.DIGEST_IDS) -> DataFrame:
+    """``(first_id, last_id, stored_docs, found_docs)`` of the id ranges in which documents differ from the indexed ones.
+
+    Digests of the stored texts are compared with those of the texts at hand, range by range and in any order, so that a
+    changed text shows though no count does; no row: the index is fresh. Rejected rows are left out alike.
+    """
+    valid, rejects = P.split_valid(docs.select("doc_id", "text"))
+    valid, _ = P.split_repeated(valid)
+    textless = rejects.filter("reason = 'null text'").select("doc_id", "text").distinct()
+    now = valid.select("doc_id", P.text_digest(F.col("text")), F.lit(1).alias("has")).unionByName(
+        textless.select("doc_id", P.text_digest(F.col("text")), F.lit(0).alias("has"))
+    )
+    if textless.limit(1).count():  # an id with a text and without one has the text
+        now = now.groupBy("doc_id").agg(F.max_by("digest", "has").alias("digest"))
+    now = P.range_digests(now, width).select("rng", F.col("docs").alias("found_docs"), F.col("digest").alias("found"))
+    both = P.range_digests(index.digests, width).withColumnRenamed("docs", "stored_docs").join(now, "rng", "full_outer")
+    both = both.filter(~F.col("digest").eqNullSafe(F.col("found")) | ~F.col("stored_docs").eqNullSafe(F.col("found_docs")))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return both.select(
+        (F.col("rng") * width).alias("first_id"), ((F.col("rng") + 1) * width - 1).alias("last_id"), zero("stored_docs"), zero("found_docs")
+    )
+
+
 def build_from_blocks(
     spark: SparkSession, blocks: str, path: str, buckets: int | None = None, profile: str = "plain", codec: str = "zstd"
 ) -> S.Index:

@@ -259,6 +259,16 @@ FROM (VALUES ('none'), ('gzip'), ('zstd')) AS v(codec)""",
   count(*) + (SELECT count(*) FROM benchmark) AS expected_docs, false AS fresh FROM documents""",
         "index_freshness": """SELECT count(*) AS stored_docs, count(*) AS expected_docs, true AS fresh
   FROM documents""",
+        "index_changed_ranges": """SELECT 'changed' AS against, CAST(0 AS BIGINT) AS first_id, CAST(1023 AS BIGINT) AS last_id,
+  count(*) AS stored_docs, count(*) AS found_docs FROM documents WHERE doc_id < 1024""",
+        "read_malformed": """SELECT CASE WHEN doc_id % 50 > 0 THEN doc_id END AS doc_id,
+  CASE WHEN doc_id % 50 > 0 THEN CAST(length(text) AS INTEGER) END AS n_chars,
+  CASE WHEN doc_id % 50 = 0 THEN substr('{"doc_id":' || doc_id || ',"text":"', 1, 12) END AS record FROM documents""",
+        "sample_of_repeated_ids": """SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars FROM (
+  SELECT doc_id, text FROM documents UNION ALL SELECT doc_id, ' ' || coalesce(lang, 'none') FROM documents)
+ORDER BY doc_id, text LIMIT 501""",
+        "catalog_rank": base + _ranked("SELECT * FROM qterm", _TFIDF),
+        "rank_stored_queries": base + f"SELECT CAST(query_id AS VARCHAR) AS query_id, doc_id, score, rank FROM ({_ranked('SELECT * FROM qterm', _TFIDF)})",
         "stored_postings": f"{base} {tf_rows} post",
         "stream_ingest": f"{streamed} {tf_rows} sall",
         "stream_ingest_not": f"""{streamed} SELECT doc_id FROM documents UNION ALL SELECT -item_id - 1 FROM benchmark

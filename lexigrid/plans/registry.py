@@ -6,6 +6,7 @@ an index that is written once per application and data folder; see :func:`index_
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +20,12 @@ from lexigrid.operators import postings as P
 from lexigrid.operators import ranking as R
 from lexigrid.operators import workload as W
 from lexigrid.operators.analysis import analyze, stem_vocabulary
-from lexigrid.plans.build import build_from_blocks, build_index
+from lexigrid.plans.build import build_from_blocks, build_index, changed_ranges
 from lexigrid.plans.fixtures import boolean_literals, ranked_queries
 from lexigrid.plans.session import materialize, scratch_path, spread
 from lexigrid.sources import index_store as S
 from lexigrid.sources import results as RS
-from lexigrid.sources.documents import read_documents, read_literals, read_table
+from lexigrid.sources.documents import read_checked, read_documents, read_literals, read_queries, read_table, sample
 from lexigrid.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,7 +146,7 @@ def _reingested(spark, sf_dir) -> str:
     again = passages(spark, sf_dir).withColumnRenamed("query_id", "doc_id")
     rows = P.analyzed(documents(spark, sf_dir)).select("*", order).unionByName(P.analyzed(again).select("*", last))
     rows = materialize(rows, "analyzed")
-    listing = rows.select("doc_id", (F.size("postings") > 0).alias("has_tokens"), "block_id")
+    listing = rows.select("doc_id", (F.size("postings") > 0).alias("has_tokens"), "block_id")  # of made-up blocks: no digests
     path = scratch_path(spark, "blocks")
     S.write_blocks(rows.select("doc_id", "block_id", F.inline("postings")), path, docs=listing)
     return path
@@ -240,6 +241,58 @@ def index_freshness_stale(spark, sf_dir):
     return S.freshness(index_of(spark, sf_dir), docs.unionByName(passages(spark, sf_dir).select("text")))
 
 
+@query
+def index_changed_ranges(spark, sf_dir):
+    """Against its own documents the index is fresh; with one changed text and as many documents, one range is not."""
+    index, docs = index_of(spark, sf_dir), read_documents(spark, _path(sf_dir, "documents"))
+    changed = docs.withColumn("text", F.when(F.col("doc_id") == 77, F.concat("text", F.lit("."))).otherwise(F.col("text")))
+    out = None
+    for name, now in (("same", docs), ("changed", changed)):
+        rows = changed_ranges(index, now).withColumn("against", F.lit(name))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query
+def read_malformed(spark, sf_dir):
+    """JSON lines of which those of every 50th document are cut off: what the reader keeps aside."""
+    docs = read_documents(spark, _path(sf_dir, "documents"))
+    line = F.to_json(F.struct("doc_id", "text"))
+    cut = F.when(F.col("doc_id") % 50 == 0, F.substring(line, 1, 12)).otherwise(line)
+    path = scratch_path(spark, "malformed")
+    docs.select(cut.alias("value")).write.text(path)
+    kept, rejects = read_checked(spark, path)
+    return kept.select("doc_id", F.length("text").alias("n_chars"), F.lit(None).cast("string").alias("record")).unionByName(
+        rejects.select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("int").alias("n_chars"), "record")
+    )
+
+
+@query
+def sample_of_repeated_ids(spark, sf_dir):
+    """The first 500 rows of documents that hold every id twice, once with its text and once with its language's name."""
+    docs = read_table(spark, sf_dir, "documents")
+    both = docs.select("doc_id", "text").unionByName(docs.select("doc_id", F.concat(F.lit(" "), F.coalesce("lang", F.lit("none"))).alias("text")))
+    return sample(both, 501).select("doc_id", F.length("text").alias("n_chars"))
+
+
+@query
+def catalog_rank(spark, sf_dir):
+    """An index saved as catalog tables, opened from them and searched."""
+    base = f"lexigrid_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {base} LOCATION '{scratch_path(spark, 'catalog')}'")
+    S.save_tables(index_of(spark, sf_dir), f"{base}.idx")
+    index = S.open_tables(spark, f"{base}.idx")
+    return R.rank_batch(index, passages(spark, sf_dir))
+
+
+@query
+def rank_stored_queries(spark, sf_dir):
+    """A ranked workload written as a JSON table and read back by its reader."""
+    path = scratch_path(spark, "ranked-queries")
+    passages(spark, sf_dir).select(F.col("query_id").cast("string").alias("query_id"), "text").write.json(path)
+    return R.rank_batch(index_of(spark, sf_dir), read_queries(spark, path, "json"))
+
+
 @query
 def stored_postings(spark, sf_dir):
     """Postings as they come back from the clustered files."""

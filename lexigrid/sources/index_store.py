@@ -8,7 +8,7 @@ in ``versions``. Readers open the latest version named there, so a build that fa
 ``terms``     ``(term_id, term, df)`` sorted by term
 ``stats``     one row: total_docs, indexed_docs, buckets, profile
 ``bitmaps``   the documents of frequent terms, and all documents, as bits by id range; clustered like the postings
-``docs``      the document ids (what NOT is taken against) and whether they have tokens
+``docs``      the document ids (what NOT is taken against), whether they have tokens, and digests of their texts
 ``rejects``   ``(doc_id, reason)`` of the rows left out
 
 Blocks (partial indexes) lie under ``postings``, ``docs`` and ``rejects`` of their folder, each by source and
@@ -29,6 +29,8 @@ from lexigrid.operators import postings as P
 from lexigrid.plans.session import broadcast_if, is_small, partition_bytes
 
 CODECS = ("none", "gzip", "zstd", "snappy", "lz4")
+# Ids to a range whose texts are compared as one.
+DIGEST_IDS = 1024
 BUCKET_BYTES = 512 * 1024 * 1024
 MIN_BUCKETS, MAX_BUCKETS = 8, 1 << 18
 
@@ -56,7 +58,7 @@ STATS_SCHEMA = T.StructType(
     ]
 )
 BLOCKS_SCHEMA = T.StructType([*P.POSTINGS_SCHEMA, T.StructField("block_id", T.LongType())])
-DOCS = "doc_id long, has_tokens boolean"
+DOCS = "doc_id long, has_tokens boolean, digest long"
 BLOCK_DOCS = f"{DOCS}, block_id long"
 BITMAPS = "term string, rng long, bits binary, max_tf int, term_bucket int"
 REJECTS = "doc_id long, reason string"
@@ -76,6 +78,7 @@ class Index:
     profile: str = "plain"
     rejects: DataFrame | None = None
     bitmaps: DataFrame | None = None
+    digests: DataFrame | None = None
 
 
 def bucket_of(term: Column, buckets: int) -> Column:
@@ -150,7 +153,7 @@ def write_index(
 ) -> Index:
     """Write all tables of an index as a new version, then make it the one that is read.
 
-    ``postings`` is read twice and should be a written table; ``docs`` is ``(doc_id, has_tokens)``, once per document. The
+    ``postings`` is read twice and should be a written table; ``docs`` is ``(doc_id, has_tokens, digest)``, once per document. The
     dictionary comes first, so that its ids and document frequencies are written beside the postings: no later
     query joins the two. Statistics are counts over ``docs``.
     """
@@ -162,7 +165,7 @@ def write_index(
     # The one join of postings and dictionary. Beyond the broadcast bound AQE splits a frequent term.
     joined = postings.join(broadcast_if(is_small(terms), terms), "term")
     write_postings(joined, f"{to}/postings", buckets, codec, input_bytes)
-    docs.select(F.col("doc_id").cast("long").alias("doc_id"), "has_tokens").write.option("compression", codec).parquet(f"{to}/docs")
+    docs.select(F.col("doc_id").cast("long").alias("doc_id"), "has_tokens", "digest").write.option("compression", codec).parquet(f"{to}/docs")
     if rejects is None:
         rejects = spark.createDataFrame([], REJECTS)
     rejects.select(F.col("doc_id").cast("long").alias("doc_id"), "reason").write.parquet(f"{to}/rejects")
@@ -193,6 +196,7 @@ def read_index(spark: SparkSession, path: str) -> Index:
         profile=one.profile,
         rejects=spark.read.schema(REJECTS).parquet(f"{at}/rejects"),
         bitmaps=spark.read.schema(BITMAPS).parquet(f"{at}/bitmaps"),
+        digests=spark.read.schema(DOCS).parquet(f"{at}/docs").select("doc_id", "digest"),
     )
 
 
@@ -207,12 +211,13 @@ def postings_by_id(postings: DataFrame) -> DataFrame:
 
 
 def save_tables(index: Index, prefix: str, codec: str = "zstd", buckets: int | None = None) -> None:
-    """Save postings and terms as catalog tables, postings bucketed and sorted by term."""
+    """Save an index as catalog tables, postings bucketed and sorted by term; :func:`open_tables` searches them."""
     n = buckets or index.buckets
-    index.terms.write.mode("overwrite").option("compression", _codec(codec)).saveAsTable(f"{prefix}_terms")
+    small = {"terms": index.terms, "docs": index.docs.join(index.digests, "doc_id"), "stats": index.stats, "bitmaps": index.bitmaps}
+    for name, df in small.items():
+        df.write.mode("overwrite").option("compression", _codec(codec)).saveAsTable(f"{prefix}_{name}")
     (
-        index.postings.drop("term_bucket")
-        .repartition(n, "term")  # as the table is bucketed, so that a task writes one bucket
+        index.postings.repartition(n, "term")  # as the table is bucketed, so that a task writes one bucket
         .write.mode("overwrite")
         .option("compression", codec)
         .bucketBy(n, "term")
@@ -221,6 +226,18 @@ def save_tables(index: Index, prefix: str, codec: str = "zstd", buckets: int | N
     )
 
 
+def open_tables(spark: SparkSession, prefix: str) -> Index:
+    """The index that catalog tables hold. A word's lookup reads one bucket of the postings."""
+    stats = spark.table(f"{prefix}_stats")
+    one = stats.first()
+    docs = spark.table(f"{prefix}_docs")
+    return Index(
+        docs=docs.select("doc_id"), postings=spark.table(f"{prefix}_postings"), terms=spark.table(f"{prefix}_terms"), stats=stats,
+        buckets=one.buckets, total_docs=one.total_docs, profile=one.profile, bitmaps=spark.table(f"{prefix}_bitmaps"),
+        digests=docs.select("doc_id", "digest"),
+    )
+
+
 def write_jdbc(index: Index, url: str, prefix: str, **options) -> None:
     """Save postings and terms to an external database in batches of 10,000 rows."""
     by_id = postings_by_id(index.postings).withColumn("positions", F.to_json("positions"))
@@ -239,14 +256,14 @@ def write_block(
     block_id: int,
     codec: str = "zstd",
 ) -> None:
-    """Write one partial index with its documents ``(doc_id, has_tokens)`` and rejects.
+    """Write one partial index with its documents ``(doc_id, has_tokens, digest)`` and rejects.
 
     It lies under its source and batch; writing that batch again replaces it and nothing else.
     """
     at, order = f"source={source}/batch={int(batch)}", F.lit(int(block_id)).cast("long").alias("block_id")
     tables = {
         "postings": postings.select(*P.POSTINGS_SCHEMA.names, order),
-        "docs": docs.select(F.col("doc_id").cast("long").alias("doc_id"), "has_tokens", order),
+        "docs": docs.select(F.col("doc_id").cast("long").alias("doc_id"), "has_tokens", "digest", order),
     }
     if rejects is not None:
         tables["rejects"] = rejects.select(F.col("doc_id").cast("long").alias("doc_id"), "reason")
@@ -261,7 +278,9 @@ def write_blocks(blocks: DataFrame, path: str, codec: str = "zstd", source: str
     """
     if docs is None:
         docs = blocks.select("doc_id", "block_id").distinct().withColumn("has_tokens", F.lit(True))
-    for name, df in (("postings", blocks.select(*BLOCKS_SCHEMA.names)), ("docs", docs.select("doc_id", "has_tokens", "block_id"))):
+    if "digest" not in docs.columns:
+        docs = docs.withColumn("digest", F.lit(None).cast("long"))
+    for name, df in (("postings", blocks.select(*BLOCKS_SCHEMA.names)), ("docs", docs.select("doc_id", "has_tokens", "digest", "block_id"))):
         (
             df.withColumns({"source": F.lit(source), "batch": F.col("block_id")})
             .hint("rebalance", "batch")
@@ -279,7 +298,7 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_block_docs(spark: SparkSession, path: str) -> DataFrame:
-    """``(doc_id, has_tokens, block_id)``: the documents of all partial indexes, those without tokens included."""
+    """``(doc_id, has_tokens, digest, block_id)``: the documents of all partial indexes, those without tokens included."""
     return spark.read.schema(BLOCK_DOCS).parquet(f"{path}/docs")
 
 

@@ -7,10 +7,11 @@ from test_postings import as_dict, brute, docs_of
 
 from lexigrid.operators import lookup as L
 from lexigrid.operators import postings as P
-from lexigrid.plans.build import build_from_blocks
+from lexigrid.operators.boolean import match_term
+from lexigrid.plans.build import build_from_blocks, changed_ranges
 from lexigrid.plans.session import local_table, scratch_path
 from lexigrid.sources import index_store as S
-from lexigrid.sources.documents import read_documents
+from lexigrid.sources.documents import read_checked, read_documents, rejects_by_file, sample
 from lexigrid.streaming.ingest import ingest
 
 TEXTS = {i: f"red{'a' * (i % 3)} green w{'b' * (i % 7)} green" for i in range(60)}
@@ -111,8 +112,6 @@ def test_rebuild_replaces(spark):
 
 
 def test_profile_is_stored_and_stems_reach_merged_blocks(spark, corpus):
-    from lexigrid.operators.boolean import match_term
-
     path = scratch_path(spark, "blocks")
     S.write_blocks(P.tf_postings(docs_of(spark, {0: "horse", 1: "horses run"})).withColumn("block_id", F.lit(1).cast("long")), path)
     target = scratch_path(spark, "porter")
@@ -158,6 +157,10 @@ def test_catalog_tables(spark, corpus):
     i = corpus(TEXTS)
     spark.sql(f"CREATE DATABASE idx LOCATION '{scratch_path(spark, 'warehouse')}'")
     S.save_tables(i, "idx.t", buckets=4)
+    opened = S.open_tables(spark, "idx.t")
+    assert as_dict(L.postings_of_term(opened, "green")) == {k: v for k, v in brute(TEXTS).items() if k[0] == "green"}
+    assert sorted(r.doc_id for r in (~match_term(opened, "green")).documents().collect()) == []
+    assert changed_ranges(opened, docs_of(spark, TEXTS)).count() == 0
     assert as_dict(spark.table("idx.t_postings")) == brute(TEXTS)
     counts = P.document_frequency(spark.table("idx.t_postings"))
     assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
@@ -220,3 +223,55 @@ def test_scratch_lies_in_the_configured_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         assert scratch_path(spark, "x").startswith(root)
+
+
+def test_ranges_with_changed_texts_are_named(spark, corpus):
+    i = corpus(TEXTS)
+    ranges = lambda texts: sorted(map(tuple, changed_ranges(i, docs_of(spark, texts), 16).collect()))
+    assert ranges(TEXTS) == [] and ranges(dict(sorted(TEXTS.items(), reverse=True))) == []
+    assert ranges({**TEXTS, 20: "other"}) == [(16, 31, 16, 16)]
+    assert ranges({**TEXTS, 20: TEXTS[21], 21: TEXTS[20]}) == [(16, 31, 16, 16)]
+    less = {k: v for k, v in TEXTS.items() if k != 3}
+    assert ranges({**less, 400: "new"}) == [(0, 15, 16, 15), (400, 415, 0, 1)]
+    assert tuple(S.freshness(i, docs_of(spark, {**TEXTS, 20: "other"})).first()) == (60, 60, True)  # counts don't tell
+
+
+def test_digests_ignore_what_is_rejected(spark):
+    from lexigrid.plans.build import build_index
+
+    docs = spark.createDataFrame([(1, "red"), (1, "sky"), (2, None), (2, None), (None, "blue"), (3, "sea"), (3, None)], "doc_id long, text string")
+    i = build_index(docs, scratch_path(spark, "digests"))
+    assert sorted(r.doc_id for r in i.docs.collect()) == [1, 2, 3]
+    assert changed_ranges(i, docs).count() == 0
+    assert changed_ranges(i, docs.filter("doc_id <> 2")).count() == 1
+
+
+def test_merged_blocks_carry_the_latest_digest(spark):
+    source, blocks = scratch_path(spark, "in"), scratch_path(spark, "blocks")
+    docs_of(spark, {0: "red", 1: "sky"}).coalesce(1).write.parquet(source)
+    state = scratch_path(spark, "state")
+    ingest(spark, source, blocks, state)
+    docs_of(spark, {1: "sea"}).coalesce(1).write.mode("append").parquet(source)
+    ingest(spark, source, blocks, state)
+    i = build_from_blocks(spark, blocks, scratch_path(spark, "merged"))
+    assert changed_ranges(i, docs_of(spark, {0: "red", 1: "sea"})).count() == 0
+    assert changed_ranges(i, docs_of(spark, {0: "red", 1: "sky"})).count() == 1
+
+
+def test_malformed_lines_are_kept_aside_and_counted(spark):
+    lines = {"json": ['{"doc_id": 1, "text": "a"}', '{"doc_id": 2, "te', "", '{"doc_id": "x", "text": "b"}', '{"doc_id": 3}'], "csv": ["1,a", "x,b", "3,c,d", "4,e"]}
+    want = {"json": [(1, "a"), (3, None)], "csv": [(1, "a"), (4, "e")]}
+    for fmt, rows in lines.items():
+        path = scratch_path(spark, fmt)
+        for part in (rows, rows[:2]):
+            local_table(spark, {"value": part}, "value string").coalesce(1).write.mode("append").text(path)
+        docs, rejects = read_checked(spark, path, fmt)
+        assert sorted(set(map(tuple, docs.collect()))) == want[fmt]
+        assert sorted(r.record for r in rejects.collect()) == sorted([rows[1], *([rows[1], rows[3]] if fmt == "json" else [rows[1], rows[2]])])
+        assert sorted(r.rejects for r in rejects_by_file(rejects).collect()) == [1, 2]
+
+
+def test_sample_counts_rows_of_repeated_ids(spark):
+    docs = spark.createDataFrame([(1, "c"), (1, "a"), (1, "b"), (2, "d"), (None, "e")], "doc_id long, text string")
+    take = lambda n: sorted(map(tuple, sample(docs, n).collect()))
+    assert take(1) == [(1, "a")] and take(2) == [(1, "a"), (1, "b")] and len(take(4)) == 4 == len(take(9)) and take(0) == []
