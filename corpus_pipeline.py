@@ -21,10 +21,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is found, that is, which have letters and no tie of two languages, by a model learned from the stage's own input."""
+    """Documents whose language is found by a model learned from the stage's own input.
+
+    Texts without letters go, and those that the operator flags: of several languages, or of none that was learned.
+    """
     found = language.predict(F.col("text"), spark, language.fit_documents(docs))
     judged = docs.select(F.struct("*").alias("row"), found.alias("found"))
-    kept = judged.filter((F.col("found.lang_pred") != language.UND) & (F.col("found.gap") >= language.TIE))
+    kept = judged.filter(~F.col("found.ambiguous"))
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 

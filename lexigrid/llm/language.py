@@ -2,7 +2,9 @@
 
 Each language gets a codeword of bits. One binary n-gram classifier per bit, a naive Bayes log-odds table over
 hashed letter trigrams, predicts that bit; the margins are decoded to the codeword with the least weighted
-logistic loss. Languages whose losses lie closer than ``AMBIGUOUS`` are flagged.
+logistic loss. The gap between the best and the second language is taken as a share of the gap that the best one's own
+trigrams give, which the counts tell without another pass. Text of one language lies near 1; below ``AMBIGUOUS``, where
+texts of several languages, of none that was learned, and the held-out errors lie, it is flagged.
 
 Learning counts the trigrams of all labelled rows where they lie: a task sends one row per language and bucket,
 so what is summed has at most languages x ``BUCKETS`` rows, whatever the input. The label set must be small
@@ -30,10 +32,8 @@ BUCKETS = 1 << 14
 MAX_LANGUAGES = 500
 #: Smoothing of a bucket's count, in occurrences.
 PRIOR = 0.5
-#: Loss between the best and the second language below which a prediction is flagged as ambiguous.
-AMBIGUOUS = 0.02
-#: Loss between them below which a filter takes the language as not found.
-TIE = 0.001
+#: Share of the expected gap below which a prediction is flagged as ambiguous.
+AMBIGUOUS = 0.25
 #: Steepness of the logistic loss of a mean margin.
 STEEPNESS = 4.0
 UND = "und"
@@ -85,11 +85,15 @@ class Model:
     code: np.ndarray  # languages x bits
     weights: np.ndarray  # buckets x bits: log-odds that the bit is set
     trust: np.ndarray  # bits: how far the classifier keeps its two sides apart
+    expected: np.ndarray | None = None  # languages x languages: the gap to the second in text of the first
 
     def losses(self, text: str) -> np.ndarray:
         """Weighted logistic loss of each language's codeword."""
         counts = np.bincount(buckets_of(text), minlength=BUCKETS)
-        margins = counts @ self.weights / max(1, counts.sum())
+        return self.decoded(counts @ self.weights / max(1, counts.sum()))
+
+    def decoded(self, margins: np.ndarray) -> np.ndarray:
+        """The loss of each codeword for a mean margin per bit."""
         each = np.logaddexp(0.0, -STEEPNESS * self.code * margins)
         return each @ self.trust
 
@@ -101,7 +105,7 @@ class Model:
         score = float(1.0 / np.exp(loss[order[0]] - loss).sum())
         if len(order) == 1:
             return self.languages[0], score, None, 1.0, False
-        gap = float(loss[order[1]] - loss[order[0]])
+        gap = float((loss[order[1]] - loss[order[0]]) / max(1e-9, self.expected[order[0], order[1]]))
         return self.languages[order[0]], score, self.languages[order[1]], gap, gap < AMBIGUOUS
 
 
@@ -149,7 +153,10 @@ def train(languages: list[str], counts: np.ndarray) -> Model:
         weights[:, b] = np.log(share[on].mean(axis=0)) - np.log(share[~on].mean(axis=0))
     apart = (code * (share @ weights)).min(axis=0)
     trust = np.maximum(apart, 1e-6)
-    return Model(languages, code, weights, trust / trust.sum())
+    model = Model(languages, code, weights, trust / trust.sum())
+    own = np.array([model.decoded(s @ weights) for s in share])
+    model.expected = own - np.diag(own)[:, None]
+    return model
 
 
 def predict(text: Column, spark, model: Model) -> Column:

@@ -184,6 +184,40 @@ def test_letterless_and_unlearned(spark, awkward):
     assert language.Model([], np.ones((0, 1)), np.zeros((1, 1)), np.ones(1)).predict("word")[0] == "und"
 
 
+def learned(spark):
+    return language.fit_documents(spark.read.parquet(f"{MEDIUM}/documents.parquet"))
+
+
+def test_decoding_by_brute_force(spark):
+    """Bit margins one trigram at a time, and every codeword's loss written out."""
+    model = learned(spark)
+    rng = random.Random(2)
+    for text in rng.sample(sorted(t for t in texts(spark).values() if t and language.has_letter(t)), 20):
+        text = text[:300]
+        found = language.buckets_of(text)
+        margins = [sum(model.weights[b, j] for b in found) / len(found) for j in range(model.code.shape[1])]
+        loss = [
+            sum(t * np.log1p(np.exp(-language.STEEPNESS * c * m)) for t, c, m in zip(model.trust, word, margins)) for word in model.code
+        ]
+        best, second = sorted(range(len(loss)), key=loss.__getitem__)[:2]
+        lang, score, other, gap, _ = model.predict(text)
+        assert (lang, other) == (model.languages[best], model.languages[second])
+        assert gap == pytest.approx((loss[second] - loss[best]) / model.expected[best, second])
+        assert score == pytest.approx(1 / sum(np.exp(loss[best] - x) for x in loss))
+
+
+def test_mixed_unlearned_and_letter_poor_texts_are_flagged(spark):
+    model = learned(spark)
+    rows = spark.read.parquet(f"{MEDIUM}/documents.parquet").filter("length(text) > 400").select("lang", "text").collect()
+    by = {lang: [r.text for r in rows if r.lang == lang][:10] for lang in model.languages}
+    flagged = lambda t: model.predict(t)[4]
+    pure = [flagged(t) for ts in by.values() for t in ts]
+    mixed = [flagged(by[a][i][:200] + " " + by[b][i][:200]) for a in by for b in by if a < b for i in range(10)]
+    assert sum(pure) <= 0.05 * len(pure) and sum(mixed) >= 0.9 * len(mixed)
+    for text in ("zzzz qqqq xxxx kkkk", "Привет как дела сегодня хорошая погода на улице", "これは日本語の文章です。", "x = foo(bar); return baz[1];", "12 34 --"):
+        assert flagged(text), text
+
+
 @pytest.mark.parametrize("n", [2, 3, 4, 6, 9, 40])
 def test_codewords_differ(n):
     code = language.codewords(n)
