@@ -19,12 +19,14 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexigrid.llm.common import columns
+from lexigrid.plans.session import materialize
 
 LOW, HIGH = 0.005, 0.05
 SUBSETS, LEAST = 64, 4
@@ -102,12 +104,15 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return df.select(F.col("__key").alias(key), fingerprint(F.col("slots")).alias("fingerprint"))
 
 
-def with_next(docs: DataFrame, key: str, order: list[str], carried: list[str]) -> DataFrame:
-    """``docs`` with ``next_<c>`` of the row that follows in descending order of key, the first after the last.
+def with_next(
+    docs: DataFrame, key: str, order: list[str], carried: list[str], extend: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> DataFrame:
+    """``extend(docs)`` with ``next_<c>`` of the row that follows in descending order of key, the first after the last.
 
     The keys are dealt into buckets of about ``PER_BUCKET`` rows by their quantiles, and a window inside a bucket finds
     the next row. A copy of the first row of each bucket closes the bucket before it, so rows are shuffled once and
-    no task sees more than its buckets. Null keys come last. Rows with equal keys follow one another by ``order``.
+    no task sees more than its buckets. The first rows are found before ``extend`` adds its columns, and only they and
+    the rows themselves are extended. Null keys come last. Rows with equal keys follow one another by ``order``.
     """
     spark, kind = docs.sparkSession, docs.schema[key].dataType
     rows = docs.select(F.count("*").alias("n"), F.count(key).alias("keyed")).first()
@@ -124,23 +129,22 @@ def with_next(docs: DataFrame, key: str, order: list[str], carried: list[str]) -
     docs = docs.withColumn("bucket", F.when(F.col(key).isNull(), F.lit(-1)).otherwise(bucket)).withColumn("edge", F.lit(False))
     firsts = sorted(docs.groupBy("bucket").agg(F.max(key).alias("first")).collect(), key=lambda r: r.bucket)  # a row per bucket
     if not firsts:
-        return docs.select(*carried, *[F.lit(None).cast(docs.schema[c].dataType).alias(f"next_{c}") for c in carried]).limit(0)
+        rows = extend(docs)
+        return rows.select(*carried, *[F.lit(None).cast(rows.schema[c].dataType).alias(f"next_{c}") for c in carried]).limit(0)
     closes = [(r.bucket, r["first"], firsts[(i + 1) % len(firsts)].bucket) for i, r in enumerate(firsts)]
     heads = spark.createDataFrame(
         closes, T.StructType([T.StructField("b", T.IntegerType()), T.StructField("k", kind), T.StructField("to", T.IntegerType())])
     )
     met = docs.join(F.broadcast(heads), (F.col("bucket") == F.col("b")) & F.col(key).eqNullSafe(F.col("k")))
     # Among rows that share the first key, the first by the order.
-    struct = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in carried if c not in order])
+    own = [c for c in docs.columns if c not in ("bucket", "edge")]
+    struct = F.struct(*order, *[c for c in own if c not in order])
     head = met.groupBy("bucket", "to").agg(F.max(struct).alias("row"))
-    copies = head.select(
-        *[F.col("row").getField(c).alias(c) if c in order or c in carried else F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in docs.columns if c not in ("bucket", "edge")],
-        F.col("to").alias("bucket"),
-        F.lit(True).alias("edge"),
-    )
+    # Written: a row per bucket, from a pass over keys and texts alone.
+    copies = materialize(head.select(*[F.col("row").getField(c).alias(c) for c in own], F.col("to").alias("bucket"), F.lit(True).alias("edge")), "heads")
     desc = [F.col(c).desc_nulls_last() for c in order]
     w = Window.partitionBy("bucket").orderBy("edge", *desc)
-    out = docs.unionByName(copies).select("edge", *carried, *[F.lead(c).over(w).alias(f"next_{c}") for c in carried])
+    out = extend(docs).unionByName(extend(copies)).select("edge", *carried, *[F.lead(c).over(w).alias(f"next_{c}") for c in carried])
     return out.filter(~F.col("edge")).drop("edge")
 
 
@@ -151,8 +155,7 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """
     docs = columns(docs, key, text).toDF("key", "text").withColumn("text", F.coalesce("text", F.lit("")))
     known, size = lookup(lexicon(docs))
-    own = slots(docs, known, size, "text")
-    near = with_next(own, "key", ["key", "text"], ["key", "text", "slots"])
+    near = with_next(docs, "key", ["key", "text"], ["key", "text", "slots"], lambda df: slots(df, known, size, "text"))
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     changed = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))

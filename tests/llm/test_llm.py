@@ -481,6 +481,47 @@ def test_next_rows_over_many_buckets(spark, n, monkeypatch):
     assert len(keys) == n and [got[k] for k in keys] == keys[1:] + keys[:1]
 
 
+def test_fingerprints_and_likeness_by_brute_force(spark):
+    import struct
+
+    import xxhash
+
+    own = texts(spark)
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    word = lambda w: signed(xxhash.xxh64(w.encode(), seed=42).intdigest())
+    terms = lambda t: {word(w) for w in re.findall(r"[^\W_]+", (t or "").lower())}
+    df = collections.Counter(h for t in own.values() for h in terms(t))
+    low, high = (max(2, f(share * len(own))) for f, share in ((lambda x: -int(-x // 1), imatch.LOW), (int, imatch.HIGH)))
+    band = {h for h, n in df.items() if low <= n <= high}
+
+    def slots(t):
+        found = terms(t)
+        kept = sorted(found & band if len(found & band) >= imatch.LEAST else found)
+        out = []
+        for s in range(imatch.SUBSETS):
+            h = 42
+            mine = [x for x in kept if (x >> 40) & (imatch.SUBSETS - 1) == s]
+            for x in mine:
+                h = xxhash.xxh64(struct.pack("<q", x), seed=h).intdigest()
+            out.append(h if mine else None)
+        return out
+
+    def alike(a, b):
+        pairs = [(x, y) for x, y in zip(a, b) if x is not None or y is not None]
+        return sum(x == y for x, y in pairs) / len(pairs) if pairs else 1.0
+
+    shown = lambda a: ":".join("-" if h is None else f"{h:X}" for h in a)
+    order = sorted(own, reverse=True)
+    after = dict(zip(order, order[1:] + order[:1]))
+    for r in queries.op7_imatch(spark, SMALL).collect():
+        t, n = own[r.doc_id] or "", own[after[r.doc_id]] or ""
+        half = len(t) // 2
+        changed = t[: len(t) - half] + n[:half]
+        a, b, c = slots(t), slots(changed), slots(n)
+        assert (r.fingerprint, r.edited_fingerprint) == (shown(a), shown(b)), r.doc_id
+        assert (r.near_edited, r.near_next) == (alike(a, b), alike(a, c))
+
+
 # 8. WARC
 
 
