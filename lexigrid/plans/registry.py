@@ -80,7 +80,7 @@ def forget_indexes() -> None:
 def _stored(spark: SparkSession, sf_dir: str, profile: str) -> tuple[str, S.Index]:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), profile)
     if key not in _INDEXES:
-        path = scratch_path(spark, f"index-{profile}")
+        path = scratch_path(spark, f"index-{profile}", scoped=False)
         docs = read_documents(spark, _path(sf_dir, "documents"))
         _INDEXES[key] = path, build_index(docs, path, profile, input_bytes=_bytes(spark, sf_dir))
     return _INDEXES[key]

@@ -19,14 +19,20 @@ SPLIT_BYTES = 128 * 1024 * 1024
 ADVISORY_BYTES = 64 * 1024 * 1024
 
 _local_roots: dict[str, str] = {}
+# Folders of the scratch scopes that are open, by application; the innermost is the last.
+_scopes: dict[str, list[str]] = {}
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
+def scratch_path(spark: SparkSession, name: str, scoped: bool = True) -> str:
     """A new path for an intermediate table.
 
     It lies in the shared folder the cluster names in ``spark.checkpoint.dir``.
-    Only a local master may do without that setting.
+    Only a local master may do without that setting. Inside a :func:`scratch_scope` it lies in the
+    scope's folder, unless ``scoped`` is false.
     """
+    inside = _scopes.get(spark.sparkContext.applicationId)
+    if inside and scoped:
+        return f"{inside[-1]}/{name}-{uuid.uuid4().hex}"
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
@@ -38,6 +44,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/lexigrid/{name}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in whatever store it lies; whether there was one."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Own the scratch tables that are made inside, and delete them at the end.
+
+    Results are computed from these tables, so write or collect the answer before the block ends::
+
+        with scratch_scope(spark):
+            rank_batch(index, queries).write.parquet(path)
+    """
+    path = scratch_path(spark, "scope")
+    stack = _scopes.setdefault(spark.sparkContext.applicationId, [])
+    stack.append(path)
+    try:
+        yield path
+    finally:
+        stack.remove(path)
+        drop_path(spark, path)
+
+
 def materialize(df: DataFrame, name: str, **write_options) -> DataFrame:
     """Write ``df`` to a scratch table and read it back: a lineage cut that survives executors."""
     spark = df.sparkSession

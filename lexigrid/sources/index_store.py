@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from lexigrid.operators import bitmaps as BM
 from lexigrid.operators import postings as P
-from lexigrid.plans.session import broadcast_if, is_small, partition_bytes
+from lexigrid.plans.session import broadcast_if, drop_path, is_small, partition_bytes
 
 CODECS = ("none", "gzip", "zstd", "snappy", "lz4")
 # Ids to a range whose texts are compared as one.
@@ -200,6 +200,21 @@ def read_index(spark: SparkSession, path: str) -> Index:
     )
 
 
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 1) -> int:
+    """Delete all but the latest ``keep`` versions of an index, and what failed builds left; how many folders went.
+
+    Not while another build of the same index runs, nor while a query reads an older version.
+    """
+    named = spark.read.schema(VERSIONS).parquet(f"{path}/versions").orderBy(F.desc("written"), "version").limit(max(1, keep)).collect()
+    kept = {f"version-{r.version}" for r in named}
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = [f.getPath() for f in at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)]
+    gone = [p for p in found if p.getName().startswith("version-") and p.getName() not in kept]
+    for p in gone:
+        drop_path(spark, p.toString())
+    return len(gone)
+
+
 def load_postings(terms: DataFrame, postings_by_id: DataFrame) -> DataFrame:
     """Dictionary joined to postings that are keyed by ``term_id``, as an external database holds them."""
     return terms.select("term_id", "term").join(postings_by_id, "term_id").drop("term_id")

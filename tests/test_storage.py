@@ -275,3 +275,39 @@ def test_sample_counts_rows_of_repeated_ids(spark):
     docs = spark.createDataFrame([(1, "c"), (1, "a"), (1, "b"), (2, "d"), (None, "e")], "doc_id long, text string")
     take = lambda n: sorted(map(tuple, sample(docs, n).collect()))
     assert take(1) == [(1, "a")] and take(2) == [(1, "a"), (1, "b")] and len(take(4)) == 4 == len(take(9)) and take(0) == []
+
+
+def folders(root):
+    return {os.path.join(d, n) for d, names, _ in os.walk(root) for n in names}
+
+
+def test_a_scope_deletes_its_scratch_tables(spark, index):
+    from lexigrid.operators.ranking import rank_batch
+    from lexigrid.plans.session import scratch_scope
+
+    queries = local_table(spark, {"query_id": [1, 2], "text": ["thth erin", "anea eriner"]}, "query_id int, text string")
+    root = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")
+    before = folders(root)
+    with scratch_scope(spark) as path:
+        got = rank_batch(index, queries).collect()
+        with scratch_scope(spark) as inner:
+            assert inner.startswith(path)
+        assert os.path.isdir(path.removeprefix("file:")) and folders(root) > before
+        kept = scratch_path(spark, "kept", scoped=False)
+        assert not kept.startswith(path)
+    assert len(got) == 20 and folders(root) == before
+    with pytest.raises(ZeroDivisionError), scratch_scope(spark):
+        rank_batch(index, queries)
+        raise ZeroDivisionError
+    assert folders(root) == before
+
+
+def test_old_versions_go_on_request(spark):
+    from lexigrid.plans.build import build_index
+
+    path = scratch_path(spark, "versions")
+    for word in ("sky", "sea", "red"):
+        build_index(docs_of(spark, {0: word}), path)
+    assert S.drop_old_versions(spark, path, keep=2) == 1
+    assert S.drop_old_versions(spark, path) == 1 and S.drop_old_versions(spark, path) == 0
+    assert as_dict(S.read_index(spark, path).postings) == {("red", 0): [0]}
