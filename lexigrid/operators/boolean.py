@@ -174,7 +174,7 @@ def _ways(index: Index, literals: DataFrame) -> DataFrame:
     starts from the documents of the rarest such one, its ``anchor``; the others have none and are answered by bitmaps.
     ``required`` counts a clause's positive literals.
     """
-    wide = (F.size("words") == 1) & (F.col("df") > 0) & (F.col("df") >= BM.dense_from(index.total_docs))
+    wide = (F.size("words") == 1) & (F.col("df") > 0) & (F.col("df") >= index.dense_from)
     positive, whole = ~F.col("negated"), Window.partitionBy("query_id", "clause_id")
     marked = literals.withColumn("wide", wide).select(
         "*", F.count_if(positive).over(whole).alias("required"), F.count_if(positive & (F.col("df") == 0)).over(whole).alias("impossible"),

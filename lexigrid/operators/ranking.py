@@ -56,9 +56,12 @@ def rank(index: Index, text: str, k: int = 10, scheme: str = "tfidf") -> DataFra
     Ties go to the lower document id. Spark keeps k rows per task and merges them.
     """
     words = sorted(set(literal_tokens(index.docs.sparkSession, text, index.profile)))
+    rows = only_terms(index, words)
+    if len(index.levels) > 1:  # at most a row per query word
+        known = index.terms.filter(F.col("term").isin(*words)).select("term", "df")
+        rows = rows.drop("df").join(F.broadcast(known), "term")
     top = (
-        only_terms(index, words)
-        .select("doc_id", "tf", _weights(index, scheme).alias("weight"))
+        rows.select("doc_id", "tf", _weights(index, scheme).alias("weight"))
         .groupBy("doc_id")
         .agg(_score())
         .filter("score > 0")
@@ -153,7 +156,7 @@ def rank_batch(
 def _weighted(index: Index, wanted: DataFrame, scheme: str, small: bool) -> DataFrame:
     """``(leader, term, weight, frequent)``. A word in all documents has weight 0 and is left out."""
     known = index.terms.select("term", "df").join(broadcast_if(small, wanted), "term")
-    rows = known.select("leader", "term", _weights(index, scheme).alias("weight"), (F.col("df") >= BM.dense_from(index.total_docs)).alias("frequent"))
+    rows = known.select("leader", "term", _weights(index, scheme).alias("weight"), (F.col("df") >= index.dense_from).alias("frequent"))
     return rows.filter("weight > 0")
 
 

@@ -216,6 +216,12 @@ mspost AS (SELECT s.term, o.doc_id, count(*) AS tf, list(o.pos ORDER BY o.pos) A
     streamed = f"""{base}, sall AS (SELECT term, doc_id, tf, positions FROM post UNION ALL
   SELECT term, -query_id - 1, count(*), list(pos ORDER BY pos) FROM (
     SELECT query_id, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos FROM qtok) GROUP BY term, query_id)"""
+    levels = f"""{base}, lpost AS (SELECT term, doc_id, tf, positions FROM post WHERE doc_id NOT IN (SELECT item_id FROM benchmark)
+  UNION ALL SELECT term, id, count(*), list(pos ORDER BY pos) FROM (
+    SELECT unnest([query_id, -query_id - 1]) AS id, term, pos FROM (
+      SELECT query_id, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos FROM qtok)) GROUP BY term, id),
+lfreq AS (SELECT term, count(*) AS df FROM lpost GROUP BY term),
+ln AS (SELECT count(*) AS total FROM (SELECT doc_id FROM documents UNION SELECT unnest([item_id, -item_id - 1]) FROM benchmark))"""
     passage = "' ' || array_to_string(q.toks, ' ') || ' '"
     return {
         "analyze_tokens": f"{base} SELECT doc_id, CAST(pos AS INTEGER) AS pos, term FROM occ",
@@ -273,6 +279,8 @@ ORDER BY doc_id, text LIMIT 501""",
         "stream_ingest": f"{streamed} {tf_rows} sall",
         "stream_ingest_not": f"""{streamed} SELECT doc_id FROM documents UNION ALL SELECT -item_id - 1 FROM benchmark
 EXCEPT SELECT doc_id FROM sall WHERE term = 'thth'""",
+        "levels_postings": f"{levels} {tf_rows} lpost",
+        "levels_rank": levels + _ranked("SELECT * FROM qterm", _TFIDF, post="lpost", freq="lfreq").replace("CROSS JOIN n", "CROSS JOIN ln AS n"),
         "phrase_table_pairwise": f"""{echo}, qocc AS (
   SELECT query_id, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS slot FROM echo)
 SELECT query_id, doc_id FROM (

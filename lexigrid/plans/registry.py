@@ -21,6 +21,7 @@ from lexigrid.operators import ranking as R
 from lexigrid.operators import workload as W
 from lexigrid.operators.analysis import analyze, stem_vocabulary
 from lexigrid.plans.build import build_from_blocks, build_index, changed_ranges
+from lexigrid.plans.levels import add_documents
 from lexigrid.plans.fixtures import boolean_literals, ranked_queries
 from lexigrid.plans.session import materialize, scratch_path, spread
 from lexigrid.sources import index_store as S
@@ -136,7 +137,7 @@ def term_dictionary_append(spark, sf_dir):
 @query
 def tfidf_index(spark, sf_dir):
     index = index_of(spark, sf_dir)
-    rows = P.tfidf_index(index.postings, index.stats)
+    rows = P.tfidf_index(S.weighted_postings(index), index.stats)
     return rows.select("term", "doc_id", "tf", "df", F.round("idf", 6).alias("idf"))
 
 
@@ -341,6 +342,29 @@ def stream_ingest_not(spark, sf_dir):
     return (~B.match_term(_streamed(spark, sf_dir), "thth")).documents()
 
 
+def _levelled(spark, sf_dir) -> S.Index:
+    """An index of the documents, to which the benchmark passages are added twice: in place of the documents with their ids,
+    and under negative ids."""
+    path = scratch_path(spark, "levels")
+    build_index(read_documents(spark, _path(sf_dir, "documents")), path, input_bytes=_bytes(spark, sf_dir))
+    for doc_id in (F.col("query_id"), -F.col("query_id") - 1):
+        added = passages(spark, sf_dir).select(doc_id.alias("doc_id"), "text")
+        index = add_documents(added, path, compact_at=None)
+    return index
+
+
+@query
+def levels_postings(spark, sf_dir):
+    """Postings of an index to which documents were added twice, without rewriting what was there."""
+    return _levelled(spark, sf_dir).postings.select("term", "doc_id", "tf", joined())
+
+
+@query
+def levels_rank(spark, sf_dir):
+    """Ranking over three levels: frequencies and statistics added up."""
+    return R.rank_batch(_levelled(spark, sf_dir), passages(spark, sf_dir))
+
+
 # Lookup.
 
 

@@ -1,7 +1,8 @@
 """The stored index: layout, writing, reading, size, freshness.
 
 Layout under one folder: each build writes its own ``version`` folder and, last, a row that names it
-in ``versions``. Readers open the latest version named there, so a build that fails changes nothing.
+in ``versions``. Readers open the latest version named there, so a build that fails changes nothing. A version may
+consist of several levels, each a folder of its own: a build, and documents added since (:mod:`lexigrid.plans.levels`).
 
 ``postings``  one row per (term, document) with the term's id and document frequency, partitioned
               by ``term_bucket``, sorted by term and document inside each file, Bloom filter on ``term``
@@ -10,6 +11,8 @@ in ``versions``. Readers open the latest version named there, so a build that fa
 ``bitmaps``   the documents of frequent terms, and all documents, as bits by id range; clustered like the postings
 ``docs``      the document ids (what NOT is taken against), whether they have tokens, and digests of their texts
 ``rejects``   ``(doc_id, reason)`` of the rows left out
+``hides``     added levels: ``(doc_id, has_tokens)`` of documents whose rows in older levels no longer count
+``less``      added levels: ``(term_id, term, df)``, how many of the rows that are hidden hold a term
 
 Blocks (partial indexes) lie under ``postings``, ``docs`` and ``rejects`` of their folder, each by source and
 batch, and carry ``block_id``, the order in which later blocks win.
@@ -62,7 +65,8 @@ DOCS = "doc_id long, has_tokens boolean, digest long"
 BLOCK_DOCS = f"{DOCS}, block_id long"
 BITMAPS = "term string, rng long, bits binary, max_tf int, term_bucket int"
 REJECTS = "doc_id long, reason string"
-VERSIONS = "version string, written timestamp"
+VERSIONS = "version string, written timestamp, levels array<string>"
+HIDES = "doc_id long, has_tokens boolean"
 
 
 @dataclass(frozen=True)
@@ -79,6 +83,12 @@ class Index:
     rejects: DataFrame | None = None
     bitmaps: DataFrame | None = None
     digests: DataFrame | None = None
+    levels: tuple[str, ...] = ()
+
+    @property
+    def dense_from(self) -> int:
+        """The least document frequency of terms that have bitmaps; over several levels none has."""
+        return BM.dense_from(self.total_docs) if len(self.levels) < 2 else 1 << 62
 
 
 def bucket_of(term: Column, buckets: int) -> Column:
@@ -175,14 +185,24 @@ def write_index(
     total = spark.read.schema(STATS_SCHEMA).parquet(f"{to}/stats").first().total_docs
     stored = spark.read.schema(STORED_POSTINGS).parquet(f"{to}/postings")
     write_bitmaps(stored, universe, f"{to}/bitmaps", buckets, total, codec)
-    named = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("written"))
-    named.coalesce(1).write.mode("append").parquet(f"{path}/versions")
+    return name_version(spark, path, [version])
+
+
+def name_version(spark: SparkSession, path: str, levels: list[str]) -> Index:
+    """Make these levels, oldest first, the ones that are read."""
+    row = spark.range(1).select(
+        F.lit(levels[-1]).alias("version"), F.current_timestamp().alias("written"), F.array(*map(F.lit, levels)).alias("levels")
+    )
+    row.coalesce(1).write.mode("append").parquet(f"{path}/versions")
     return read_index(spark, path)
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
     """Open the latest version of a stored index; schemas are fixed, and the profile is the stored one."""
     latest = spark.read.schema(VERSIONS).parquet(f"{path}/versions").orderBy(F.desc("written"), "version").first()
+    levels = tuple(latest.levels)
+    if len(levels) > 1:
+        return _read_levels(spark, path, levels)
     at = f"{path}/version-{latest.version}"
     stats = spark.read.schema(STATS_SCHEMA).parquet(f"{at}/stats")
     one = stats.first()
@@ -197,16 +217,92 @@ def read_index(spark: SparkSession, path: str) -> Index:
         rejects=spark.read.schema(REJECTS).parquet(f"{at}/rejects"),
         bitmaps=spark.read.schema(BITMAPS).parquet(f"{at}/bitmaps"),
         digests=spark.read.schema(DOCS).parquet(f"{at}/docs").select("doc_id", "digest"),
+        levels=levels,
+    )
+
+
+def _read_levels(spark: SparkSession, path: str, levels: tuple[str, ...]) -> Index:
+    """Several levels as one index: rows that a later level hides are left out, frequencies and statistics added up.
+
+    ``df`` beside the postings counts one level only and reads as NULL; see :func:`weighted_postings`.
+    """
+    read = lambda v, name, schema: spark.read.schema(schema).parquet(f"{path}/version-{v}/{name}")
+    hides = [read(v, "hides", HIDES).select("doc_id") if i else None for i, v in enumerate(levels)]
+    hidden: DataFrame | None = None
+    postings, docs = [], []
+    for i in range(len(levels) - 1, -1, -1):  # newest first; what is hidden grows on the way
+        rows, listed = read(levels[i], "postings", STORED_POSTINGS), read(levels[i], "docs", DOCS)
+        if hidden is not None:
+            side = broadcast_if(is_small(hidden), hidden)
+            rows, listed = rows.join(side, "doc_id", "left_anti"), listed.join(side, "doc_id", "left_anti")
+        postings.append(rows.withColumn("df", F.lit(None).cast("long")).select(*STORED_POSTINGS.names))
+        docs.append(listed)
+        if i and hides[i].limit(1).count():
+            hidden = hides[i] if hidden is None else hidden.unionByName(hides[i])
+
+    def union(parts: list[DataFrame]) -> DataFrame:
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
+
+    terms = [read(v, "terms", TERMS_SCHEMA) for v in levels]
+    terms += [read(v, "less", TERMS_SCHEMA).withColumn("df", -F.col("df")) for v in levels[1:]]
+    stats = union([read(v, "stats", STATS_SCHEMA) for v in levels]).groupBy("buckets", "profile")
+    stats = stats.agg(F.sum("total_docs").alias("total_docs"), F.sum("indexed_docs").alias("indexed_docs")).select(*STATS_SCHEMA.names)
+    one, listed = stats.first(), union(docs)
+    every = BM.bitmaps_of(listed.select(F.lit(BM.EVERY).alias("term"), "doc_id"), "term", F.lit(None).cast("int").alias("max_tf"))
+    return Index(
+        docs=listed.select("doc_id"),
+        postings=union(postings),
+        terms=union(terms).groupBy("term_id", "term").agg(F.sum("df").alias("df")).filter("df > 0"),
+        stats=stats,
+        buckets=one.buckets,
+        total_docs=one.total_docs,
+        profile=one.profile,
+        rejects=union([read(v, "rejects", REJECTS) for v in levels]),
+        bitmaps=every.withColumn("term_bucket", bucket_of(F.col("term"), one.buckets)),
+        digests=listed.select("doc_id", "digest"),
+        levels=levels,
     )
 
 
+def all_terms(spark: SparkSession, path: str, index: Index) -> DataFrame:
+    """``(term_id, term)`` of every term that any level has had, once each."""
+    out = None
+    for v in index.levels:
+        rows = spark.read.schema(TERMS_SCHEMA).parquet(f"{path}/version-{v}/terms").select("term_id", "term")
+        out = rows if out is None else out.unionByName(rows)
+    return out.distinct() if len(index.levels) > 1 else out
+
+
+def read_flags(spark: SparkSession, path: str, index: Index, digests: bool = False) -> DataFrame:
+    """``(doc_id, has_tokens)``, and digests, of the documents that count: of each the row of its latest level."""
+    columns = ["doc_id", "has_tokens", *(["digest"] if digests else [])]
+    rows = [spark.read.schema(DOCS).parquet(f"{path}/version-{v}/docs").select(*columns, F.lit(i).alias("level")) for i, v in enumerate(index.levels)]
+    out = rows[0]
+    for more in rows[1:]:
+        out = out.unionByName(more)
+    if len(rows) == 1:
+        return out.drop("level")
+    latest = F.max_by(F.struct(*columns[1:]), "level").alias("r")
+    return out.groupBy("doc_id").agg(latest).select("doc_id", *[f"r.{c}" for c in columns[1:]])
+
+
+def weighted_postings(index: Index) -> DataFrame:
+    """The postings with the document frequency of their term: as stored, or joined where levels are to be added up."""
+    if len(index.levels) < 2:
+        return index.postings
+    return index.postings.drop("df").join(index.terms.select("term", "df"), "term")
+
+
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 1) -> int:
     """Delete all but the latest ``keep`` versions of an index, and what failed builds left; how many folders went.
 
     Not while another build of the same index runs, nor while a query reads an older version.
     """
     named = spark.read.schema(VERSIONS).parquet(f"{path}/versions").orderBy(F.desc("written"), "version").limit(max(1, keep)).collect()
-    kept = {f"version-{r.version}" for r in named}
+    kept = {f"version-{v}" for r in named for v in r.levels}
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     found = [f.getPath() for f in at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)]
     gone = [p for p in found if p.getName().startswith("version-") and p.getName() not in kept]
@@ -249,7 +345,7 @@ def open_tables(spark: SparkSession, prefix: str) -> Index:
     return Index(
         docs=docs.select("doc_id"), postings=spark.table(f"{prefix}_postings"), terms=spark.table(f"{prefix}_terms"), stats=stats,
         buckets=one.buckets, total_docs=one.total_docs, profile=one.profile, bitmaps=spark.table(f"{prefix}_bitmaps"),
-        digests=docs.select("doc_id", "digest"),
+        digests=docs.select("doc_id", "digest"), levels=(prefix,),
     )
 
 

@@ -286,20 +286,21 @@ def test_a_scope_deletes_its_scratch_tables(spark, index):
     from lexigrid.plans.session import scratch_scope
 
     queries = local_table(spark, {"query_id": [1, 2], "text": ["thth erin", "anea eriner"]}, "query_id int, text string")
-    root = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")
-    before = folders(root)
-    with scratch_scope(spark) as path:
-        got = rank_batch(index, queries).collect()
-        with scratch_scope(spark) as inner:
-            assert inner.startswith(path)
-        assert os.path.isdir(path.removeprefix("file:")) and folders(root) > before
+    with scratch_scope(spark) as outer:
+        root = outer.removeprefix("file:")
         kept = scratch_path(spark, "kept", scoped=False)
-        assert not kept.startswith(path)
-    assert len(got) == 20 and folders(root) == before
-    with pytest.raises(ZeroDivisionError), scratch_scope(spark):
-        rank_batch(index, queries)
-        raise ZeroDivisionError
-    assert folders(root) == before
+        assert not kept.startswith(outer)
+        with scratch_scope(spark) as path:
+            got = rank_batch(index, queries).collect()
+            assert path.startswith(outer) and len(folders(root)) > 3
+        assert len(got) == 20 and folders(root) == set()
+        with pytest.raises(ZeroDivisionError), scratch_scope(spark):
+            rank_batch(index, queries)
+            raise ZeroDivisionError
+        assert folders(root) == set()
+        spark.range(1).write.parquet(scratch_path(spark, "own"))
+        assert len(folders(root)) == 1
+    assert not os.path.exists(root)
 
 
 def test_old_versions_go_on_request(spark):
@@ -311,3 +312,56 @@ def test_old_versions_go_on_request(spark):
     assert S.drop_old_versions(spark, path, keep=2) == 1
     assert S.drop_old_versions(spark, path) == 1 and S.drop_old_versions(spark, path) == 0
     assert as_dict(S.read_index(spark, path).postings) == {("red", 0): [0]}
+
+
+def files(path):
+    return {os.path.join(d, n): os.path.getmtime(os.path.join(d, n)) for d, _, names in os.walk(path.removeprefix("file:")) for n in names if "_SUCCESS" not in n}
+
+
+def test_documents_are_added_as_levels(spark):
+    from lexigrid.operators.ranking import rank, rank_batch
+    from lexigrid.plans.build import build_index
+    from lexigrid.plans.levels import add_documents, compact
+
+    path = scratch_path(spark, "levels")
+    build_index(docs_of(spark, TEXTS), path, buckets=8)
+    now, before = dict(TEXTS), files(path)
+    queries = local_table(spark, {"query_id": [1, 2], "text": ["green sky sea", "wb zebra red"]}, "query_id int, text string")
+    for texts in ({100: "sky sky zebra", 3: "sea green", 4: ""}, {3: "sky", 200: "zebra red", -5: None}):
+        index = add_documents(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), path, compact_at=None)
+        now |= texts
+        after = files(path)
+        assert {f: t for f, t in after.items() if f in before} == before  # nothing that was there is written again
+        level = f"{path}/version-{index.levels[-1]}"
+        assert set(after) - set(before) <= set(files(level)) | {f for f in after if "/versions/" in f}
+        own = spark.read.schema(S.STORED_POSTINGS).parquet(f"{level}/postings")
+        assert as_dict(own) == brute({k: v for k, v in texts.items() if v})
+        before = after
+        single = build_index(docs_of(spark, {k: v or "" for k, v in now.items()}), scratch_path(spark, "single"), buckets=8)
+        index = S.read_index(spark, path)
+        assert as_dict(index.postings) == as_dict(single.postings)
+        assert sorted(r.doc_id for r in index.docs.collect()) == sorted(now)
+        assert tuple(index.stats.first())[:2] == tuple(single.stats.first())[:2]
+        assert {r.term: r.df for r in index.terms.collect()} == {r.term: r.df for r in single.terms.collect()}
+        for got, want in ((rank(index, "green sky sea"), rank(single, "green sky sea")), (rank_batch(index, queries), rank_batch(single, queries))):
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        assert sorted(r.doc_id for r in (~match_term(index, "green")).documents().collect()) == sorted(r.doc_id for r in (~match_term(single, "green")).documents().collect())
+        ids = [r.term_id for r in index.terms.collect()]
+        assert len(set(ids)) == len(ids)
+        wrong = index.postings.join(index.terms.select("term", F.col("term_id").alias("t")), "term").filter("t <> term_id")
+        assert wrong.count() == 0
+    assert changed_ranges(index, spark.createDataFrame(list(now.items()), "doc_id long, text string")).count() == 0
+    one = compact(spark, path)
+    assert len(one.levels) == 1 and as_dict(one.postings) == as_dict(single.postings)
+    assert tuple(one.stats.first())[:2] == tuple(single.stats.first())[:2]
+    assert S.drop_old_versions(spark, path) == 3 and as_dict(S.read_index(spark, path).postings) == as_dict(single.postings)
+
+
+def test_large_additions_are_compacted(spark):
+    from lexigrid.plans.build import build_index
+    from lexigrid.plans.levels import add_documents
+
+    path = scratch_path(spark, "compacted")
+    build_index(docs_of(spark, {0: "red"}), path, buckets=8)
+    index = add_documents(docs_of(spark, TEXTS), path)
+    assert len(index.levels) == 1 and as_dict(index.postings) == brute(TEXTS)
