@@ -23,7 +23,7 @@ QUERIES = (
     "bool_batch rank_workload bool_batch_passages phrase_batch_strict rank_presence_batch "
     "rank_tf_batch rank_tfidf_batch df_lookup_zero_fill merge_blocks stem_words "
     "latency_summary run_results grid_gaps report_latency_by_mode "
-    "tfidf_index index_load merge_blocks_to_tables merge_blocks_porter index_violations stream_ingest"
+    "tfidf_index index_load merge_blocks_to_tables merge_blocks_porter index_violations stream_ingest levels_postings"
 ).split()
 
 

@@ -41,7 +41,7 @@ def test_sql_needs_no_session():
     from conftest import ROOT
 
     out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=60)
-    assert out.stdout.split() == ["74", "74", "True"], out.stderr
+    assert out.stdout.split() == ["82", "82", "True"], out.stderr
 
 
 def test_positions_follow_stop_word_removal(spark):
