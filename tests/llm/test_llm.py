@@ -50,7 +50,7 @@ def awkward(spark):
     spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("verdict", F.lit(1)).write.parquet(
         f"{path}/pages.parquet"
     )
-    talks = [(1, 0, "user", "a b", 1), (1, 0, "user", "a b", 1), (1, None, None, None, 1), (None, 1, "x", "y", 1), (20, 0, "user", prose(1, 8000), 1)]
+    talks = [(40, 0, "user", "a b", 1), (40, 0, "user", "a b", 1), (40, None, None, None, 1), (None, 1, "x", "y", 1), (20, 0, "user", prose(1, 8000), 1)]
     spark.createDataFrame(talks, "conv_id long, turn long, role string, text string, least int").write.parquet(f"{path}/conversations.parquet")
     vectors = [(1, [0.5, 1.0], 1), (1, [0.5, 1.0], 1), (None, [1.5, 0.0], 2), (2, None, 1), (3, [], 1), (4, [None, 1.0], 1), (5, [-1.0, 3.0], 1)]
     spark.createDataFrame(vectors, "vec_id long, embedding array<float>, key int").write.parquet(f"{path}/embeddings.parquet")
