@@ -239,3 +239,27 @@ def test_candidates_shrink_with_every_round(spark, corpus):
     other = phrase_slots(local_table(spark, {"phrase_id": [1], "text": [phrase.replace(word("x", 7), word("x", 8))]}, "phrase_id int, text string"))
     planned = PH._planned(index, other, "phrase_id", True)
     assert [s.count() for s in PH.narrowed(index, planned, "phrase_id", "strict", True, 8)] == [6, 0, 0]
+
+
+def test_frequent_words_start_side_by_side(spark, corpus, monkeypatch):
+    """Of two words of all documents only the places side by side are candidates, one row a document; copies of a phrase are equal."""
+    monkeypatch.setattr(PH, "FREQUENT", 5, raising=False)
+    texts = {i: "qa qb qa qb qc" if i % 20 == 0 else "qa qc qb qa qa" if i % 3 else "qb qa qc qb" for i in range(120)}
+    index = corpus(texts)
+    phrases = {0: "qa qb", 1: "qa qb qa", 2: "qa qc qb", 3: "qa qb", 7: "qa qb nowhere"}
+    slots = phrase_slots(local_table(spark, {"phrase_id": list(phrases), "text": list(phrases.values())}, "phrase_id int, text string"))
+    strict = {(i, d) for i, p in phrases.items() for d, t in texts.items() if f" {p} " in f" {t} "}
+    assert {(r.phrase_id, r.doc_id) for r in match_phrases(index, slots, mode="strict").collect()} == strict
+    planned = PH._planned(index, slots.filter("phrase_id = 0"), "phrase_id", True)
+    for mode in PH.MODES:
+        first, *_ = PH.narrowed(index, planned, "phrase_id", mode, True, 2)
+        assert first.count() == 6
+
+
+def test_frequent_words_pairwise(spark, corpus, monkeypatch):
+    """Pairwise, each word may stand at its distance from another place of the first."""
+    monkeypatch.setattr(PH, "FREQUENT", 0, raising=False)
+    index = corpus({0: "qa qb qc qa qd qa", 1: "qa qb", 2: "qa qd qa", 3: "qa qb qa"})
+    slots = phrase_slots(local_table(spark, {"phrase_id": [1, 2], "text": ["qa qb qa", "qa qd"]}, "phrase_id int, text string"))
+    got = {(r.phrase_id, r.doc_id) for r in match_phrases(index, slots).collect()}
+    assert got == {(1, 0), (1, 3), (2, 0), (2, 2)}
