@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexigrid.operators.analysis import stem_vocabulary, tokenize
-from lexigrid.plans.session import broadcast_checked, materialize
+from lexigrid.functions.stem import stem
+from lexigrid.operators.analysis import tokenize
+from lexigrid.plans.session import broadcast_checked, join_words, materialize
 
 POSTINGS_SCHEMA = T.StructType(
     [
@@ -49,12 +50,12 @@ def analyzed(docs: DataFrame, key: str = "doc_id", text: str = "text", *more: Co
         length = F.coalesce(F.get("starts", run + 1), F.size("ordered")) - start
         return F.struct(
             F.get("ordered", start)["term"].alias("term"),
+            length.alias("tf"),
             F.slice("ordered", start + 1, length)["pos"].alias("positions"),
         )
 
-    sized = lambda p: F.struct(p["term"].alias("term"), F.size(p["positions"]).alias("tf"), p["positions"].alias("positions"))
     rows = _runs(tokenize(docs, [key, *more], text))
-    return rows.select(*rows.columns[: 1 + len(more)], F.transform(F.transform("starts", one), sized).alias("postings"))
+    return rows.select(*rows.columns[: 1 + len(more)], F.transform("starts", one).alias("postings"))
 
 
 def postings_of(documents: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -93,23 +94,26 @@ def stem_postings(postings: DataFrame) -> DataFrame:
 
     Stop-word removal and positions come before stemming, so merging the words of
     a stem gives what stemming each token would give. Only the postings of stems with several words are
-    shuffled by (term, document); a stem of one word is renamed in place. A frequent word is a skewed
-    key of the join with the stems; beyond the broadcast bound AQE splits it.
+    shuffled by (term, document), whole and once; a stem of one word is renamed in place. The result is read from
+    written tables.
     """
-    stems = materialize(stem_vocabulary(postings.select("term").distinct()), "stems")
+    tokens = document_frequency(postings.select("term")).withColumnRenamed("term", "token")
+    stems = materialize(stem(tokens, "token", "term"), "stems")
     words = stems.groupBy("term").agg(F.count("*").alias("words"))
-    stems = broadcast_checked(stems.join(words, "term"), "stems")
-    rows = postings.withColumnRenamed("term", "token").join(stems, "token")
+    stems = materialize(stems.join(words, "term"), "stems")
     columns = POSTINGS_SCHEMA.names
-    merged = (
-        rows.filter("words > 1")
-        .groupBy("term", "doc_id")
-        .agg(
-            F.sum("tf").cast("int").alias("tf"),
-            F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"),
-        )
-    )
-    return rows.filter("words = 1").select(*columns).unionByName(merged)
+    rows = join_words(postings.withColumnRenamed("term", "token"), stems, "token")
+    several = F.col("words") > 1
+    rows = materialize(rows.select(*columns, F.when(several, F.col("token")).alias("token"), "words"), "stemmed", compression="zstd")
+    same = Window.partitionBy("term", "doc_id").orderBy("token")
+    whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    lists = rows.filter(several).select(
+        "term", "doc_id", F.sum("tf").over(whole).cast("int").alias("tf"), "positions",
+        F.collect_list("positions").over(whole).alias("lists"), F.row_number().over(same).alias("i"),
+    )
+    positions = F.when(F.size("lists") > 1, F.sort_array(F.flatten("lists"))).otherwise(F.col("positions"))
+    merged = lists.filter("i = 1").withColumn("positions", positions).select(*columns)
+    return rows.filter("words = 1").select(*columns).unionByName(materialize(merged, "merged-stems", compression="zstd"))
 
 
 def term_frequency(positions: Column) -> Column:

@@ -33,7 +33,7 @@ def build_index(
     documents, rejects = analyzed_documents(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), input_bytes)
     postings = P.postings_of(documents)
     if profile == "porter":
-        postings = materialize(P.stem_postings(postings), "stemmed")
+        postings = P.stem_postings(postings)
     return S.write_index(postings, listed(documents, rejects), path, buckets, profile, codec, rejects=rejects, input_bytes=input_bytes)
 
 
@@ -45,7 +45,7 @@ def analyzed_documents(docs: DataFrame, input_bytes: int | None = None) -> tuple
     valid, rejects = P.split_valid(docs)
     valid, repeated = P.split_repeated(valid)
     digest = P.text_digest(F.col("text"))
-    documents = materialize(P.analyzed(spread(valid, "doc_id", input_bytes), "doc_id", "text", digest), "analyzed")
+    documents = materialize(P.analyzed(spread(valid, "doc_id", input_bytes), "doc_id", "text", digest), "analyzed", compression="zstd")
     return documents, rejects.select("doc_id", "reason").unionByName(repeated)
 
 
@@ -90,9 +90,9 @@ def build_from_blocks(
     docs = S.read_block_docs(spark, blocks)
     size = S.total_bytes(spark, f"{blocks}/postings")
     merged = P.merge_blocks(S.read_blocks(spark, blocks), docs)
-    merged = materialize(merged, "merged")
+    merged = materialize(merged, "merged", compression="zstd")
     if profile == "porter":
-        merged = materialize(P.stem_postings(merged), "stemmed")
+        merged = P.stem_postings(merged)
     rejects = None
     try:
         rejects = S.read_block_rejects(spark, blocks)

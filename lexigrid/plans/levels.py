@@ -40,7 +40,7 @@ def add_documents(
     documents, rejects = analyzed_documents(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")))
     postings, listing = P.postings_of(documents), listed(documents, rejects)
     if index.profile == "porter":
-        postings = materialize(P.stem_postings(postings), "stemmed")
+        postings = P.stem_postings(postings)
     level = uuid.uuid4().hex
     to = f"{path}/version-{level}"
     listing.write.option("compression", codec).parquet(f"{to}/docs")

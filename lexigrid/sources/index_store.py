@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from lexigrid.operators import bitmaps as BM
 from lexigrid.operators import postings as P
-from lexigrid.plans.session import broadcast_if, drop_path, is_small, partition_bytes
+from lexigrid.plans.session import broadcast_if, drop_path, is_small, join_words, partition_bytes
 
 CODECS = ("none", "gzip", "zstd", "snappy", "lz4")
 # Ids to a range whose texts are compared as one.
@@ -163,7 +163,7 @@ def write_index(
 ) -> Index:
     """Write all tables of an index as a new version, then make it the one that is read.
 
-    ``postings`` is read twice and should be a written table; ``docs`` is ``(doc_id, has_tokens, digest)``, once per document. The
+    ``postings`` is read up to three times and should be a written table; ``docs`` is ``(doc_id, has_tokens, digest)``, once per document. The
     dictionary comes first, so that its ids and document frequencies are written beside the postings: no later
     query joins the two. Statistics are counts over ``docs``.
     """
@@ -172,9 +172,8 @@ def write_index(
     to = f"{path}/version-{version}"
     write_terms(P.document_frequency(postings.select("term")), f"{to}/terms", codec)
     terms = spark.read.schema(TERMS_SCHEMA).parquet(f"{to}/terms")
-    # The one join of postings and dictionary. Beyond the broadcast bound AQE splits a frequent term.
-    joined = postings.join(broadcast_if(is_small(terms), terms), "term")
-    write_postings(joined, f"{to}/postings", buckets, codec, input_bytes)
+    # The one join of postings and dictionary.
+    write_postings(join_words(postings, terms), f"{to}/postings", buckets, codec, input_bytes)
     docs.select(F.col("doc_id").cast("long").alias("doc_id"), "has_tokens", "digest").write.option("compression", codec).parquet(f"{to}/docs")
     if rejects is None:
         rejects = spark.createDataFrame([], REJECTS)
