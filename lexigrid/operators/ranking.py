@@ -90,17 +90,28 @@ def _bag_terms(bags: DataFrame, key: str) -> DataFrame:
 SLACK = 10.0 ** (1 - DIGITS)
 
 
-def _by_document(index: Index, places: DataFrame, weighted: DataFrame, on: list[str], small: bool) -> DataFrame:
+#: Parts of scores to a task, which holds a sum for each (query, document) among them.
+TASK_PARTS = 1_000_000
+
+
+def _tasks(weighted: DataFrame) -> int:
+    """How many tasks sum the parts that a table of ``(leader, term, df)`` makes."""
+    parts = weighted.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first().n
+    return max(weighted.sparkSession.sparkContext.defaultParallelism, -(-parts // TASK_PARTS))
+
+
+def _by_document(index: Index, places: DataFrame, weighted: DataFrame, on: list[str], small: bool, tasks: int) -> DataFrame:
     """``(leader, doc_id, tf, weight)`` for the postings at ``places`` of every query in ``weighted``.
 
     The postings are shuffled by document, once, before they meet the queries. The sum
     per (query, document) then needs no shuffle of its own, so postings times queries never cross the
-    network, and each task keeps k rows per query. Where the queries are too many to be broadcast, the
+    network, and each task keeps k rows per query. The number of tasks follows the parts, not the postings: AQE would
+    join tasks by what they read, however many queries a posting meets. Where the queries are too many to be broadcast, the
     join with them is left to AQE, which splits a frequent term.
     """
     rows = index.postings.select("term_bucket", "term", "doc_id", "tf", BM.range_of(F.col("doc_id")).alias("rng"))
     places = places.filter(F.col("term") > "").withColumn("term_bucket", bucket_of(F.col("term"), index.buckets))
-    met = rows.join(broadcast_if(small, places), ["term_bucket", *on]).drop("term_bucket").repartition("doc_id")
+    met = rows.join(broadcast_if(small, places), ["term_bucket", *on]).drop("term_bucket").repartition(tasks, "doc_id")
     return met.join(broadcast_if(small, weighted), on).select("leader", "doc_id", "tf", "weight")
 
 
@@ -154,9 +165,9 @@ def rank_batch(
 
 
 def _weighted(index: Index, wanted: DataFrame, scheme: str, small: bool) -> DataFrame:
-    """``(leader, term, weight, frequent)``. A word in all documents has weight 0 and is left out."""
+    """``(leader, term, df, weight, frequent)``. A word in all documents has weight 0 and is left out."""
     known = index.terms.select("term", "df").join(broadcast_if(small, wanted), "term")
-    rows = known.select("leader", "term", _weights(index, scheme).alias("weight"), (F.col("df") >= index.dense_from).alias("frequent"))
+    rows = known.select("leader", "term", "df", _weights(index, scheme).alias("weight"), (F.col("df") >= index.dense_from).alias("frequent"))
     return rows.filter("weight > 0")
 
 
@@ -165,13 +176,13 @@ def _all_parts(index: Index, wanted: DataFrame, k: int, scheme: str, small: bool
     weighted = materialize(_weighted(index, wanted, scheme, small), "weighted")
     scarce = weighted.filter(~F.col("frequent")).drop("frequent")
     frequent = weighted.filter("frequent").drop("frequent")
-    rare = _by_document(index, scarce.select("term").distinct(), scarce, ["term"], small)
+    rare = _by_document(index, scarce.select("term").distinct(), scarce, ["term"], small, _tasks(scarce))
     if not frequent.limit(1).count():
         return rare
     rare = materialize(rare, "rare-parts")
     ranges = materialize(score_ranges(index, frequent, rare, k, small), "ranges")
     opened = frequent.join(broadcast_if(small, ranges.filter("open").select("leader", "rng")), "leader")
-    whole = _by_document(index, opened.select("term", "rng").distinct(), opened, ["term", "rng"], small)
+    whole = _by_document(index, opened.select("term", "rng").distinct(), opened, ["term", "rng"], small, _tasks(frequent))
     held = rare.groupBy("leader", "doc_id").agg(_score()).withColumn("rng", BM.range_of(F.col("doc_id")))
     held = held.join(broadcast_if(small, ranges.filter(~F.col("open"))), ["leader", "rng"])
     held = held.filter(F.col("score") + F.col("bound") + SLACK >= F.col("least")).select("leader", "doc_id")
@@ -186,7 +197,7 @@ def range_share(index: Index, queries: DataFrame, k: int = 10, scheme: str = "tf
     small = is_small(wanted)
     weighted = materialize(_weighted(index, wanted, scheme, small), "weighted")
     scarce, frequent = weighted.filter(~F.col("frequent")).drop("frequent"), weighted.filter("frequent").drop("frequent")
-    rare = materialize(_by_document(index, scarce.select("term").distinct(), scarce, ["term"], small), "rare-parts")
+    rare = materialize(_by_document(index, scarce.select("term").distinct(), scarce, ["term"], small, _tasks(scarce)), "rare-parts")
     ranges = score_ranges(index, frequent, rare, k, small).select("leader", "rng", "open")
     sizes = join_bitmaps(index, frequent, small).select("leader", "rng", F.bitmap_count("bits").alias("n")).join(ranges, ["leader", "rng"])
     return sizes.agg(F.sum("n").alias("postings"), F.sum(F.when(F.col("open"), F.col("n")).otherwise(0)).alias("read"))

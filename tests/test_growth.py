@@ -4,6 +4,7 @@ import pytest
 from test_plans import plan
 
 from lexigrid.operators import postings as P
+from lexigrid.operators import ranking as R
 from lexigrid.plans.build import build_index
 from lexigrid.plans.session import join_words, local_table, scratch_path
 
@@ -41,3 +42,17 @@ def test_stemmed_postings_are_read_from_written_tables(spark):
         ("run", 0): (3, [0, 1, 2]), ("poni", 0): (1, [3]), ("poni", 1): (1, [0]), ("run", 1): (1, [1]), ("run", 2): (2, [0, 1]),
     }
     assert "Exchange" not in plan(rows) and "Aggregate" not in plan(rows)
+
+
+def test_tasks_of_a_ranking_follow_its_parts(spark, corpus, monkeypatch):
+    """Three words in 30 documents each, asked for by 4 queries: 360 sums, at most 10 to a task."""
+    index = corpus({i: "red green blue" if i < 30 else "sky" for i in range(60)})
+    queries = local_table(
+        spark, {"query_id": [1, 2, 3, 4], "text": [f"red green blue {w}" for w in ("sky", "ant", "bee", "red")]}, "query_id long, text string"
+    )
+    want = sorted(map(str, R.rank_batch(index, queries).collect()))
+    monkeypatch.setattr("lexigrid.operators.ranking.TASK_PARTS", 10)
+    weighted = R._weighted(index, R._bag_terms(R.query_bags(queries), "query_id").withColumnRenamed("query_id", "leader"), "tf", True)
+    assert R._tasks(weighted) == 39  # with 'sky' 390 parts
+    tops = R.rank_batch(index, queries)
+    assert sorted(map(str, tops.collect())) == want
