@@ -35,6 +35,8 @@ CODECS = ("none", "gzip", "zstd", "snappy", "lz4")
 # Ids to a range whose texts are compared as one.
 DIGEST_IDS = 1024
 BUCKET_BYTES = 512 * 1024 * 1024
+# Of stored postings, at most to a file of a bucketed table.
+TABLE_FILE_BYTES = 16 * 1024 * 1024
 MIN_BUCKETS, MAX_BUCKETS = 8, 1 << 18
 
 STORED_POSTINGS = T.StructType(
@@ -323,11 +325,12 @@ def postings_by_id(postings: DataFrame) -> DataFrame:
 def save_tables(index: Index, prefix: str, codec: str = "zstd", buckets: int | None = None) -> None:
     """Save an index as catalog tables, postings bucketed and sorted by term; :func:`open_tables` searches them."""
     n = buckets or index.buckets
+    each = max(1, -(-measured_bytes(index.postings) // (n * TABLE_FILE_BYTES)))
     small = {"terms": index.terms, "docs": index.docs.join(index.digests, "doc_id"), "stats": index.stats, "bitmaps": index.bitmaps}
     for name, df in small.items():
         df.write.mode("overwrite").option("compression", _codec(codec)).saveAsTable(f"{prefix}_{name}")
     (
-        index.postings.repartition(n, "term")  # as the table is bucketed, so that a task writes one bucket
+        index.postings.repartition(n * each, "term")  # as the table is bucketed, so that a task writes a share of one bucket
         .write.mode("overwrite")
         .option("compression", codec)
         .bucketBy(n, "term")

@@ -1,12 +1,14 @@
 """Steps whose tasks, shuffles and memory follow the input."""
 
 import pytest
+from pyspark.sql import functions as F
 from test_plans import plan
 
 from lexigrid.operators import postings as P
 from lexigrid.operators import ranking as R
 from lexigrid.plans.build import build_index
 from lexigrid.plans.session import join_words, local_table, scratch_path
+from lexigrid.sources import index_store as S
 
 
 def texts(spark, rows):
@@ -56,3 +58,17 @@ def test_tasks_of_a_ranking_follow_its_parts(spark, corpus, monkeypatch):
     assert R._tasks(weighted) == 39  # with 'sky' 390 parts
     tops = R.rank_batch(index, queries)
     assert sorted(map(str, tops.collect())) == want
+
+
+def test_a_bucket_of_a_saved_table_has_several_files(spark, corpus, monkeypatch):
+    """As many tasks as the size asks for write a table; each holds words of one bucket."""
+    monkeypatch.setattr("lexigrid.sources.index_store.TABLE_FILE_BYTES", 256)
+    index = corpus({i: f"red w{'abcdefghijklmnopqrst'[i]} v{'abcdefghijklmnopqrst'[-i]}" for i in range(20)})
+    base = scratch_path(spark, "tables").rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE t{base} LOCATION '{scratch_path(spark, 'catalog')}'")
+    S.save_tables(index, f"t{base}.idx", buckets=2)
+    table = spark.table(f"t{base}.idx_postings")
+    files = table.select("term", F.col("_metadata.file_path").alias("file")).distinct()
+    assert files.select("file").distinct().count() > 2
+    assert files.groupBy("term").count().filter("count > 1").count() == 0
+    assert sorted(map(str, table.select("term", "doc_id").collect())) == sorted(map(str, index.postings.select("term", "doc_id").collect()))
