@@ -331,8 +331,9 @@ def _streamed(spark, sf_dir) -> S.Index:
     shifted = passages(spark, sf_dir).select((-F.col("query_id") - 1).alias("doc_id"), "text")
     for name, docs in (("documents", read_documents(spark, _path(sf_dir, "documents"))), ("passages", shifted)):
         source = scratch_path(spark, f"stream-{name}")
-        docs.repartition(3, "doc_id").write.parquet(source)
-        ingest(spark, source, blocks, scratch_path(spark, "stream-state"), files_per_batch=1)
+        files = spark.sparkContext.defaultParallelism  # to a micro-batch, of which there are three
+        docs.repartition(3 * files, "doc_id").write.parquet(source)
+        ingest(spark, source, blocks, scratch_path(spark, "stream-state"), files_per_batch=files)
     return build_from_blocks(spark, blocks, scratch_path(spark, "streamed"))
 
 

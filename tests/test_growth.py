@@ -1,11 +1,13 @@
 """Steps whose tasks, shuffles and memory follow the input."""
 
 import pytest
+from conftest import SMALL
 from pyspark.sql import functions as F
 from test_plans import plan
 
 from lexigrid.operators import postings as P
 from lexigrid.operators import ranking as R
+from lexigrid.plans import registry
 from lexigrid.plans.build import build_index
 from lexigrid.plans.session import join_words, local_table, scratch_path
 from lexigrid.sources import index_store as S
@@ -72,3 +74,19 @@ def test_a_bucket_of_a_saved_table_has_several_files(spark, corpus, monkeypatch)
     assert files.select("file").distinct().count() > 2
     assert files.groupBy("term").count().filter("count > 1").count() == 0
     assert sorted(map(str, table.select("term", "doc_id").collect())) == sorted(map(str, index.postings.select("term", "doc_id").collect()))
+
+
+def test_a_micro_batch_has_a_file_for_every_core(spark, monkeypatch):
+    seen = []
+
+    def ingest(spark, source, blocks, checkpoint, files_per_batch):
+        rows = spark.read.parquet(source)
+        seen.append((len(rows.inputFiles()), files_per_batch, rows.select("doc_id").distinct().count()))
+
+    monkeypatch.setattr(registry, "ingest", ingest)
+    monkeypatch.setattr(registry, "build_from_blocks", lambda *a: None)
+    registry._streamed(spark, SMALL)
+    cores = spark.sparkContext.defaultParallelism
+    (files, each, docs), _ = seen
+    assert each == cores and 2 * cores < files <= 3 * cores + 1
+    assert docs == registry.documents(spark, SMALL).select("doc_id").distinct().count()
