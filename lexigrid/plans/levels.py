@@ -38,7 +38,7 @@ def add_documents(
     spark = docs.sparkSession
     index = S.read_index(spark, path)
     documents, rejects = analyzed_documents(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")))
-    postings, listing = P.postings_of(documents), listed(documents, rejects)
+    postings, listing = P.postings_in(documents), listed(documents, rejects)
     if index.profile == "porter":
         postings = P.stem_postings(postings)
     level = uuid.uuid4().hex

@@ -7,7 +7,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.operators.postings import postings_of
+from lexigrid.operators.postings import postings_in
 from lexigrid.plans.build import analyzed_documents, listed
 from lexigrid.sources.index_store import write_block
 
@@ -40,7 +40,7 @@ def ingest(
     def write(batch: DataFrame, batch_id: int) -> None:
         stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         documents, rejects = analyzed_documents(batch)
-        rows, listing = postings_of(documents), listed(documents, rejects)
+        rows, listing = postings_in(documents), listed(documents, rejects)
         write_block(rows, listing, rejects, blocks, stream, batch_id, time.time_ns() // 1000, codec)
 
     (

@@ -3,11 +3,11 @@
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
-from test_plans import plan
+from test_plans import plan, scans
 
 from lexigrid.operators import postings as P
 from lexigrid.operators import ranking as R
-from lexigrid.plans import registry
+from lexigrid.plans import build, registry
 from lexigrid.plans.build import build_index
 from lexigrid.plans.session import join_words, local_table, scratch_path
 from lexigrid.sources import index_store as S
@@ -90,3 +90,30 @@ def test_a_micro_batch_has_a_file_for_every_core(spark, monkeypatch):
     (files, each, docs), _ = seen
     assert each == cores and 2 * cores < files <= 3 * cores + 1
     assert docs == registry.documents(spark, SMALL).select("doc_id").distinct().count()
+
+
+def test_a_build_reads_flat_rows(spark, monkeypatch):
+    """Analysed documents are written a row per posting: dictionary and document list read a plain column of them, no nested one."""
+    docs = texts(spark, ["red sky red", "", "the of", None, "sky"])
+    tables = {}
+    keep = build.materialize
+    monkeypatch.setattr(build, "materialize", lambda df, name, **options: tables.setdefault(name, keep(df, name, **options)))
+    index = build_index(docs, scratch_path(spark, "flat"))
+    written = tables["analyzed"]
+    assert sorted(map(str, written.select("doc_id", "first", "term", "tf", "positions").collect())) == sorted(
+        map(str, P.posting_rows(docs.filter("text is not null")).collect())
+    )
+    (scan,) = scans(P.document_frequency(P.postings_in(written).select("term")))
+    assert "ReadSchema: struct<term:string>" in scan
+    assert sorted(map(tuple, P.documents_in(written).collect())) == [(0, True), (1, False), (2, False), (4, True)]
+    assert (index.total_docs, index.stats.first().indexed_docs) == (5, 2)
+
+
+def test_flat_rows_equal_the_nested_ones(spark):
+    docs = texts(spark, ["a b red sky red", "", None, "the of", "red", "sky red sky blue sky red"]).repartition(3)
+    rows = P.posting_rows(docs)
+    text = plan(rows)
+    assert "Exchange hash" not in text and text.count("sort_array(") == 1 and text.count("regexp_replace(") == 1
+    assert sorted(map(str, P.postings_in(rows).collect())) == sorted(map(str, P.tf_postings(docs).collect()))
+    want = P.analyzed(docs).select("doc_id", F.size("postings") > 0)
+    assert sorted(map(tuple, P.documents_in(rows).collect())) == sorted(map(tuple, want.collect()))
