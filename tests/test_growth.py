@@ -5,6 +5,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 from test_plans import plan, scans
 
+from lexigrid.operators import boolean as B
 from lexigrid.operators import postings as P
 from lexigrid.operators import ranking as R
 from lexigrid.plans import build, registry
@@ -117,3 +118,47 @@ def test_flat_rows_equal_the_nested_ones(spark):
     assert sorted(map(str, P.postings_in(rows).collect())) == sorted(map(str, P.tf_postings(docs).collect()))
     want = P.analyzed(docs).select("doc_id", F.size("postings") > 0)
     assert sorted(map(tuple, P.documents_in(rows).collect())) == sorted(map(tuple, want.collect()))
+
+
+def workload(spark, queries):
+    rows = [
+        (q, c, i, text.lstrip("-"), text.startswith("-")) for q, clauses in queries.items() for c, clause in enumerate(clauses) for i, text in enumerate(clause)
+    ]
+    names = ("query_id", "clause_id", "literal_id", "text", "negated")
+    types = "query_id string, clause_id int, literal_id int, text string, negated boolean"
+    return B.query_clauses(local_table(spark, dict(zip(names, map(list, zip(*rows)))), types))
+
+
+def answers(texts, queries):
+    """By looking at every document; a phrase of two words stands side by side."""
+    holds = lambda x, t: (f" {x.lstrip('-')} " in f" {t} ") != x.startswith("-")
+    return sorted((q, d) for q, cs in queries.items() for d, t in texts.items() if any(all(holds(x, t) for x in c) for c in cs))
+
+
+def test_a_workload_moves_no_candidates_or_results(spark, corpus, monkeypatch):
+    """Queries with 60 copies each: what is written follows documents and distinct queries, and no row of the result is shuffled."""
+    texts = {i: " ".join(["sky", "even" if i % 2 else "odd", *["rare scarce"] * (i % 20 < 1), *["seldom"] * (i % 25 < 1)]) for i in range(200)}
+    kinds = [[["rare scarce", "-even"], ["rare", "sky"]], [["seldom", "sky"], ["seldom", "rare", "-odd"]], [["scarce", "odd", "sky"]]]
+    queries = {f"{k}-{i}": clauses for k, clauses in enumerate(kinds) for i in range(60)}
+    index, clauses, written = corpus(texts), workload(spark, queries), {}
+    keep = B.materialize
+    monkeypatch.setattr(B, "materialize", lambda df, name, **options: written.setdefault(name, keep(df, name, **options)))
+    found = B.match_batch(index, clauses)
+    assert "Exchange hashpartitioning" not in plan(found)
+    assert sorted(map(tuple, found.collect())) == answers(texts, queries)
+    documents = max(df.count() for name, df in written.items() if "doc_id" in df.columns)
+    assert documents <= len(texts) < len(answers(texts, queries))
+
+
+def test_slices_of_a_workload_lose_and_repeat_nothing(spark, corpus, monkeypatch):
+    """A workload over what is broadcast at a time: clauses that a document meets twice, of frequent words, of many literals, and copies."""
+    texts = {i: " ".join(["sky", "even" if i % 2 else "odd", "three" if i % 3 else "third", "five" if i % 5 else "fifth", *["rare scarce"] * (i % 20 < 1)]) for i in range(100)}
+    kinds = [
+        [["rare"], ["scarce"], ["sky", "odd"]], [["rare scarce", "-third"], ["rare", "third", "fifth", "odd", "sky"]], [["-rare", "-even"], ["rare", "fifth"]],
+        [["rare", "-third", "-odd"], ["scarce", "-three", "-zebra"]], [["rare", "-rare"]], [["even"], ["rare scarce"]], [["zebra", "sky"]],
+    ]
+    queries = {f"{k}-{i}": clauses for k, clauses in enumerate(kinds) for i in range(4)}
+    monkeypatch.setattr(B, "SLICE", 20, raising=False)
+    monkeypatch.setattr(B, "PIECE", 2, raising=False)
+    found = B.match_batch(corpus(texts), workload(spark, queries))
+    assert sorted(map(tuple, found.collect())) == answers(texts, queries)
