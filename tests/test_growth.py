@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from test_plans import plan, scans
 
 from lexigrid.operators import boolean as B
+from lexigrid.operators import lookup as L
+from lexigrid.operators import phrase as PH
 from lexigrid.operators import postings as P
 from lexigrid.operators import ranking as R
 from lexigrid.plans import build, registry
@@ -162,3 +164,39 @@ def test_slices_of_a_workload_lose_and_repeat_nothing(spark, corpus, monkeypatch
     monkeypatch.setattr(B, "PIECE", 2, raising=False)
     found = B.match_batch(corpus(texts), workload(spark, queries))
     assert sorted(map(tuple, found.collect())) == answers(texts, queries)
+
+
+def test_few_words_of_a_large_lookup_are_shuffled(spark, corpus, monkeypatch):
+    """Candidates over the broadcast bound: of the postings only those of their words meet them."""
+    index = corpus({i: f"red green sky{'abcdefghij'[i % 10]}" for i in range(40)})
+    needed = local_table(spark, {"term": ["red"] * 30 + ["skya"] * 40, "doc_id": [*range(30), *range(40)]}, "term string, doc_id long")
+    small = lambda df: "doc_id" not in df.columns
+    monkeypatch.setattr(L, "is_small", small, raising=False)
+    monkeypatch.setattr("lexigrid.plans.session.is_small", small)
+    rows = L.join_documents(index, needed, ["positions"])
+    assert "BroadcastHashJoin" in plan(rows) and "LeftSemi" in plan(rows)
+    got = sorted((r.term, r.doc_id, r.positions) for r in rows.collect())
+    assert got == [("red", i, [0]) for i in range(30)] + [("skya", i, [2]) for i in range(0, 40, 10)]
+
+
+@pytest.mark.parametrize("mode", PH.MODES)
+def test_words_side_by_side_are_not_looked_up_again(spark, corpus, monkeypatch, mode):
+    """Frequent phrases of one, two and three words; the second word of none is looked up in its candidates."""
+    texts = {i: ["red sky red", "red sky", "sky red blue", "red blue red sky"][i % 4] for i in range(20)}
+    index, asked, look = corpus(texts), [], PH.join_documents
+    monkeypatch.setattr(PH, "FREQUENT", 3)
+
+    def seen(index, needed, columns=()):
+        asked.extend(needed.select("term").distinct().collect() if "slot" in needed.columns else [])
+        return look(index, needed, columns)
+
+    monkeypatch.setattr(PH, "join_documents", seen)
+    phrases = {1: "red sky red", 2: "red sky", 3: "red", 4: "sky red blue"}
+    rows = PH.match_phrases(index, PH.phrase_slots(local_table(spark, {"phrase_id": list(phrases), "text": list(phrases.values())}, "phrase_id long, text string")), mode=mode)
+    words = {p: t.split() for p, t in phrases.items()}
+    at = lambda i, w: {p for p, x in enumerate(texts[i].split()) if x == w}
+    pairwise = lambda i, ws: bool(at(i, ws[0])) and all(any(p + k in at(i, w) for p in at(i, ws[0])) for k, w in enumerate(ws))
+    strict = lambda i, ws: any(all(p + k in at(i, w) for k, w in enumerate(ws)) for p in at(i, ws[0]))
+    holds = strict if mode == "strict" else pairwise
+    assert sorted(map(tuple, rows.collect())) == sorted((p, i) for p, ws in words.items() for i in texts if holds(i, ws))
+    assert {r.term for r in asked} == {"red", "blue"}
