@@ -200,3 +200,42 @@ def test_words_side_by_side_are_not_looked_up_again(spark, corpus, monkeypatch,
     holds = strict if mode == "strict" else pairwise
     assert sorted(map(tuple, rows.collect())) == sorted((p, i) for p, ws in words.items() for i in texts if holds(i, ws))
     assert {r.term for r in asked} == {"red", "blue"}
+
+
+def test_documents_of_many_blocks_are_listed_by_several_tasks(spark):
+    """A block's documents are a file: by their bytes alone one task wrote the files of all blocks."""
+    docs = spark.range(400_000).select(F.col("id").alias("doc_id"), F.lit(True).alias("has_tokens"), F.xxhash64("id").alias("digest"), (F.col("id") % 24).alias("block_id"))
+    path = scratch_path(spark, "blocks")
+    S.write_blocks(spark.createDataFrame([], S.BLOCKS_SCHEMA), path, docs=docs, source="a:b")
+    listed = S.read_block_docs(spark, path).withColumn("file", F.col("_metadata.file_path"))
+    files = [r.file for r in listed.select("file").distinct().collect()]
+    assert len({f.rsplit("/part-", 1)[1][:5] for f in files}) > 1
+    assert all("/source=a%253Ab/batch=" in f or "/source=a%3Ab/batch=" in f for f in files)
+    assert listed.agg(F.count("*"), F.count_distinct("doc_id")).first() == (400_000, 400_000)
+
+
+def test_stems_are_numbered_before_their_postings_are_counted(spark, monkeypatch):
+    """Only postings of stems of several words are counted and joined with the counts; ids and frequencies are those of a dictionary."""
+    joined = []
+    for module in (P, S):
+        join = module.join_words
+        monkeypatch.setattr(module, "join_words", lambda rows, words, *on, join=join: joined.append(sorted(r.term for r in rows.select(*({"term"} & set(rows.columns))).collect()) if "term" in rows.columns else None) or join(rows, words, *on))
+    docs = texts(spark, ["runs running sky", "run sky", "ponies", "blue sky"])
+    index = build_index(docs, scratch_path(spark, "numbered"), "porter")
+    got = {(r.term, r.doc_id): (r.term_id, r.df) for r in index.postings.collect()}
+    assert got == {
+        ("blue", 3): (1, 1), ("poni", 2): (2, 1), ("run", 0): (3, 2), ("run", 1): (3, 2), ("sky", 0): (4, 3), ("sky", 1): (4, 3), ("sky", 3): (4, 3),
+    }
+    assert sorted((r.term_id, r.term, r.df) for r in index.terms.collect()) == [(1, "blue", 1), (2, "poni", 1), (3, "run", 2), (4, "sky", 3)]
+    assert joined == [None, ["run", "run"]]
+
+
+def test_postings_are_ordered_by_one_number(spark):
+    """Term id and document in one number give the order of both, whatever the ids."""
+    ids = [-(1 << 40), -1, 0, 1, (1 << 24) - 1, 1 << 24, (1 << 24) + 1, 1 << 40]
+    pairs = [(t, d) for t in (1, 2, 1 << 33) for d in ids]
+    rows = local_table(spark, {"term_id": [t for t, _ in pairs], "doc_id": [d for _, d in pairs]}, "term_id long, doc_id long").repartition(3, "doc_id")
+    got = [tuple(r) for r in rows.coalesce(1).sortWithinPartitions(*S._order(True)).collect()]
+    assert got == sorted(pairs)
+    alone = rows.select(S._order(True)[0].alias("n")).distinct().count()
+    assert alone == len(pairs) - 3 * 5  # ids below 0 and from 2**24 - 1 on share a number
